@@ -1,0 +1,5 @@
+"""Deliberately empty: the rebuilt workload is batch only.
+
+It has no watermark, window, session or stateful operator, so there is nothing
+to express with Structured Streaming.
+"""
