@@ -1,0 +1,10 @@
+"""Queries that run the operators over the shared test tables."""
+
+import importlib
+
+MODULES = ["relational", "features"]
+
+
+def load_all() -> None:
+    for name in MODULES:
+        importlib.import_module(f"tideline.checks.{name}")

@@ -95,7 +95,7 @@ def location_key(region: Column, region_fallback: Column, country: Column) -> Co
 
 def leading_digit(number: Column) -> Column:
     """First character of the number's text as an integer: ``12.0`` gives 1."""
-    return F.substring(F.trim(F.lit("."), number.cast("string")), 1, 1).try_cast("int")
+    return F.substring(F.trim(number.cast("string"), F.lit(".")), 1, 1).try_cast("int")
 
 
 def whole_number(number: Column) -> Column:

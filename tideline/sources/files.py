@@ -37,10 +37,16 @@ def records_table(spark: SparkSession, records: Iterable[Mapping], schema: T.Str
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
 
 
-def read_record_files(spark: SparkSession, path: str, record_schema: T.StructType) -> DataFrame:
-    """JSON files of the form ``{"data": [{...}, ...]}``, one output row per record."""
+def read_record_files(
+    spark: SparkSession, path: str, record_schema: T.StructType, one_per_file: bool = False
+) -> DataFrame:
+    """Requests of the form ``{"data": [{...}, ...]}``, one output row per record.
+
+    A file holds one request per line (and can then be split over tasks), or a
+    single pretty-printed one.
+    """
     envelope = T.StructType([T.StructField("data", T.ArrayType(record_schema))])
-    files = spark.read.schema(envelope).option("multiLine", True).json(path)
+    files = spark.read.schema(envelope).option("multiLine", one_per_file).json(path)
     return files.select(F.inline("data"))
 
 
