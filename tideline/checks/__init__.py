@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["relational", "features"]
+MODULES = ["relational", "features", "modelling"]
 
 
 def load_all() -> None:

@@ -162,7 +162,7 @@ def inherit_annotations(
         fills = {}
         for a in present:
             agreed = family.select(
-                F.when(F.count_distinct(F.col(f"`{a}`")) == 1, F.min(F.col(f"`{a}`")))
+                F.when(F.min(F.col(f"`{a}`")) == F.max(F.col(f"`{a}`")), F.min(F.col(f"`{a}`")))
             ).scalar()
             fills[a] = F.when(related, F.coalesce(F.col(f"`{a}`"), agreed)).otherwise(F.col(f"`{a}`"))
         out = out.withColumns(fills)
@@ -183,7 +183,7 @@ def inherit_by_prefix(
         parent = F.when(F.startswith(F.col("column"), F.lit(p)), p).otherwise(parent)
     tagged = merged.withColumn("__parent", parent)
     agreed = tagged.where(F.col("__parent").isNotNull()).groupBy("__parent").agg(
-        *[F.when(F.count_distinct(F.col(f"`{a}`")) == 1, F.min(F.col(f"`{a}`"))).alias(f"__fill_{i}") for i, a in enumerate(present)]
+        *[F.when(F.min(F.col(f"`{a}`")) == F.max(F.col(f"`{a}`")), F.min(F.col(f"`{a}`"))).alias(f"__fill_{i}") for i, a in enumerate(present)]
     )
     joined = tagged.join(agreed, "__parent", "left")
     return joined.select(

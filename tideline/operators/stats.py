@@ -11,16 +11,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import pvalues
 from tideline.operators.columns import numeric_columns, temporal_columns
 from tideline.operators.profile import value_counts
 from tideline.operators.running import exact_quantiles, running_totals
 
-_chi_p = F.udf(pvalues.chi_square_p, "double")
-_t_p = F.udf(pvalues.student_t_p, "double")
-_f_p = F.udf(pvalues.f_p, "double")
-_ks_p = F.udf(pvalues.kolmogorov_p, "double")
+_chi_p = F.udf(pvalues.chi_square_p, T.DoubleType())
+_t_p = F.udf(pvalues.student_t_p, T.DoubleType())
+_f_p = F.udf(pvalues.f_p, T.DoubleType())
+_ks_p = F.udf(pvalues.kolmogorov_p, T.DoubleType())
 
 
 def text_columns(df: DataFrame, label: str) -> list[str]:
