@@ -269,7 +269,7 @@ def tree_nodes(model: PipelineModel, spark: SparkSession) -> DataFrame:
     path = "/".join([work_dir(spark), "tideline", spark.sparkContext.applicationId, f"model-{uuid.uuid4().hex}"])
     booster.save(path)
     nodes = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
-    weights = spark.read.parquet(f"{path}/treesMetadata").select(F.col("treeID").alias("tree"), F.col("weights").alias("weight"))
+    weights = spark.read.parquet(f"{path}/treesMetadata").toDF("tree", "metadata", "weight").select("tree", "weight")
     return nodes.join(weights, "tree").select(
         "tree",
         "weight",

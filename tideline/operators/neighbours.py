@@ -12,7 +12,7 @@ group, and each block returns the best k per query instead of all pairs.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -97,31 +97,10 @@ def _distinct_vectors(df: DataFrame, key: str, vector: str, k: int) -> DataFrame
     )
 
 
-def nearest_neighbours(
-    data: DataFrame,
-    key: str,
-    vector: str,
-    k: int,
-    queries: DataFrame | None = None,
-    block_rows: int = BLOCK_ROWS,
-    pivots: int | None = None,
-) -> DataFrame:
-    """(id, neighbour, distance, rank) of the k nearest rows of ``data``.
-
-    Euclidean distance, equal distances ordered by key.  Without ``queries``
-    every row of ``data`` is a query and is not its own neighbour.  Keys are
-    integers, vectors complete and of one width.
-    """
-    own = queries is None
-    reach = k + 1 if own else k  # a row of the data always finds itself first
-    base = materialize(_distinct_vectors(data, key, vector, reach), "vectors")
-    asked = base if own else materialize(_distinct_vectors(queries, key, vector, 1), "queries")
-    n = base.count()
-    if n == 0:
-        return data.sparkSession.createDataFrame([], "id long, neighbour long, distance double, rank int")
-
-    wanted = pivots or max(1, min(MAX_PIVOTS, math.ceil(n / (2 * block_rows))))
-    chosen = base.orderBy(F.xxhash64("vec"), "rep").limit(wanted).select("vec").collect()
+def _cells(base: DataFrame, m: int, reach: int, block_rows: int) -> tuple[DataFrame, Callable, np.ndarray]:
+    """Rows with their cell, the function that names the cells a query must visit,
+    and the number of blocks of each cell."""
+    chosen = base.orderBy(F.xxhash64("vec"), "rep").limit(m).select("vec").collect()
     centres = np.array([r["vec"] for r in chosen], dtype=np.float64)
     m = len(centres)
     apart = _pivot_distances(centres, centres)
@@ -171,15 +150,53 @@ def nearest_neighbours(
         limit = bound + SLACK * (1 + np.where(np.isfinite(bound), bound, 0) + away.max(axis=1))
         return np.nonzero((least <= limit[:, None]) & (parts > 0)[None, :])
 
-    def visit_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                rows, cell = visited(_stack(b["vec"]))
-                yield pd.DataFrame({"cell": cell.astype("int32")})
+    return cells, visited, parts
+
+
+def nearest_neighbours(
+    data: DataFrame,
+    key: str,
+    vector: str,
+    k: int,
+    queries: DataFrame | None = None,
+    block_rows: int = BLOCK_ROWS,
+    pivots: int | None = None,
+) -> DataFrame:
+    """(id, neighbour, distance, rank) of the k nearest rows of ``data``.
+
+    Euclidean distance, equal distances ordered by key.  Without ``queries``
+    every row of ``data`` is a query and is not its own neighbour.  Keys are
+    integers, vectors complete and of one width.
+    """
+    own = queries is None
+    reach = k + 1 if own else k  # a row of the data always finds itself first
+    base = materialize(_distinct_vectors(data, key, vector, reach), "vectors")
+    asked = base if own else materialize(_distinct_vectors(queries, key, vector, 1), "queries")
+    n = base.count()
+    if n == 0:
+        return data.sparkSession.createDataFrame([], "id long, neighbour long, distance double, rank int")
+
+    m = pivots or max(1, min(MAX_PIVOTS, math.ceil(n / (2 * block_rows))))
+    if m == 1:
+        # One cell: nothing to prune, only the blocks matter.
+        cells = base.withColumn("cell", F.lit(0))
+        parts = np.array([math.ceil(n / block_rows)])
+        asks = np.array([math.ceil((n if own else asked.count()) / block_rows)])
+
+        def visited(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return np.arange(len(x)), np.zeros(len(x), dtype=int)
+
+    else:
+        cells, visited, parts = _cells(base, m, reach, block_rows)
+
+        def visit_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    yield pd.DataFrame({"cell": visited(_stack(b["vec"]))[1].astype("int32")})
 
-    load = {r["cell"]: r["n"] for r in asked.select("vec").mapInPandas(visit_cells, "cell int")
-            .groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    asks = np.array([math.ceil(load.get(j, 0) / block_rows) for j in range(m)])
+        visits = asked.select("vec").mapInPandas(visit_cells, "cell int").groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        load = {r["cell"]: r["n"] for r in visits.collect()}
+        asks = np.array([math.ceil(load.get(j, 0) / block_rows) for j in range(len(parts))])
 
     def spread(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
         """An even block number in 0..count-1 from a key."""

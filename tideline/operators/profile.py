@@ -145,6 +145,17 @@ def merge_profiles(new: DataFrame, old: DataFrame | None, annotations: Sequence[
     return joined.select(*select, *[F.col(f"__old_{a}").alias(a) for a in carried])
 
 
+def _layers(parents: Sequence[str]) -> list[list[str]]:
+    """Parents in order, split so that no name in a layer is a prefix of another."""
+    layers: list[list[str]] = []
+    for p in parents:
+        if layers and not any(p.startswith(q) or q.startswith(p) for q in layers[-1]):
+            layers[-1].append(p)
+        else:
+            layers.append([p])
+    return layers
+
+
 def inherit_annotations(
     merged: DataFrame, parents: Sequence[str], annotations: Sequence[str] = ANNOTATIONS
 ) -> DataFrame:
@@ -152,46 +163,30 @@ def inherit_annotations(
 
     A family is every column whose name starts with the parent's name.  When
     its non-null annotations hold exactly one value, the empty ones get it.
-    Parents are applied in order, as later families may include earlier ones.
+    Families that do not overlap are handled in one aggregate and one join;
+    overlapping ones in the order of their parents.
     """
     present = [a for a in annotations if a in merged.columns]
-    out = merged
-    for parent in parents:
-        related = F.startswith(F.col("column"), F.lit(parent))
-        family = out.where(related)
-        fills = {}
-        for a in present:
-            agreed = family.select(
-                F.when(F.min(F.col(f"`{a}`")) == F.max(F.col(f"`{a}`")), F.min(F.col(f"`{a}`")))
-            ).scalar()
-            fills[a] = F.when(related, F.coalesce(F.col(f"`{a}`"), agreed)).otherwise(F.col(f"`{a}`"))
-        out = out.withColumns(fills)
-    return out
-
-
-def inherit_by_prefix(
-    merged: DataFrame, parents: Sequence[str], annotations: Sequence[str] = ANNOTATIONS
-) -> DataFrame:
-    """One-pass form of :func:`inherit_annotations` for families that do not overlap.
-
-    The parent of a column is its longest matching prefix.
-    """
-    present = [a for a in annotations if a in merged.columns]
-    ordered = sorted(parents, key=len, reverse=True)
-    parent = F.lit(None).cast("string")
-    for p in reversed(ordered):
-        parent = F.when(F.startswith(F.col("column"), F.lit(p)), p).otherwise(parent)
-    tagged = merged.withColumn("__parent", parent)
-    agreed = tagged.where(F.col("__parent").isNotNull()).groupBy("__parent").agg(
-        *[F.when(F.min(F.col(f"`{a}`")) == F.max(F.col(f"`{a}`")), F.min(F.col(f"`{a}`"))).alias(f"__fill_{i}") for i, a in enumerate(present)]
-    )
-    joined = tagged.join(agreed, "__parent", "left")
-    return joined.select(
-        *[
-            F.coalesce(F.col(f"`{c}`"), F.col(f"__fill_{present.index(c)}")).alias(c) if c in present else F.col(f"`{c}`")
-            for c in merged.columns
-        ]
-    )
+    for layer in _layers(parents):
+        parent = F.lit(None).cast("string")
+        for p in layer:
+            parent = F.when(F.startswith(F.col("column"), F.lit(p)), p).otherwise(parent)
+        tagged = merged.withColumn("__parent", parent)
+        agreed = tagged.where(F.col("__parent").isNotNull()).groupBy(F.col("__parent").alias("__family"))
+        values = [F.col(f"`{a}`") for a in present]
+        fills = agreed.agg(
+            *[F.when(F.min(v) == F.max(v), F.min(v)).alias(f"__fill_{i}") for i, v in enumerate(values)]
+        )
+        joined = tagged.join(fills, tagged["__parent"] == fills["__family"], "left")
+        merged = joined.select(
+            *[
+                F.coalesce(F.col(f"`{c}`"), F.col(f"__fill_{present.index(c)}")).alias(c)
+                if c in present
+                else F.col(f"`{c}`")
+                for c in merged.columns
+            ]
+        )
+    return merged
 
 
 def profile_sides(new: DataFrame, old: DataFrame) -> DataFrame:

@@ -142,14 +142,13 @@ def over_sample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFram
     return repeated.unionByName(rest)
 
 
-def poisson_draw(u: Column, mean: Column | float) -> Column:
+def poisson_draw(u: Column, mean: float) -> Column:
     """Poisson count from a uniform number by inversion (means up to about 1)."""
-    rate = mean if isinstance(mean, Column) else F.lit(float(mean))
-    chain, total, term = None, F.exp(-rate), F.exp(-rate)
+    chain, total, term = None, 0.0, math.exp(-mean)
     for count in range(16):
+        total += term
+        term *= mean / (count + 1)
         chain = F.when(u < total, count) if chain is None else chain.when(u < total, count)
-        term = term * rate / (count + 1)
-        total = total + term
     return chain.otherwise(16)
 
 
@@ -161,10 +160,10 @@ def bootstrap(
     With ``label`` the majority class is drawn at the rate that makes the
     classes equal in every bag.
     """
-    rate: Column | float = 1.0
+    bagged = df.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
+    bagged = bagged.withColumn("__u", hash_unit(key_hash(F.col(key), F.col("bag"), str(seed))))
+    draw = poisson_draw(F.col("__u"), 1.0)
     if label is not None:
         minority, n_min, _, n_maj = _two_classes(df, label)
-        rate = F.when(F.col(label) == minority, 1.0).otherwise(n_min / n_maj)
-    bagged = df.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
-    u = hash_unit(key_hash(F.col(key), F.col("bag"), str(seed)))
-    return bagged.withColumn("weight", poisson_draw(u, rate)).where(F.col("weight") > 0)
+        draw = F.when(F.col(label) == minority, draw).otherwise(poisson_draw(F.col("__u"), n_min / n_maj))
+    return bagged.withColumn("weight", draw).drop("__u").where(F.col("weight") > 0)
