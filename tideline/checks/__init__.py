@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["relational", "features", "modelling"]
+MODULES = ["relational", "features", "modelling", "workload"]
 
 
 def load_all() -> None:

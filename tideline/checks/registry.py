@@ -22,7 +22,10 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Opened once per query: reading a schema costs a job.
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def check(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Query]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,29 +27,36 @@ def feature_class(field: T.StructField, one_hot: Iterable[str] = (), multi: Iter
 
 def value_counts(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """(column, value as text, extra..., n) for all columns in one shuffle."""
-    texts = df.select(*extra, *[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
-    long = texts.unpivot(list(extra), list(columns), "column", "value")
+    texts = df.selectExpr(*[f"`{e}`" for e in extra], *[f"cast(`{c}` AS string) AS `{c}`" for c in columns])
+    long = texts.unpivot([f"`{e}`" for e in extra], [f"`{c}`" for c in columns], "column", "value")
     return long.where(F.col("value").isNotNull()).groupBy("column", "value", *extra).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _per_column(df: DataFrame, columns: Sequence[str], stats: Mapping[str, "callable"]) -> DataFrame:
-    """One wide aggregate over the table, turned into a row per column."""
-    aggregates = [fn(c).alias(f"{s}__{i}") for i, c in enumerate(columns) for s, fn in stats.items()]
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *aggregates)
-    entries = [
-        F.struct(F.lit(c).alias("column"), F.col("__rows").alias("rows"), *[F.col(f"{s}__{i}").alias(s) for s in stats])
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(F.inline(F.array(*entries)))
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _number(df: DataFrame) -> "callable":
-    numeric = set(numeric_columns(df))
+def _per_column(df: DataFrame, stats: Mapping[str, Mapping[str, str]], notes: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """One wide aggregate over the table, turned into a row per column.
+
+    ``stats`` maps a column to named aggregate expressions, ``notes`` to fixed
+    texts.  Written as SQL text: with hundreds of columns that is much cheaper
+    to build than nested column objects.
+    """
+    wide = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.expr(e).alias(f"{s}__{i}") for i, c in enumerate(stats) for s, e in stats[c].items()],
+    )
+    entries = []
+    for i, c in enumerate(stats):
+        fields = [f"{_text(c)} AS column", "__rows AS rows"]
+        fields += [f"{s}__{i} AS {s}" for s in stats[c]]
+        fields += [f"{_text(v)} AS {n}" for n, v in notes[c].items()]
+        entries.append(f"struct({', '.join(fields)})")
+    return wide.selectExpr(f"inline(array({', '.join(entries)}))")
 
-    def make(fn) -> "callable":
-        return lambda c: fn(F.col(f"`{c}`").cast("double")) if c in numeric else F.lit(None).cast("double")
 
-    return make
+MOMENTS = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
 
 
 def profile(
@@ -67,38 +74,41 @@ def profile(
     values and modes.
     """
     columns = list(columns or df.columns)
-    make = _number(df)
-    stats = {"count": lambda c: F.count(F.col(f"`{c}`"))}
-    if extended:
-        stats |= {"mean": make(F.avg), "std": make(F.stddev_samp), "min": make(F.min), "max": make(F.max)}
-    base = _per_column(df, columns, stats)
-
     numeric = set(numeric_columns(df))
+    one_hot, multi = set(one_hot), set(multi)
+    kinds = {f.name: f for f in df.schema.fields}
+    stats, notes = {}, {}
+    for c in columns:
+        quoted = f"`{c}`"
+        stats[c] = {"count": f"count({quoted})"}
+        if extended:
+            for s, fn in MOMENTS.items():
+                stats[c][s] = f"{fn}(cast({quoted} AS double))" if c in numeric else "cast(any_value(NULL) AS double)"
+        notes[c] = {
+            "type": kinds[c].dataType.simpleString(),
+            "feature_class": feature_class(kinds[c], one_hot, multi),
+        }
+    base = _per_column(df, stats, notes)
+
     counts = value_counts(df, columns)
     as_number = F.when(F.col("column").isin([c for c in columns if c in numeric]), F.col("value").try_cast("double"))
     distinct = counts.groupBy(F.col("column").alias("__column")).agg(
         F.count(F.lit(1)).alias("distinct"),
-        F.min_by("value", F.struct(-F.col("n"), as_number, F.col("value"))).alias("most_popular"),
+        *([F.min_by("value", F.struct(-F.col("n"), as_number, F.col("value"))).alias("most_popular")] if extended else []),
     )
-    kinds = {f.name: f for f in df.schema.fields}
     joined = base.join(distinct, base["column"] == distinct["__column"], "left")
-
-    def per_name(text) -> Column:
-        pairs = F.create_map(*[F.lit(x) for c in columns for x in (c, text(kinds[c]))])
-        return pairs[F.col("column")]
-
     missing = F.col("rows") - F.col("count")
     out = [
         F.col("column"),
         missing.alias("missing"),
         F.round(F.try_divide(missing, F.col("rows")), 2).alias("missing_share"),
         F.col("count"),
-        per_name(lambda f: f.dataType.simpleString()).alias("type"),
+        F.col("type"),
         F.coalesce("distinct", F.lit(0).cast("long")).alias("distinct"),
-        per_name(lambda f: feature_class(f, one_hot, multi)).alias("feature_class"),
+        F.col("feature_class"),
     ]
     if extended:
-        out += [F.col(c) for c in ("most_popular", "mean", "std", "min", "max")]
+        out += [F.col(c) for c in ("most_popular", *MOMENTS)]
     return joined.select(*out)
 
 

@@ -12,6 +12,7 @@ from tideline.functions.numeric import KRONE_IN_EURO, krone_to_euro
 from tideline.functions.text import map_values, merge_value
 from tideline.operators import aggregates, columns, joins, snapshots
 from tideline.plans import values
+from tideline.session import materialize
 from tideline.sources.tables import read_table
 
 
@@ -143,10 +144,11 @@ def retrieve(tables: Mapping[str, DataFrame], per: str = "key", country: str = "
 
     links = t["course_to_deal"].where(F.col("course_id") != 0).select("deal_id", "course_id")
     links = joins.drop_keys(joins.keep_keys(links, course, "course_id", ["id"]), "deal_id", deleted_deals, merged_deals)
+    links = materialize(links, "links")  # read three times below
     krone = joins.keep_keys(
         links, course.where(F.col("course_currency_code") == "DKK"), "course_id", ["id"]
     ).select("deal_id")
-    deal = deals(t["deals"], t["deal_stages"], links, deleted_deals, merged_deals, krone)
+    deal = materialize(deals(t["deals"], t["deal_stages"], links, deleted_deals, merged_deals, krone), "deals")
     contact_of = contact_links(t["contact_to_deal"], contacts, deleted_contacts, deal.select("id")).select(
         F.col("deal_id").alias("__deal"), "contact_id"
     )
@@ -173,6 +175,8 @@ def retrieve(tables: Mapping[str, DataFrame], per: str = "key", country: str = "
         "compare_date",
         anchor_date(F.col("dealstage"), F.col("closed_won_entered"), F.col("closed_lost_entered"), F.col("start_date")),
     ).withColumn("compare_date_epoch", epoch_seconds(F.col("compare_date")))
+    # The search below reads its rows several times: compute the joins once.
+    anchored = materialize(anchored, "anchored")
     stamps = t["contact_history"].select(F.col("id").alias("contact_id"), "dumpdate")
     placed = snapshots.nearest_snapshot(
         anchored, stamps, "contact_id", "compare_date_epoch", "dumpdate", per, ["id", "course_id"]
