@@ -102,8 +102,9 @@ def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """ROC and precision-recall points, one per distinct score as threshold."""
     grouped = _by_score(df, label, score)
     cum = running_totals(grouped, ["down"], {"tp": "pos", "fp": "neg"})
-    all_pos = cum.select(F.max("tp")).scalar()
-    all_neg = cum.select(F.max("fp")).scalar()
+    known = df.where(F.col(score).isNotNull())
+    all_pos = known.select(F.count_if(F.col(label) == 1)).scalar()
+    all_neg = known.select(F.count_if(F.col(label) == 0)).scalar()
     return cum.select(
         (-F.col("down")).alias("threshold"),
         "tp",
@@ -162,7 +163,7 @@ def top_bottom(
     ``top`` and ``bottom`` default to a fifth of the rows when not given.
     """
     ranked = rank_by_score(df.select(key, label, score), score, [key])
-    n = ranked.select(F.count(F.lit(1))).scalar()
+    n = df.select(F.count(F.lit(1))).scalar()
     fifth = F.floor(n * F.lit(0.2))
     top_n = F.least(F.lit(top).cast("long"), n) if top is not None else fifth
     bottom_n = F.least(F.lit(bottom).cast("long"), n) if bottom is not None else fifth

@@ -73,10 +73,9 @@ def exact_quantiles(
     counts = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
     cum = running_totals(counts, [value], {"__upto": "__n"}, group)
     if group:
-        size = cum.groupBy(*group).agg(F.max("__upto").alias("__size"))
-        cum = cum.join(size, group)
+        cum = cum.join(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("__size")), group)
     else:
-        cum = cum.withColumn("__size", cum.select(F.max("__upto")).scalar())
+        cum = cum.withColumn("__size", rows.select(F.count(F.lit(1))).scalar())
 
     def at(position: Column) -> Column:
         inside = (F.col("__upto") - F.col("__n") <= position) & (position < F.col("__upto"))

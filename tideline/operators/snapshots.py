@@ -46,13 +46,17 @@ def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.dropDuplicates(list(keys))
 
 
+WEEK = 7 * 86_400
+LONG_AGO = -(10**15)  # epoch seconds that stand for a missing anchor
+
+
 def nearest_times(
     anchors: DataFrame,
     history: DataFrame,
     key: str,
     anchor_time: str,
     snapshot_time: str,
-    width: int = 86_400,
+    width: int = WEEK,
 ) -> DataFrame:
     """For every distinct (key, anchor) the snapshot time closest to it.
 
@@ -61,50 +65,59 @@ def nearest_times(
 
     Works on distinct times only, and looks at the previous and the next
     snapshot of each anchor instead of pairing anchors with all snapshots.  The
-    lookup inside a time bucket of ``width`` is one window; neighbours in other
+    lookup inside a time bucket of ``width`` is a window; neighbours in other
     buckets come from one summary row per bucket.  A key that holds a third of
-    the data is therefore spread over its buckets.
+    the data is therefore spread over its buckets, and a bucket holds at most
+    ``width`` distinct times.  Looking ahead is a second window in falling
+    order, because a frame that runs to the end of its partition would be
+    evaluated anew for every row.
     """
-    bucket = lambda c: F.floor(F.col(c) / width)
-    a = (
-        anchors.where(F.col(key).isNotNull() & F.col(anchor_time).isNotNull())
-        .select(key, F.col(anchor_time).alias("t"))
-        .distinct()
+    a = anchors.where(F.col(key).isNotNull() & F.col(anchor_time).isNotNull()).select(
+        key, F.col(anchor_time).cast("long").alias("t")
     )
     s = (
         history.where(F.col(key).isNotNull() & F.col(snapshot_time).isNotNull())
-        .select(key, F.col(snapshot_time).alias("t"))
-        .distinct()
-        .join(a.select(key).distinct(), key, "left_semi")
+        .select(key, F.col(snapshot_time).cast("long").alias("t"))
+        .join(a.select(key), key, "left_semi")
     )
+    # One row per (key, time): whether it is an anchor, a snapshot, or both.
     points = (
-        a.withColumn("snap", F.lit(None).cast("long"))
-        .unionByName(s.withColumn("snap", F.col("t").cast("long")))
-        .withColumn("b", bucket("t"))
+        a.withColumn("kind", F.lit(1))
+        .unionByName(s.withColumn("kind", F.lit(2)))
+        .groupBy(key, "t")
+        .agg(F.bit_or("kind").alias("kind"))
+        .select(
+            key,
+            F.floor(F.col("t") / width).alias("b"),
+            "t",
+            (F.col("kind") != 2).alias("asked"),
+            F.when(F.col("kind") >= 2, F.col("t")).alias("snap"),
+        )
+        .where(F.col("b").isNotNull())  # stated here, so that both uses below share one exchange
     )
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(key, "b")
+    seen = points.withColumns(
+        {
+            "prev": F.max("snap").over(inside.orderBy("t").rowsBetween(*so_far)),
+            "next": F.min("snap").over(inside.orderBy(F.col("t").desc()).rowsBetween(*so_far)),
+        }
+    ).where("asked")
     per_bucket = points.groupBy(key, "b").agg(F.max("snap").alias("last"), F.min("snap").alias("first"))
-    by_bucket = Window.partitionBy(key).orderBy("b")
+    buckets = Window.partitionBy(key)
+    earlier = (Window.unboundedPreceding, -1)
     around = per_bucket.select(
         key,
         "b",
-        F.max("last").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
-        F.min("first").over(by_bucket.rowsBetween(1, Window.unboundedFollowing)).alias("after"),
+        F.max("last").over(buckets.orderBy("b").rowsBetween(*earlier)).alias("before"),
+        F.min("first").over(buckets.orderBy(F.col("b").desc()).rowsBetween(*earlier)).alias("after"),
     )
-    inside = Window.partitionBy(key, "b").orderBy("t")
-    seen = points.select(
-        key,
-        "b",
-        "t",
-        "snap",
-        F.max("snap").over(inside.rangeBetween(Window.unboundedPreceding, 0)).alias("prev"),
-        F.min("snap").over(inside.rangeBetween(0, Window.unboundedFollowing)).alias("next"),
-    ).where(F.col("snap").isNull())
     joined = seen.join(around, [key, "b"])
     prev, nxt = F.coalesce("prev", "before"), F.coalesce("next", "after")
     nearest = F.when(nxt.isNull() | (F.col("t") - prev <= nxt - F.col("t")), prev).otherwise(nxt)
-    return joined.select(
-        key, F.col("t").alias(anchor_time), nearest.alias(snapshot_time)
-    ).where(F.col(snapshot_time).isNotNull())
+    return joined.select(key, F.col("t").alias(anchor_time), nearest.alias(snapshot_time)).where(
+        F.col(snapshot_time).isNotNull()
+    )
 
 
 def nearest_snapshot(
@@ -115,7 +128,7 @@ def nearest_snapshot(
     snapshot_time: str,
     per: str = "row",
     ties: Sequence[str] = (),
-    width: int = 86_400,
+    width: int = WEEK,
 ) -> DataFrame:
     """Add the nearest snapshot time to every row; rows without any are dropped.
 
@@ -123,16 +136,9 @@ def nearest_snapshot(
     closest to its snapshot (then by snapshot time and ``ties``).  A missing
     anchor matches the earliest snapshot of the key.
     """
-    first = (
-        history.where(F.col(key).isNotNull() & F.col(snapshot_time).isNotNull())
-        .groupBy(key)
-        .agg(F.min(snapshot_time).alias("__first"))
-    )
-    near = nearest_times(rows, history, key, anchor_time, snapshot_time, width).withColumnRenamed(
-        snapshot_time, "__near"
-    )
-    joined = rows.join(near, [key, anchor_time], "left").join(first, key)
-    matched = joined.withColumn(snapshot_time, F.coalesce("__near", "__first")).select(*rows.columns, snapshot_time)
+    placed = rows.withColumn("__at", F.coalesce(F.col(anchor_time).cast("long"), F.lit(LONG_AGO)))
+    near = nearest_times(placed, history, key, "__at", snapshot_time, width)
+    matched = placed.join(near, [key, "__at"]).select(*rows.columns, snapshot_time)
     if per == "row":
         return matched
     distance = F.abs(F.col(anchor_time) - F.col(snapshot_time))

@@ -119,7 +119,7 @@ def ks_test(df: DataFrame, label: str, columns: Sequence[str] | None = None, p_v
         F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
     )
     cum = running_totals(counts, ["value"], {"upto0": "n0", "upto1": "n1"}, ["column"])
-    sizes = cum.groupBy("column").agg(F.max("upto0").alias("all0"), F.max("upto1").alias("all1"))
+    sizes = _by_label(df, label, columns, {"all": F.count})
     gap = F.abs(F.try_divide("upto0", "all0") - F.try_divide("upto1", "all1"))
     out = cum.join(sizes, "column").groupBy("column").agg(
         F.max(gap).alias("ks_statistic"), F.max("all0").alias("n0"), F.max("all1").alias("n1")
