@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tideline.functions import dates, numeric, text
 from tideline.operators.aggregates import add_frequency
+from tideline.operators.profile import long_values, name_at
 from tideline.operators.running import exact_quantiles
 
 MISSING_CATEGORY = "<NA>"
@@ -182,19 +183,21 @@ def category(col: Column) -> Column:
 
 def vocabularies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value) of every category, null as ``<NA>``, in one shuffle."""
-    long = df.select(*[category(F.col(c)).alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    return long.distinct()
+    texts = df.select(*[category(F.col(c)).alias(c) for c in columns])
+    return long_values(texts, columns, "string").distinct().select(name_at(columns), "value")
 
 
 def _collect_vocabulary(table: DataFrame, columns: Sequence[str], cap: int) -> dict[str, list[str]]:
-    """Fetch at most ``cap`` values per column; more is an error, not a cut."""
-    sizes = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    for c in columns:
-        if sizes.get(c, 0) > cap:
-            raise VocabularyTooLarge(f"{c} has {sizes[c]} categories, more than {cap}")
+    """Fetch the values; more than ``cap`` for a column is an error, not a cut.
+
+    At most ``cap`` values per column, and one more, reach the driver.
+    """
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in table.collect():
+    for r in table.limit(cap * len(columns) + 1).collect():
         found[r["column"]].append(r["value"])
+    for c, values in found.items():
+        if len(values) > cap:
+            raise VocabularyTooLarge(f"{c} has more than {cap} categories")
     return {c: sorted(v) for c, v in found.items()}
 
 
@@ -218,10 +221,9 @@ def apply_one_hot(df: DataFrame, fitted: Mapping[str, Sequence[str]]) -> DataFra
 
 def fit_multi_hot(df: DataFrame, columns: Sequence[str], cap: int = DEFAULT_CAP, separator: str = ";") -> dict[str, list[str]]:
     """Items that occur in delimited lists; rows without a list add none."""
-    long = df.select(*[F.col(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    lists = long.where(F.col("value").isNotNull()).distinct()
-    items = lists.select("column", F.explode(F.split("value", separator, -1)).alias("value")).distinct()
-    return _collect_vocabulary(items, columns, cap)
+    lists = long_values(df, columns, "string").distinct()
+    items = lists.select("i", F.explode(F.split("value", separator, -1)).alias("value")).distinct()
+    return _collect_vocabulary(items.select(name_at(columns), "value"), columns, cap)
 
 
 def item_name(column: str, item: str) -> str:
@@ -245,8 +247,7 @@ def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     from tideline.operators.running import row_numbers
 
-    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    values = long.where(F.col("value").isNotNull()).distinct()
+    values = long_values(df, columns, "string").distinct().select(name_at(columns), "value")
     numbered = row_numbers(values, ["value"], "__n", ["column"])
     return numbered.select("column", "value", (F.col("__n") - 1).alias("code"))
 

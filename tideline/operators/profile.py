@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,11 +25,27 @@ def feature_class(field: T.StructField, one_hot: Iterable[str] = (), multi: Iter
     return "categorical"
 
 
+def long_values(df: DataFrame, columns: Sequence[str], kind: str, extra: Sequence[str] = ()) -> DataFrame:
+    """(i, value, extra...): one row per non-null cell, ``i`` the position in ``columns``.
+
+    One array per row and a generator; an unpivot would copy the row once per
+    column, which is much slower with hundreds of columns.
+    """
+    cells = ", ".join(f"cast(`{c}` AS {kind})" for c in columns)
+    return df.selectExpr(*[f"`{e}`" for e in extra], f"posexplode(array({cells})) AS (i, value)").where(
+        F.col("value").isNotNull()
+    )
+
+
+def name_at(columns: Sequence[str]) -> Column:
+    """Column name of position ``i``; looked up after the rows were aggregated."""
+    return F.array(*[F.lit(c) for c in columns])[F.col("i")].alias("column")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """(column, value as text, extra..., n) for all columns in one shuffle."""
-    texts = df.selectExpr(*[f"`{e}`" for e in extra], *[f"cast(`{c}` AS string) AS `{c}`" for c in columns])
-    long = texts.unpivot([f"`{e}`" for e in extra], [f"`{c}`" for c in columns], "column", "value")
-    return long.where(F.col("value").isNotNull()).groupBy("column", "value", *extra).agg(F.count(F.lit(1)).alias("n"))
+    counts = long_values(df, columns, "string", extra).groupBy("i", "value", *extra).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(name_at(columns), "value", *extra, "n")
 
 
 def _text(value: str) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tideline.functions import pvalues
 from tideline.operators.columns import numeric_columns, temporal_columns
-from tideline.operators.profile import value_counts
+from tideline.operators.profile import long_values, name_at, value_counts
 from tideline.operators.running import exact_quantiles, running_totals
 
 _chi_p = F.udf(pvalues.chi_square_p, T.DoubleType())
@@ -111,13 +111,10 @@ def ks_test(df: DataFrame, label: str, columns: Sequence[str] | None = None, p_v
     order over (column, value), so no column ends up in one task.
     """
     columns = _numeric(df, label, columns)
-    doubles = df.where(F.col(label).isin(0, 1)).select(
-        label, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]
-    )
-    long = doubles.unpivot([label], columns, "column", "value").where(F.col("value").isNotNull())
-    counts = long.groupBy("column", "value").agg(
+    long = long_values(df.where(F.col(label).isin(0, 1)), columns, "double", [label])
+    counts = long.groupBy("i", "value").agg(
         F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
-    )
+    ).select(name_at(columns), "value", "n0", "n1")
     cum = running_totals(counts, ["value"], {"upto0": "n0", "upto1": "n1"}, ["column"])
     sizes = _by_label(df, label, columns, {"all": F.count})
     gap = F.abs(F.try_divide("upto0", "all0") - F.try_divide("upto1", "all1"))
@@ -133,9 +130,7 @@ def levene_test(df: DataFrame, label: str, columns: Sequence[str] | None = None,
     """Equality of variances, deviations taken from the group medians."""
     columns = _numeric(df, label, columns)
     rows = df.where(F.col(label).isin(0, 1))
-    long = rows.select(label, *[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot(
-        [label], columns, "column", "value"
-    )
+    long = long_values(rows, columns, "double", [label]).select(name_at(columns), label, "value")
     # Two medians per column come back and enter the next pass as literals.
     medians = {
         (r["column"], r[label]): r["median"]
