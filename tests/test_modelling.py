@@ -167,10 +167,16 @@ def test_stage_training_with_options(spark, table, tmp_path):
     )
     stage = train.fit_stage(table.select("id", "y", "x", "z", "c"), "id", "y", "init_stage", ["x", "z", "c"], settings)
     assert stage.features[-1] == "LOF" and len(stage.models) == 2
+    new = table.select("id", "y", "x", "z", "c").where("id % 7 = 0")
+    train.save_stage(stage, table, str(tmp_path), settings, "id", "y")
+    again = train.predict(spark, new, str(tmp_path), "init_stage", row="id")
+    scored = train.add_outlier_column(stage.outlier_rows, new, "id", "y", stage.outlier_numeric, settings)
+    expected = {r.id: r.probability_1 for r in stage.score(scored).collect()}
+    assert {r.id: r.probabilities for r in again.collect()} == pytest.approx(expected)
     plain = train.TrainingSettings(tune=False, eliminate=False, fixed={"max_iter": 2, "max_depth": 2})
     simple = train.fit_stage(table, "id", "y", "init_stage", ["x", "z"], plain)
-    train.save_stage(simple, table, str(tmp_path), plain)
-    got = train.predict(spark, table, str(tmp_path), "init_stage", row="id")
+    train.save_stage(simple, table, str(tmp_path / "plain"), plain, "id", "y")
+    got = train.predict(spark, table, str(tmp_path / "plain"), "init_stage", row="id")
     want = {r.id: r.probability_1 for r in simple.score(table).collect()}
     assert {r.id: r.probabilities for r in got.collect()} == pytest.approx(want)
 

@@ -12,6 +12,14 @@ from tideline.sources import files, tables
 # -- sources -------------------------------------------------------------------
 
 
+def test_work_folder_is_the_configured_one(spark, rows):
+    from tideline.session import materialize, work_dir
+
+    assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    df = materialize(rows([(1, None)], "a int, b string"), "probe")
+    assert as_set(df) == {(1, None)} and work_dir(spark) in df.inputFiles()[0]
+
+
 def test_resolve_name():
     assert tables.resolve_name("refined", "deals_v12", "dev", True) == "prod_refined.deals"
     assert tables.resolve_name("refined", "deals", "dev", True) == "prod_refined.deals"

@@ -153,6 +153,7 @@ DEAL_STAGES = [
     "closed_lost",
 ]
 STAGE_PREFIXES = {"hs_date_entered_": "entered", "hs_date_exited_": "exited", "hs_time_in_": "time_in"}
+MAX_STAGES = 10_000
 UNUSED_STAGE_COLUMNS = [
     "closed_lost_exited",
     "closed_won_so_netsuite_exited",
@@ -192,7 +193,9 @@ def merge_stage_columns(df: DataFrame, stages: DataFrame) -> DataFrame:
     the first non-null pipeline column wins; times in stage also get a day
     count and a readable form, with zero read as missing.
     """
-    rows = [tuple(r) for r in stages.select("stage_id", "stage_name", "pipeline_label").collect()]
+    rows = [tuple(r) for r in stages.select("stage_id", "stage_name", "pipeline_label").limit(MAX_STAGES + 1).collect()]
+    if len(rows) > MAX_STAGES:
+        raise ValueError(f"more than {MAX_STAGES} stages: the lookup names columns, so it must be small")
     df = df.withColumnsRenamed(stage_column_names(df.columns, rows))
     known = set(df.columns)
     merged: dict[str, Column] = {}

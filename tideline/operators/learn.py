@@ -134,15 +134,21 @@ def score(model: PipelineModel, df: DataFrame, out: str = "probability_1") -> Da
 
 
 def score_batch(
-    model: PipelineModel, df: DataFrame, schema: T.StructType, row: str | None = None, path: str | None = None
+    model: PipelineModel | Sequence[PipelineModel],
+    df: DataFrame,
+    schema: T.StructType,
+    row: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """Align rows to the saved feature schema, score them, and write them if asked."""
-    ids = [row] if row else []
+    """Align rows to the saved feature schema, score them, and write them if asked.
+
+    Several models are the bags of one ensemble.
+    """
+    models = [model] if isinstance(model, PipelineModel) else list(model)
     kept = df if row is None else df.withColumnRenamed(row, "__row")
     wanted = schema if row is None else T.StructType([*schema.fields, T.StructField("__row", df.schema[row].dataType)])
-    aligned = align_to_schema(kept, wanted)
-    result = score(model, aligned, "probabilities")
-    result = result.select(*([F.col("__row").alias(row)] if ids else []), "probabilities")
+    result = score_bags(models, align_to_schema(kept, wanted), "probabilities")
+    result = result.select(*([F.col("__row").alias(row)] if row else []), "probabilities")
     if path:
         result.write.mode("overwrite").option("header", True).csv(path)
     return result
@@ -424,9 +430,15 @@ def fit_bags(
     df: DataFrame, key: str, features: Sequence[str], label: str, bags: int = 40, seed: int = 42, **params
 ) -> list[PipelineModel]:
     """One model per balanced bootstrap replicate."""
-    weighted = sampling.bootstrap(df.select(*{key, label, *features}), key, bags, seed, label)
-    drawn = materialize(weighted.withColumn("weight", F.col("weight").cast("double")), "bags")
-    return [fit_boosted(drawn.where(F.col("bag") == b), features, label, weight="weight", **params) for b in range(bags)]
+    rows = df.select(*dict.fromkeys([key, label, *features]))
+    rates = sampling.draw_rates(rows, label)
+    return [
+        fit_boosted(
+            sampling.bag_weights(rows, key, b, seed, label, rates).withColumn("weight", F.col("weight").cast("double")),
+            features, label, weight="weight", **params,
+        )
+        for b in range(bags)
+    ]
 
 
 def score_bags(models: Sequence[PipelineModel], df: DataFrame, out: str = "probability_1") -> DataFrame:
@@ -452,5 +464,10 @@ def save_model(model: PipelineModel, folder: str, stage: str, name: str, setting
     return path
 
 
+def load_settings(folder: str, stage: str, name: str) -> dict:
+    spark = SparkSession.getActiveSession()
+    return json.loads(spark.read.text(f"{folder}/{stage}/{name}-settings", wholetext=True).first().value)
+
+
 def load_model(folder: str, stage: str, name: str) -> PipelineModel:
     return PipelineModel.load(f"{folder}/{stage}/{name}")

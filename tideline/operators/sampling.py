@@ -152,18 +152,36 @@ def poisson_draw(u: Column, mean: float) -> Column:
     return chain.otherwise(16)
 
 
-def bootstrap(
-    df: DataFrame, key: str, bags: int, seed: int = 42, label: str | None = None
+def draw_rates(df: DataFrame, label: str | None) -> dict:
+    """Mean draws per row of each class: 1, or less for the majority of a balanced draw."""
+    if label is None:
+        return {}
+    minority, n_min, majority, n_maj = _two_classes(df, label)
+    return {minority: 1.0, majority: n_min / n_maj}
+
+
+def bag_weights(
+    df: DataFrame, key: str, bag: Column | int, seed: int = 42, label: str | None = None, rates: Mapping | None = None
 ) -> DataFrame:
-    """Rows of ``bags`` bootstrap replicates with their draw count in ``weight``.
+    """Rows of one bootstrap replicate with their draw count in ``weight``.
+
+    A projection and a filter: every bag is derived from the rows when it is
+    read, so no replicate is ever stored.
+    """
+    number = bag if isinstance(bag, Column) else F.lit(bag)
+    tagged = df.withColumn("__u", hash_unit(key_hash(F.col(key), number, str(seed))))
+    draw = poisson_draw(F.col("__u"), 1.0)
+    for value, rate in (rates or {}).items():
+        if rate != 1.0:
+            draw = F.when(F.col(label) == value, poisson_draw(F.col("__u"), rate)).otherwise(draw)
+    return tagged.withColumn("weight", draw).drop("__u").where(F.col("weight") > 0)
+
+
+def bootstrap(df: DataFrame, key: str, bags: int, seed: int = 42, label: str | None = None) -> DataFrame:
+    """Rows of ``bags`` bootstrap replicates, numbered in ``bag``.
 
     With ``label`` the majority class is drawn at the rate that makes the
     classes equal in every bag.
     """
     bagged = df.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
-    bagged = bagged.withColumn("__u", hash_unit(key_hash(F.col(key), F.col("bag"), str(seed))))
-    draw = poisson_draw(F.col("__u"), 1.0)
-    if label is not None:
-        minority, n_min, _, n_maj = _two_classes(df, label)
-        draw = F.when(F.col(label) == minority, draw).otherwise(poisson_draw(F.col("__u"), n_min / n_maj))
-    return bagged.withColumn("weight", draw).drop("__u").where(F.col("weight") > 0)
+    return bag_weights(bagged, key, F.col("bag"), seed, label, draw_rates(df, label))
