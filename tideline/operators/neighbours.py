@@ -90,9 +90,10 @@ def _distinct_vectors(df: DataFrame, key: str, vector: str, k: int) -> DataFrame
     rows = df.where(F.col(vector).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")
     )
-    first = Window.partitionBy("vec").orderBy("id")
-    few = rows.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k)
-    return few.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(
+    # The hash makes the sort cheap; only equal hashes compare whole vectors.
+    first = Window.partitionBy("h", "vec").orderBy("id")
+    few = rows.withColumn("h", F.xxhash64("vec")).withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k)
+    return few.groupBy("h", "vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(
         F.col("ids")[0].alias("rep"), "vec", "ids"
     )
 
@@ -269,8 +270,11 @@ def nearest_neighbours(
     rows = source.where(F.col(vector).isNotNull()).select(
         F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")
     )
-    named = asked.select("vec", F.col("rep").alias("qid")).join(lists, "qid").select("vec", "near")
-    per_row = rows.join(named, "vec").select("id", "near")
+    if rows.count() == (n if own else asked.count()):
+        per_row = lists.select(F.col("qid").alias("id"), "near")  # no copies
+    else:
+        named = asked.select("vec", F.col("rep").alias("qid")).join(lists, "qid").select("vec", "near")
+        per_row = rows.join(named, "vec").select("id", "near")
     if own:
         others = F.filter("near", lambda x: x["id"] != F.col("id"))
         per_row = per_row.select("id", F.slice(others, 1, k).alias("near"))
