@@ -176,7 +176,7 @@ def integers_only(t):
 
 @check(
     "column_selection",
-    """SELECT COUNT(*) AS n_rows, SUM(p_size) AS sizes, ROUND(SUM(p_retailprice), 2) AS prices FROM part""",
+    """SELECT COUNT(*) AS n_rows, CAST(SUM(p_size) AS BIGINT) AS sizes, ROUND(SUM(p_retailprice), 2) AS prices FROM part""",
 )
 def column_selection(t):
     """Sparse, null and duplicate columns go; numeric ones stay."""
