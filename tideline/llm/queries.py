@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import url_filter
+from tideline.llm import language_id, url_filter
 from tideline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,12 @@ WITH rest AS (
 )
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)
 """
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language, learned from labelled documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
