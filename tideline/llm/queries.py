@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language_id, url_filter
+from tideline.llm import language_id, packing, url_filter
 from tideline.llm.common import table
 
+#: The vocabulary file of the tokenizer; it is installed on every machine.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -61,3 +65,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.where(~language_id.held_out(F.col("doc_id"))))
     found = language_id.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
