@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language_id, packing, url_filter
+from tideline.llm import language_id, mixing, packing, url_filter
 from tideline.llm.common import table
 
 #: The vocabulary file of the tokenizer; it is installed on every machine.
@@ -71,3 +71,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights of their sources."""
+    laid, drawn = mixing.draws(table(spark, sf_dir, "documents"))
+    return mixing.taken_words(laid, drawn).select("doc_id", "size", "source_size", "target", "taken")
