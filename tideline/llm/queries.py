@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language_id, mixing, packing, url_filter
+from tideline.llm import language_id, mixing, packing, url_filter, vptree
 from tideline.llm.common import table
+from tideline.session import materialize
 
 #: The vocabulary file of the tokenizer; it is installed on every machine.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+NEIGHBOURS = 5
+VPTREE_FACTOR = 0.85
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -78,3 +82,11 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
     laid, drawn = mixing.draws(table(spark, sf_dir, "documents"))
     return mixing.taken_words(laid, drawn).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every embedding whose id is divisible by 50."""
+    vectors = vptree.usable(table(spark, sf_dir, "embeddings"))
+    index = materialize(vptree.build(vectors, NEIGHBOURS), "vptree")
+    return vptree.search(index, vectors.where(F.col("id") % 50 == 0), NEIGHBOURS, VPTREE_FACTOR)
