@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language_id, mixing, packing, url_filter, vptree
+from tideline.llm import language_id, mixing, packing, url_filter, vptree, warc
 from tideline.llm.common import table
-from tideline.session import materialize
+from tideline.session import materialize, work_dir
 
 #: The vocabulary file of the tokenizer; it is installed on every machine.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -90,3 +91,15 @@ def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = vptree.usable(table(spark, sf_dir, "embeddings"))
     index = materialize(vptree.build(vectors, NEIGHBOURS), "vptree")
     return vptree.search(index, vectors.where(F.col("id") % 50 == 0), NEIGHBOURS, VPTREE_FACTOR)
+
+
+@query
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the capture index."""
+    pages = table(spark, sf_dir, "pages")
+    folder = f"{work_dir(spark)}/warc-{uuid.uuid4().hex}"
+    captures = materialize(warc.write(warc.decide(pages), folder), "captures")
+    directory = materialize(warc.index(captures, folder), "directory")
+    return warc.read(directory, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
