@@ -103,3 +103,21 @@ def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(directory, folder, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+ORACLES["op4_warc_index"] = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, payload_bytes,
+         list_aggregate(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::BIGINT + 1, 1)),
+           'string_agg', '') AS payload_digest
+  FROM p
+), f AS (SELECT payload_digest, min(page_id) AS first_page FROM d GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM d JOIN f USING (payload_digest)
+"""
