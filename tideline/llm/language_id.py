@@ -84,17 +84,26 @@ def sample(labelled: DataFrame, text: str, label: str, per_language: int, max_la
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.col(text) != "")).select(
         F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
-    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(max_languages)
+    sizes = (
+        rows.groupBy("label")
+        .agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("texts"))
+        .orderBy(F.desc("n"), "label")
+        .limit(max_languages)
+    )
+    # Only the lowest hashes are ranked: about four times as many as are taken, however large the label is.
+    share = F.col("h") / F.lit(2.0**64) + 0.5
     by_hash = Window.partitionBy("label").orderBy("h")
     kept = (
-        rows.select("label", "h")
+        rows.join(F.broadcast(sizes), "label")
+        .where(share * F.col("texts") <= 4 * per_language + 100)
+        .select("label", "h")
         .distinct()
         .withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= per_language)
-        .join(sizes, "label")
         .select("label", "h")
     )
-    return rows.join(kept, ["label", "h"]).dropDuplicates(["label", "h"])
+    # At most per_language * max_languages pairs of numbers, so the texts are not shuffled.
+    return rows.join(F.broadcast(kept), ["label", "h"]).dropDuplicates(["label", "h"])
 
 
 def fit(
