@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import language_id, mixing, packing, url_filter, vptree, warc
+from tideline.llm import fingerprint, language_id, mixing, packing, url_filter, vptree, warc
 from tideline.llm.common import table
 from tideline.session import materialize, work_dir
 
@@ -121,3 +121,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id <> first_page THEN first_page END AS refers_to
 FROM d JOIN f USING (payload_digest)
 """
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
