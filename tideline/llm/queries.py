@@ -9,13 +9,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import fingerprint, language_id, mixing, packing, url_filter, vptree, warc
+from tideline.llm import chat, fingerprint, language_id, mixing, packing, url_filter, vptree, warc
 from tideline.llm.common import table
 from tideline.session import materialize, work_dir
 
 #: The vocabulary file of the tokenizer; it is installed on every machine.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+#: The function that the user turns of the conversations call.
+RESPOND = {
+    "properties": {
+        "text": {"type": "string", "minLength": 1, "maxLength": 400},
+        "turn": {"type": "integer", "minimum": 0},
+    },
+    "required": ["text", "turn"],
+    "additionalProperties": False,
+}
+
 NEIGHBOURS = 5
 VPTREE_FACTOR = 0.85
 
@@ -127,3 +137,40 @@ FROM d JOIN f USING (payload_digest)
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of the conversations, with calls and results linked, checked and written as canonical JSON."""
+    return chat.format_chat(table(spark, sf_dir, "conversations"), {"respond": RESPOND})
+
+
+ORACLES["op3_chat_formatting"] = r"""
+WITH calls AS (
+  SELECT conv_id, turn, text, 'call_' || conv_id || '_' || turn AS call_id FROM conversations WHERE role = 'user'
+), results AS (
+  SELECT conv_id, turn, text, 'call_' || conv_id || '_' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'
+), c AS (SELECT conv_id, call_id, count(*) AS n, max(turn) AS call_turn FROM calls GROUP BY ALL
+), r AS (SELECT conv_id, call_id, count(*) AS n FROM results GROUP BY ALL
+)
+SELECT calls.conv_id, calls.turn, 'call' AS kind, calls.call_id,
+       CASE WHEN c.n > 1 THEN 'repeated' WHEN r.n > 0 THEN 'linked' ELSE 'unanswered' END AS status,
+       concat_ws('; ', CASE WHEN text IS NULL THEN 'text: missing' END, CASE WHEN length(text) < 1 THEN 'text: too short' END,
+                 CASE WHEN length(text) > 400 THEN 'text: too long' END, CASE WHEN calls.turn < 0 THEN 'turn: too small' END) AS violations,
+       calls.turn * 2 AS place,
+       '{"role":"user","tool_call":{"arguments":{' || coalesce('"text":' || to_json(text) || ',', '') || '"turn":' || calls.turn
+         || '},"id":"' || calls.call_id || '","name":"respond"},"turn":' || calls.turn || '}' AS json
+FROM calls JOIN c USING (conv_id, call_id) LEFT JOIN r USING (conv_id, call_id)
+UNION ALL
+SELECT results.conv_id, results.turn, 'result', results.call_id,
+       CASE WHEN call_turn IS NULL THEN 'orphan' WHEN r.n > 1 THEN 'repeated' ELSE 'linked' END,
+       NULL, greatest(results.turn, coalesce(call_turn, results.turn)) * 2 + 1,
+       '{' || coalesce('"content":' || to_json(text) || ',', '') || '"role":"assistant",'
+         || CASE WHEN call_turn IS NULL THEN '' ELSE '"tool_call_id":"' || results.call_id || '",' END
+         || '"turn":' || results.turn || '}'
+FROM results JOIN r USING (conv_id, call_id) LEFT JOIN c USING (conv_id, call_id)
+UNION ALL
+SELECT conv_id, turn, 'message', NULL, NULL, NULL, turn * 2,
+       '{' || coalesce('"content":' || to_json(text) || ',', '') || coalesce('"role":' || to_json(role) || ',', '') || '"turn":' || turn || '}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+"""
