@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fingerprint, language_id, mixing, packing, url_filter, vptree, warc
+from tideline.llm import chat, fingerprint, jaccard_join, language_id, mixing, packing, url_filter, vptree, warc
 from tideline.llm.common import table
 from tideline.session import materialize, work_dir
 
@@ -174,3 +174,9 @@ SELECT conv_id, turn, 'message', NULL, NULL, NULL, turn * 2,
        '{' || coalesce('"content":' || to_json(text) || ',', '') || coalesce('"role":' || to_json(role) || ',', '') || '"turn":' || turn || '}'
 FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 """
+
+
+@query
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component by its five-word shingles."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
