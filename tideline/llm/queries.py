@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fingerprint, jaccard_join, language_id, mixing, packing, url_filter, vptree, warc
+from tideline.llm import chat, fingerprint, jaccard_join, language_id, line_dedup, mixing, packing, url_filter, vptree, warc
 from tideline.llm.common import table
 from tideline.session import materialize, work_dir
 
@@ -180,3 +180,10 @@ FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component by its five-word shingles."""
     return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line is like."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
