@@ -81,16 +81,20 @@ def first_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def rare_prefixes(firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, key, n, at, place) for the tokens of the rarity prefix that several lines have."""
+    """(token, key, n, at, last, place) for the tokens of the rarity prefix that several lines have.
+
+    ``at`` is the token's position in it, ``last`` the highest hash that the rarity order was made of.
+    """
     place = F.struct(*ORDER).alias("place")
-    rows = firsts.select(F.explode("head").alias("token"), "key", "n", F.size("head").alias("taken"), place)
+    last = F.element_at("head", -1).alias("last")
+    rows = firsts.select(F.explode("head").alias("token"), "key", "n", F.size("head").alias("taken"), last, place)
     counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
     shared = rows.join(counts, "token")
     rarity = Window.partitionBy("key").orderBy("lines", "token")
     # Tokens of this line alone come first and take part in nothing.
     alone = F.col("taken") - F.count(F.lit(1)).over(Window.partitionBy("key"))
     ranked = shared.withColumn("at", alone + F.row_number().over(rarity) - 1)
-    return ranked.where(F.col("at") < F.least(reach(F.col("n"), percent), F.col("taken"))).select("token", "key", "n", "at", "place")
+    return ranked.where(F.col("at") < F.least(reach(F.col("n"), percent), F.col("taken"))).select("token", "key", "n", "at", "last", "place")
 
 
 def _fits(a: Column, b: Column, percent: int) -> Column:
@@ -134,11 +138,11 @@ def similar_to_earlier(docs: DataFrame, firsts: DataFrame, percent: int = PERCEN
     stars = materialize(stars, "line-stars")
     found = materialize(verify(stars, firsts, docs, percent), "line-found")
     left = prefixes.join(found, "key", "left_anti")
-    earlier = prefixes.select(
-        "token", F.col("key").alias("other"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("place").alias("place_b")
-    )
-    # If this is the first token they share, at most what follows it in the shorter line is common.
-    room = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b")) + SLACK
+    earlier = prefixes.select("token", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "at", "last", "place")])
+    earlier = earlier.withColumnRenamed("key_b", "other")
+    # The line that was ordered up to the lower hash has all it shares in the order of the other one.
+    # If this is the first token they share, nothing before it is common.
+    room = F.when(F.col("last_b") <= F.col("last"), F.col("n_b") - F.col("at_b")).otherwise(F.col("n") - F.col("at"))
     enough = (100 + percent) * room >= percent * (F.col("n") + F.col("n_b"))
     rest = (
         left.join(earlier, "token")
