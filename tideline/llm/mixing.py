@@ -167,16 +167,23 @@ def taken_words(laid: DataFrame, drawn: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row of ``docs`` as often as it is drawn, with epoch, shard and place.
 
-    Every column of ``docs`` comes back unchanged.  ``docs`` must not have
-    columns named copy, epoch, shard or place.
+    A null text has no words and is never drawn; a null source is a source.
+    Rows that repeat a doc_id are drawn each for itself.  Every column of
+    ``docs`` comes back unchanged, except that columns named epoch, shard or
+    place are replaced.  An empty table gives an empty mix.
     """
     laid, drawn = draws(docs, **options)
     where = (
-        laid.join(drawn, ["pos", "start"])
-        .where(F.col("size") > 0)
+        laid.where(F.col("size") > 0)
+        .join(drawn, ["pos", "start"])
         .select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), "epoch", "shard", "place")
     )
-    again = Window.partitionBy("doc_id").orderBy("source", F.xxhash64("text"))
-    rows = docs.withColumn("copy", F.row_number().over(again))
-    same: Column = rows["doc_id"].eqNullSafe(where["__id"]) & (rows["copy"] == where["__copy"])
-    return rows.join(where, same).select(*docs.columns, "epoch", "shard", "place")
+    again = Window.partitionBy("__own").orderBy("__source", "__hash")
+    rows = docs.select(
+        F.struct(*[c for c in docs.columns if c not in ("epoch", "shard", "place")]).alias("__row"),
+        F.col("doc_id").alias("__own"),
+        F.col("source").alias("__source"),
+        F.xxhash64("text").alias("__hash"),
+    ).withColumn("__number", F.row_number().over(again))
+    same: Column = F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__number") == F.col("__copy"))
+    return rows.join(where, same).select("__row.*", "epoch", "shard", "place")

@@ -184,7 +184,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             taken[length] += times
             offset += length
         first_bin += times
-    table = spark.createDataFrame(places, "p_length long, p_from long, p_to long, p_shift long, p_offset long")
+    table = spark.createDataFrame(places, "__p_length long, __p_from long, __p_to long, __p_shift long, __p_offset long")
 
     # Number the pieces of a length. A frequent length is spread over many counting groups.
     groups = max(4 * shuffle_width(spark), sum(counts.values()) // 50_000)
@@ -199,10 +199,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .join(offsets, ["length", "__group"])
         .withColumn("__rank", F.col("__before") + F.col("__in") - 1)
     )
-    found = (F.col("length") == F.col("p_length")) & (F.col("__rank") >= F.col("p_from")) & (F.col("__rank") < F.col("p_to"))
+    found = (F.col("length") == F.col("__p_length")) & (F.col("__rank") >= F.col("__p_from")) & (F.col("__rank") < F.col("__p_to"))
     # The plan has a few rows for each length up to the capacity, however many pieces there are.
     return numbered.join(F.broadcast(table), found).select(
-        *kept, (F.col("__rank") + F.col("p_shift")).alias("sequence_id"), F.col("p_offset").alias("offset")
+        *kept, (F.col("__rank") + F.col("__p_shift")).alias("sequence_id"), F.col("__p_offset").alias("offset")
     )
 
 
