@@ -157,7 +157,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     best = (
         asked.join(listed, "rule_key")
         .groupBy("__url")
-        .agg(F.max(F.struct(F.length("rule_key").alias("n"), F.instr("rule_key", "/").alias("h"), "rule_key", "rule_verdict")).alias("best"))
+        .agg(F.max(F.struct(F.length("rule_key").alias("n"), F.length(F.substring_index("rule_key", "/", 1)).alias("h"), "rule_key", "rule_verdict")).alias("best"))
         .select("__url", F.col("best.rule_key").alias("rule"), F.col("best.rule_verdict").alias("__verdict"))
     )
     ruled = (
