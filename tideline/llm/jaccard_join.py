@@ -26,10 +26,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import shuffle_width
 from tideline.llm.graph import components
 from tideline.llm.shingles import mix, set_hashes, shingle_sets
 from tideline.session import materialize
@@ -41,8 +40,8 @@ PERCENT = 80
 FREQUENT_SHARE = 2000
 FREQUENT_LEAST = 64
 #: Tokens that a task holds before it sends them on, and tokens of a bucket.
-WINDOW_TOKENS = 2_000_000
-BUCKET_TOKENS = 2_000_000
+WINDOW_TOKENS = 1_000_000
+BUCKET_TOKENS = 1_000_000
 #: What makes the two random orders differ.
 ORDERS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 
@@ -380,10 +379,9 @@ def cross_pairs(prefixes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def linked_classes(docs: DataFrame, described: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(node, component) of all classes that link to another class."""
-    spark: SparkSession = docs.sparkSession
     frequent = frequent_tokens(described)
     total = described.agg(F.sum("n")).first()[0] or 0
-    buckets = max(4 * shuffle_width(spark), total // BUCKET_TOKENS)
+    buckets = max(8, -(-total // BUCKET_TOKENS))
     counted = count_tokens(pack_tokens(docs, frequent, buckets, shingle, percent), buckets)
     classes = materialize(signatures(counted, percent), "signatures")
     prefixes = classes.select("ref", "n", "spare", F.posexplode("prefix").alias("i", "token")).withColumn("at", F.col("spare") + F.col("i"))
