@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_WORK_DIRS: dict[str, str] = {}
 
+#: Spark's switch to delete the shuffle files of a statement when it ends.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app_name: str = "tideline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are written for.
@@ -66,7 +69,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = "/".join(
         [work_dir(spark), "tideline", spark.sparkContext.applicationId, f"{label}-{uuid.uuid4().hex}"]
     )
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP)
+    # The written table replaces the shuffles it came from; their disk is free for the next step.
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
