@@ -41,10 +41,8 @@ def shingles(line: Column, size: int = SHINGLE) -> Column:
     """
 
     def of(words: Column) -> Column:
-        def shingle(word: Column, i: Column) -> Column:
-            return F.xxhash64(word, *[F.get(words, i + k) for k in range(1, size)])
-
-        rolled = F.transform(F.slice(words, 1, F.greatest(F.size(words) - (size - 1), F.lit(0))), shingle)
+        count = F.greatest(F.size(words) - (size - 1), F.lit(0))
+        rolled = F.transform(F.arrays_zip(*[F.slice(words, k + 1, count) for k in range(size)]), lambda shingle: F.xxhash64(shingle))
         return (
             F.when(F.size(words) >= size, F.array_distinct(F.sort_array(rolled)))
             .when(F.size(words) > 0, F.array(F.xxhash64(F.array_join(words, " "))))
@@ -86,14 +84,14 @@ def rare_prefixes(firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
     ``at`` is the token's position in it, ``last`` the highest hash that the rarity order was made of.
     """
     place = F.struct(*ORDER).alias("place")
-    last = F.element_at("head", -1).alias("last")
-    rows = firsts.select(F.explode("head").alias("token"), "key", "n", F.size("head").alias("taken"), last, place)
+    rows = firsts.select(F.explode("head").alias("token"), "key")
     counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
-    shared = rows.join(counts, "token")
+    shared = materialize(rows.join(counts, "token"), "shared-tokens")
+    facts = firsts.select("key", "n", F.size("head").alias("taken"), F.element_at("head", -1).alias("last"), place)
     rarity = Window.partitionBy("key").orderBy("lines", "token")
     # Tokens of this line alone come first and take part in nothing.
     alone = F.col("taken") - F.count(F.lit(1)).over(Window.partitionBy("key"))
-    ranked = shared.withColumn("at", alone + F.row_number().over(rarity) - 1)
+    ranked = shared.join(facts, "key").withColumn("at", alone + F.row_number().over(rarity) - 1)
     return ranked.where(F.col("at") < F.least(reach(F.col("n"), percent), F.col("taken"))).select("token", "key", "n", "at", "last", "place")
 
 
@@ -101,23 +99,20 @@ def _fits(a: Column, b: Column, percent: int) -> Column:
     return (percent * a <= 100 * b) & (percent * b <= 100 * a)
 
 
-def verify(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The keys of later lines (key, other) whose shingle sets reach the similarity with the earlier one."""
-    asked = pairs.select("key").unionByName(pairs.select(F.col("other").alias("key"))).distinct()
-    places = firsts.join(asked, "key").select("key", *ORDER)
-    by_doc = places.groupBy("doc_id", "text_hash").agg(
-        F.map_from_entries(F.collect_list(F.struct("line_no", "key"))).alias("asked")
-    )
-    held = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), "text").dropDuplicates(["__id", "__hash"])
+def token_sets(asked: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, tokens): the whole shingle sets of the asked lines (key and place), cut from their documents."""
+    by_doc = asked.groupBy("place.doc_id", "place.text_hash").agg(F.collect_list(F.struct("place.line_no", "key")).alias("asked"))
+    held = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
-    lines = (
-        by_doc.join(held, same)
-        .select(F.posexplode(F.split("text", "\n")).alias("line_no", "line"), "asked")
-        .withColumn("key", F.element_at("asked", F.col("line_no")))
-        .where(F.col("key").isNotNull())
-        .select("key", shingles(F.col("line")).alias("tokens"))
+    sets = let(
+        F.split("text", "\n"),
+        lambda lines: F.transform("asked", lambda a: F.struct(a["key"].alias("key"), shingles(F.get(lines, a["line_no"])).alias("tokens"))),
     )
-    sets = materialize(lines, "line-sets")
+    return held.join(by_doc, same).select(F.explode(sets).alias("s")).select("s.*").dropDuplicates(["key"])
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The keys of later lines (key, other) whose shingle sets reach the similarity with the earlier one."""
     both = pairs.join(sets.withColumnRenamed("tokens", "a"), "key").join(
         sets.select(F.col("key").alias("other"), F.col("tokens").alias("b")), "other"
     )
@@ -128,15 +123,16 @@ def verify(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, percent: int =
 def similar_to_earlier(docs: DataFrame, firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Keys of distinct lines to which an earlier line is similar."""
     prefixes = materialize(rare_prefixes(firsts, percent), "line-prefixes")
-    earliest = prefixes.groupBy("token").agg(F.min(F.struct("place", "key", "n")).alias("e"), F.count(F.lit(1)).alias("m"))
+    groups = prefixes.groupBy("token").agg(F.min(F.struct("place", "key", "n")).alias("e"), F.count(F.lit(1)).alias("m"))
+    prefixes = materialize(prefixes.join(groups.where("m > 1").drop("m"), "token"), "line-groups")
+    sets = materialize(token_sets(prefixes.select("key", "place").distinct(), docs), "line-sets")
     stars = (
-        prefixes.join(earliest.where("m > 1").select("token", "e"), "token")
-        .where((F.col("key") != F.col("e.key")) & _fits(F.col("n"), F.col("e.n"), percent))
+        prefixes.where((F.col("key") != F.col("e.key")) & _fits(F.col("n"), F.col("e.n"), percent))
         .select("key", F.col("e.key").alias("other"))
         .distinct()
     )
     stars = materialize(stars, "line-stars")
-    found = materialize(verify(stars, firsts, docs, percent), "line-found")
+    found = materialize(verify(stars, sets, percent), "line-found")
     left = prefixes.join(found, "key", "left_anti")
     earlier = prefixes.select("token", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "at", "last", "place")])
     earlier = earlier.withColumnRenamed("key_b", "other")
@@ -151,8 +147,7 @@ def similar_to_earlier(docs: DataFrame, firsts: DataFrame, percent: int = PERCEN
         .distinct()
         .join(stars, ["key", "other"], "left_anti")
     )
-    more = verify(materialize(rest, "line-rest"), firsts, docs, percent)
-    return found.unionByName(more)
+    return found.unionByName(verify(materialize(rest, "line-rest"), sets, percent))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
