@@ -24,9 +24,9 @@ def bottom_n(df: DataFrame, score: str, n: int, ties: Sequence[str] = ()) -> Dat
 
 
 def rank_by_score(df: DataFrame, score: str, ties: Sequence[str], out: str = "position") -> DataFrame:
-    """Positions 1..n by falling score over the whole table, distributed."""
-    keyed = df.withColumn("__down", -F.col(score))
-    return row_numbers(keyed, ["__down", *ties], out).drop("__down")
+    """Positions 1..n by falling score over the whole table, distributed; rows without a score come last."""
+    keyed = df.withColumns({"__none": F.col(score).isNull(), "__down": -F.col(score)})
+    return row_numbers(keyed, ["__none", "__down", *ties], out).drop("__none", "__down")
 
 
 def rank_band(
