@@ -104,13 +104,47 @@ def test_hash_is_stable(rows):
         (pvalues.student_t_p(2.2281388519649385, 10), 0.05),
         (pvalues.student_t_p(0.0, 5), 1.0),
         (pvalues.f_p(4.964602743730711, 1, 10), 0.05),
-        (pvalues.kolmogorov_p(1.3580986393225505 / math.sqrt(50), 100, 100), 0.05),
+        # Groups above the limit of the exact form take the asymptotic one.
+        (pvalues.kolmogorov_p(1.3580986393225505 / math.sqrt(10_000), 20_000, 20_000), 0.05),
     ],
 )
 def test_p_values_at_known_quantiles(got, want):
     assert got == pytest.approx(want, abs=1e-6)
 
 
+@pytest.mark.parametrize("n0, n1", [(1, 1), (2, 3), (4, 4), (3, 6), (5, 4)])
+def test_distribution_p_values_of_small_groups_equal_all_orders(n0, n1):
+    from itertools import combinations
+
+    gaps = []
+    for first in combinations(range(n0 + n1), n0):
+        seen, gap = 0, 0.0
+        for place in range(n0 + n1):
+            seen += place in first
+            gap = max(gap, abs(seen / n0 - (place + 1 - seen) / n1))
+        gaps.append(gap)
+    for d in set(gaps):
+        want = sum(g >= d - 1e-12 for g in gaps) / len(gaps)
+        assert pvalues.kolmogorov_p(d, n0, n1) == pytest.approx(want, abs=1e-12)
+
+
+def test_exact_and_asymptotic_distribution_p_values_meet():
+    n = pvalues.EXACT_ROWS
+    d = 150 / n
+    assert pvalues.kolmogorov_p(d, n, n) == pytest.approx(pvalues.kolmogorov_p(d, n + 1, n + 1), rel=0.02)
+
+
+@pytest.mark.parametrize("dof", [1e5, 9e5, 1.1e6, 1e9, 1e12])
+def test_t_keeps_its_digits_with_many_rows(dof):
+    normal = math.erfc(1 / math.sqrt(2))
+    density = math.exp(-0.5) / math.sqrt(2 * math.pi)
+    assert pvalues.student_t_p(1.0, dof) == pytest.approx(normal + density / dof, abs=1e-10)
+
+
+def test_chi_square_with_very_many_categories():
+    assert pvalues.chi_square_p(1e6, 10**6) == pytest.approx(0.49981, abs=1e-4)
+
+
 def test_p_values_of_nothing():
     assert pvalues.chi_square_p(None, 3) is None
     assert pvalues.student_t_p(1.0, 0) is None

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions import pvalues
-from tideline.operators.columns import numeric_columns, temporal_columns
+from tideline.operators.columns import numeric_columns
 from tideline.operators.profile import long_values, name_at, value_counts
 from tideline.operators.running import exact_quantiles, running_totals
 
@@ -39,6 +39,11 @@ def chi_square(df: DataFrame, label: str, columns: Sequence[str] | None = None,
     """
     columns = list(columns or text_columns(df, label))
     counts = value_counts(df.where(F.col(label).isNotNull()), columns, [label])
+    return chi_square_of_counts(counts, label, p_values)
+
+
+def chi_square_of_counts(counts: DataFrame, label: str, p_values: bool = True) -> DataFrame:
+    """The same from counted rows (column, value, label, n)."""
     per_value = counts.groupBy("column", "value").agg(
         F.coalesce(F.sum(F.when(F.col(label) == 0, F.col("n"))), F.lit(0)).alias("o0"),
         F.coalesce(F.sum(F.when(F.col(label) == 1, F.col("n"))), F.lit(0)).alias("o1"),
@@ -48,8 +53,9 @@ def chi_square(df: DataFrame, label: str, columns: Sequence[str] | None = None,
         F.sum("o0").alias("c0"),
         F.sum("o1").alias("c1"),
         F.count(F.lit(1)).alias("k"),
-        F.sum(F.col("o0") * F.col("o0") / r).alias("s0"),
-        F.sum(F.col("o1") * F.col("o1") / r).alias("s1"),
+        # Divided first: the square of a large count does not fit a long.
+        F.sum(F.col("o0") * (F.col("o0") / r)).alias("s0"),
+        F.sum(F.col("o1") * (F.col("o1") / r)).alias("s1"),
         F.sum(1 / r).alias("inv_rows"),
     )
     n = F.col("c0") + F.col("c1")
@@ -196,7 +202,3 @@ def gated_t_test(
         return F.when(differs | unequal, 0.0).otherwise(F.col(c)).alias(c)
 
     return joined.select("column", shown("t_statistic"), shown("p_value"))
-
-
-def not_temporal(df: DataFrame) -> DataFrame:
-    return df.drop(*temporal_columns(df))
