@@ -96,10 +96,7 @@ def class_sizes(df: DataFrame, label: str) -> dict:
 
 def balanced_subset(small: DataFrame, big: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     """Rows of ``big`` with the size and class mix of ``small``."""
-    sizes = class_sizes(small, label)
-    total = sum(sizes.values())
-    zeros = sizes.get(0, 0)
-    return sample_exactly(big, key, label, {0: zeros, 1: total - zeros}, seed)
+    return sample_exactly(big, key, label, class_sizes(small, label), seed)
 
 
 def fold_hash(df: DataFrame, key: str, folds: int, seed: int, out: str = "fold") -> DataFrame:
@@ -121,10 +118,11 @@ def _two_classes(df: DataFrame, label: str) -> tuple[object, int, object, int]:
 
 
 def under_sample(df: DataFrame, key: str, label: str, ratio: float = 0.1, seed: int = 42) -> DataFrame:
-    """All minority rows and as many majority rows as give minority/majority = ``ratio``."""
-    minority, n_min, majority, n_maj = _two_classes(df, label)
+    """As many rows of the largest class as give smallest/largest = ``ratio``; all other rows stay."""
+    _, n_min, majority, n_maj = _two_classes(df, label)
     keep = min(n_maj, math.floor(n_min / ratio + 1e-9))
-    return sample_exactly(df, key, label, {minority: n_min, majority: keep}, seed)
+    rest = df.where(~F.col(label).eqNullSafe(F.lit(majority)))
+    return rest.unionByName(sample_exactly(df, key, label, {majority: keep}, seed))
 
 
 def over_sample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
@@ -136,20 +134,30 @@ def over_sample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFram
     minority, n_min, _, n_maj = _two_classes(df, label)
     base, extra = divmod(n_maj, n_min)
     small = hash_positions(df.where(F.col(label) == minority), key, seed, label, "__p")
-    copies = F.lit(base) + F.when(F.col("__p") <= extra, 1).otherwise(0)
-    repeated = small.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop("__p")
-    rest = df.where(F.col(label) != minority).withColumn("copy", F.lit(1))
+    # One number per repeat, dealt to the rows by position: a rare row is not multiplied inside one task.
+    repeats = df.sparkSession.range(n_min * base + extra).select(
+        (F.col("id") % n_min + 1).alias("__at"), (F.floor(F.col("id") / n_min) + 1).cast("int").alias("copy")
+    )
+    repeated = small.join(repeats, F.col("__p") == F.col("__at")).drop("__p", "__at")
+    rest = df.where(~F.col(label).eqNullSafe(F.lit(minority))).withColumn("copy", F.lit(1))
     return repeated.unionByName(rest)
 
 
 def poisson_draw(u: Column, mean: float) -> Column:
-    """Poisson count from a uniform number by inversion (means up to about 1)."""
-    chain, total, term = None, 0.0, math.exp(-mean)
-    for count in range(16):
+    """Poisson count from a uniform number by inversion.
+
+    The steps go on until what is left is below the resolution of a double, so
+    no count is cut off; a mean above 100 is refused.
+    """
+    if not 0 <= mean <= 100:
+        raise ValueError("the mean must lie between 0 and 100")
+    chain, total, term, count = None, 0.0, math.exp(-mean), 0
+    while count <= mean or term > 2.0**-60:
         total += term
-        term *= mean / (count + 1)
         chain = F.when(u < total, count) if chain is None else chain.when(u < total, count)
-    return chain.otherwise(16)
+        count += 1
+        term *= mean / count
+    return chain.otherwise(count)
 
 
 def draw_rates(df: DataFrame, label: str | None) -> dict:
