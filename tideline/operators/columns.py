@@ -153,7 +153,6 @@ DEAL_STAGES = [
     "closed_lost",
 ]
 STAGE_PREFIXES = {"hs_date_entered_": "entered", "hs_date_exited_": "exited", "hs_time_in_": "time_in"}
-MAX_STAGES = 10_000
 UNUSED_STAGE_COLUMNS = [
     "closed_lost_exited",
     "closed_won_so_netsuite_exited",
@@ -189,13 +188,16 @@ def stage_column_names(columns: Sequence[str], stages: Iterable[tuple[str, str |
 def merge_stage_columns(df: DataFrame, stages: DataFrame) -> DataFrame:
     """Rename per-stage columns and merge the pipelines of each stage.
 
-    ``stages`` is the small stage lookup (one row per stage).  For every stage
+    ``stages`` is the stage lookup (one row per stage).  For every stage
     the first non-null pipeline column wins; times in stage also get a day
     count and a readable form, with zero read as missing.
     """
-    rows = [tuple(r) for r in stages.select("stage_id", "stage_name", "pipeline_label").limit(MAX_STAGES + 1).collect()]
-    if len(rows) > MAX_STAGES:
-        raise ValueError(f"more than {MAX_STAGES} stages: the lookup names columns, so it must be small")
+    stems = [c.removeprefix(p) for p in STAGE_PREFIXES for c in df.columns if c.startswith(p)]
+    # Only stages that have a column in the table are fetched, so the lookup may have any size.
+    stem = F.translate("stage_id", "-", "_")
+    used = F.exists(F.array(*[F.lit(s) for s in stems]).cast("array<string>"), lambda s: s.startswith(stem))
+    wanted = stages.select("stage_id", "stage_name", "pipeline_label").where(used).distinct()
+    rows = [tuple(r) for r in wanted.orderBy("stage_id", "stage_name", "pipeline_label").collect()]
     df = df.withColumnsRenamed(stage_column_names(df.columns, rows))
     known = set(df.columns)
     merged: dict[str, Column] = {}

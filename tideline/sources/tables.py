@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 
 from tideline.functions.dates import to_ms
 
-# Above this many keys an IN list stops being a good scan filter.
-IN_LIST_LIMIT = 1_000
-
 
 def resolve_name(database: str, table: str, stage: str = "dev", from_prod: bool = False) -> str:
     """``database.table`` for an environment.
@@ -44,19 +41,14 @@ def timestamps_to_ms(df: DataFrame) -> DataFrame:
 def key_filter(df: DataFrame, key: str, values: DataFrame | Iterable) -> DataFrame:
     """Rows whose key is among ``values``.
 
-    A short Python list becomes an ``IN`` filter that reaches the scan; a
-    DataFrame of keys, of any size, becomes a left semi join.
+    A Python list of any length becomes an ``IN`` filter, which compares like
+    any other condition and reaches the scan; a DataFrame of keys, of any
+    size, becomes a left semi join.
     """
     if isinstance(values, DataFrame):
         keys = values.select(F.col(values.columns[0]).alias(key)).distinct()
         return df.join(keys, key, "left_semi")
-    listed = list(values)
-    if len(listed) <= IN_LIST_LIMIT:
-        return df.where(F.col(key).isin(listed))
-    keys = df.sparkSession.createDataFrame(
-        [(v,) for v in listed], T.StructType([T.StructField(key, df.schema[key].dataType)])
-    )
-    return df.join(keys.distinct(), key, "left_semi")
+    return df.where(F.col(key).isin(list(values)))
 
 
 def read_table(
