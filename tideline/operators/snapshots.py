@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_snapshot(df: DataFrame, stamp: str | Column = "dumpdate") -> DataFrame:
@@ -32,18 +33,23 @@ def latest_with_ties(df: DataFrame, key: str, stamp: str) -> DataFrame:
 def latest_per_key(df: DataFrame, keys: Sequence[str], stamp: str, ties: Sequence[str]) -> DataFrame:
     """One row per key: newest stamp, then largest tie columns.  Null stamps come last.
 
-    A ``max_by`` aggregate: partial results are combined on the map side, no
-    sort per key.
+    Each task keeps its first row of a key before the shuffle, so a hot key
+    shrinks to one row per task and wide rows are shuffled at most once.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(F.col(stamp).isNotNull(), F.col(stamp), *[F.col(t) for t in ties])
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("__row"))
-    return best.select(*[F.col(k) if k in keys else F.col(f"__row.{k}").alias(k) for k in df.columns])
+    return first_per_key(df, keys, [F.desc_nulls_last(c) for c in (stamp, *ties)])
+
+
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of every key along ``order``."""
+    inside = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__place", F.row_number().over(inside)).where(F.col("__place") == 1).drop("__place")
 
 
 def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.dropDuplicates(list(keys))
+    """One row per key, the same on every run: the largest by all its other columns, in their order."""
+    unordered = (T.MapType, T.VariantType)
+    rest = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, unordered)]
+    return first_per_key(df, keys, [F.desc_nulls_last(F.col(f"`{c}`")) for c in rest] or [F.lit(0)])
 
 
 WEEK = 7 * 86_400
@@ -142,7 +148,5 @@ def nearest_snapshot(
     if per == "row":
         return matched
     distance = F.abs(F.col(anchor_time) - F.col(snapshot_time))
-    rank = F.struct(distance.isNull(), distance, F.col(snapshot_time), *[F.col(t) for t in ties])
-    rest = [c for c in matched.columns if c != key]
-    best = matched.groupBy(key).agg(F.min_by(F.struct(*rest), rank).alias("__row"))
-    return best.select(*[F.col(c) if c == key else F.col(f"__row.{c}").alias(c) for c in matched.columns])
+    order = [F.asc_nulls_last("__distance"), *[F.asc_nulls_first(c) for c in (snapshot_time, *ties)]]
+    return first_per_key(matched.withColumn("__distance", distance), [key], order).drop("__distance")

@@ -100,9 +100,11 @@ def calls(raw: DataFrame, outcomes: DataFrame) -> DataFrame:
     )
 
 
-def call_summary(prepared: DataFrame, links: DataFrame) -> DataFrame:
-    """Per deal: distinct calls overall, by outcome and direction, and durations."""
+def call_summary(prepared: DataFrame, links: DataFrame, deals: DataFrame | None = None) -> DataFrame:
+    """Per deal: distinct calls overall, by outcome and direction, and durations; only of ``deals``, if given."""
     latest = snapshots.latest_with_ties(links, "call_id", "dumpdate").select("call_id", "deal_id")
+    if deals is not None:
+        latest = joins.keep_keys(latest, deals, "deal_id", ["deal_id"])
     linked = prepared.join(latest, "call_id")
     return aggregates.conditional_unique(
         linked,
@@ -182,15 +184,14 @@ def retrieve(tables: Mapping[str, DataFrame], per: str = "key", country: str = "
         anchored, stamps, "contact_id", "compare_date_epoch", "dumpdate", per, ["id", "course_id"]
     )
 
+    placed = materialize(placed, "placed")
     known = set(t["contact_history"].columns)
-    analytics = snapshots.latest_per_key(
-        t["contact_history"].select(
-            F.col("id").alias("contact_id"), "dumpdate", *[c for c in values.CONTACT_ANALYTICS if c in known]
-        ),
-        ["contact_id", "dumpdate"],
-        "dumpdate",
-        [],
+    history = t["contact_history"].select(
+        F.col("id").alias("contact_id"), "dumpdate", *[c for c in values.CONTACT_ANALYTICS if c in known]
     )
+    # Of the largest table only the snapshots that were placed are read on.
+    asked = joins.keep_keys(history, placed, ["contact_id", "dumpdate"])
+    analytics = snapshots.any_per_key(asked, ["contact_id", "dumpdate"])
     people = contacts.select(
         F.col("id").alias("contact_id"),
         F.col("source_of_awareness").alias("source_of_awareness_onboarding"),
@@ -205,8 +206,9 @@ def retrieve(tables: Mapping[str, DataFrame], per: str = "key", country: str = "
     ]
     base = columns.select_present(base, keep)
 
-    interviews = meeting_pivot(meetings(t["meetings"]), "Interview")
-    called = call_summary(calls(t["calls"], t["call_outcomes"]), t["call_to_deal"]).drop("avg_call_duration")
+    held = joins.keep_keys(meetings(t["meetings"]), placed, "deal_id", ["deal_id"])
+    interviews = meeting_pivot(held, "Interview")
+    called = call_summary(calls(t["calls"], t["call_outcomes"]), t["call_to_deal"], placed).drop("avg_call_duration")
     return base.join(interviews, "deal_id", "left").join(called, "deal_id", "left")
 
 
