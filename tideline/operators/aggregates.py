@@ -129,10 +129,3 @@ def duplicate_report(df: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("duplicate_rows"),
         F.count(F.lit(1)).alias("duplicate_keys"),
     )
-
-
-def score_summary(df: DataFrame, name: str, score: str) -> DataFrame:
-    """Mean and population standard deviation of the scores of each name."""
-    return df.groupBy(name).agg(
-        F.avg(score).alias("mean_score"), F.stddev_pop(score).alias("std_score"), F.count(score).alias("n_scores")
-    )

@@ -276,7 +276,3 @@ def average_metrics(runs: DataFrame, metrics: Sequence[str], by: Sequence[str] =
     """Mean of each metric over repeated runs."""
     means = [F.avg(m).alias(m) for m in metrics]
     return runs.groupBy(*by).agg(*means) if by else runs.agg(*means)
-
-
-def metrics_row(values: Mapping[str, float], spark) -> DataFrame:
-    return spark.createDataFrame([tuple(values.values())], list(values))

@@ -10,6 +10,7 @@ import itertools
 import json
 import math
 import random
+import sys
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -18,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, ImputerModel, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +31,8 @@ from tideline.operators.encode import category
 from tideline.operators.joins import union_all
 from tideline.session import materialize, work_dir
 
-MISSING_NUMBER = -1e9  # below every value, so trees can split it off
-MAX_CATEGORIES = 256
+MISSING_NUMBER = -sys.float_info.max  # below every other value, so trees can split it off
+HASH_DIGITS = 12
 
 
 @dataclass
@@ -40,25 +41,47 @@ class FeatureSet:
 
     numeric: list[str]
     text: list[str] = field(default_factory=list)
+    #: Text columns that are turned into a number by hash instead of being listed: for any number of categories.
+    hashed: list[str] = field(default_factory=list)
 
     @classmethod
-    def of(cls, df: DataFrame, names: Sequence[str]) -> "FeatureSet":
+    def of(cls, df: DataFrame, names: Sequence[str], hashed: Sequence[str] = ()) -> "FeatureSet":
         kinds = {f.name: f.dataType for f in df.schema.fields}
         known = [n for n in names if n in kinds]
         text = [n for n in known if isinstance(kinds[n], T.StringType)]
-        return cls([n for n in known if n not in text], text)
+        numeric = [n for n in known if n not in text]
+        return cls(numeric, [n for n in text if n not in hashed], [n for n in text if n in hashed])
 
     @property
     def names(self) -> list[str]:
-        return self.numeric + self.text
+        return self.numeric + self.hashed + self.text
 
-    def clean(self, df: DataFrame) -> DataFrame:
-        """Numbers as doubles with missing marked, texts with null as a category."""
+    def typed(self, df: DataFrame) -> DataFrame:
+        """Numbers as doubles, listed texts with null as a category, hashed texts as their place in hash order."""
+        place = lambda c: F.conv(F.substring(F.md5(category(F.col(c))), 1, HASH_DIGITS), 16, 10).cast("double")
         return df.withColumns(
-            {c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING_NUMBER)) for c in self.numeric}
+            {c: F.col(c).cast("double") for c in self.numeric}
+            | {f"{c}__hash": place(c) for c in self.hashed}
             | {c: category(F.col(c)) for c in self.text}
         )
 
+    def clean(self, df: DataFrame) -> DataFrame:
+        """As trees read it: missing numbers are marked by a number below all others."""
+        return self.typed(df).withColumns({c: F.coalesce(F.col(c), F.lit(MISSING_NUMBER)) for c in self.numeric})
+
+    def with_presence(self, df: DataFrame) -> DataFrame:
+        """As linear models read it: missing numbers stay null, and a flag tells whether there is one."""
+        return self.typed(df).withColumns({f"{c}__known": F.col(c).isNotNull().cast("double") for c in self.numeric})
+
+    def linear_stages(self) -> list:
+        """Fill missing numbers with the fitted median, then list categories and assemble."""
+        filled = [f"{c}__filled" for c in self.numeric]
+        fill = [Imputer(strategy="median", inputCols=self.numeric, outputCols=filled)] if self.numeric else []
+        *index, assemble = self.stages()
+        known = [f"{c}__known" for c in self.numeric]
+        rest = assemble.getInputCols()[len(self.numeric) :]
+        return [*fill, *index, VectorAssembler(inputCols=[*filled, *known, *rest], outputCol="features")]
+
     def stages(self) -> list:
         coded = [f"{c}__code" for c in self.text]
         stages = []
@@ -66,7 +89,7 @@ class FeatureSet:
             stages.append(
                 StringIndexer(inputCols=self.text, outputCols=coded, handleInvalid="keep", stringOrderType="alphabetAsc")
             )
-        stages.append(VectorAssembler(inputCols=self.numeric + coded, outputCol="features"))
+        stages.append(VectorAssembler(inputCols=[*self.numeric, *[f"{c}__hash" for c in self.hashed], *coded], outputCol="features"))
         return stages
 
 
@@ -88,9 +111,16 @@ def fit_boosted(
     positive_weight: float | None = None,
     weight: str | None = None,
     seed: int = 42,
+    min_gain: float = 0.0,
+    column_sample: str = "all",
+    hashed: Sequence[str] = (),
 ) -> PipelineModel:
-    """Boosted trees on the given columns; text columns are split as categories."""
-    fs = FeatureSet.of(df, features)
+    """Boosted trees on the given columns; text columns are split as categories.
+
+    The values of a category column are listed on the driver.  Columns named
+    in ``hashed`` are not: they are ordered by hash, whatever their number of values.
+    """
+    fs = FeatureSet.of(df, features, hashed)
     rows = _weighted(fs.clean(df.select(*{*fs.names, label, *([weight] if weight else [])})), label, positive_weight)
     prepared = Pipeline(stages=fs.stages()).fit(rows)
     arities = [len(a) + 1 for a in prepared.stages[0].labelsArray] if fs.text else []
@@ -102,11 +132,11 @@ def fit_boosted(
         stepSize=step,
         subsamplingRate=subsample,
         minInstancesPerNode=min_child,
+        minInfoGain=min_gain,
+        featureSubsetStrategy=column_sample,
         maxBins=max(32, *arities, 0),
         seed=seed,
     )
-    if arities and max(arities) > MAX_CATEGORIES:
-        raise ValueError(f"a text feature has {max(arities)} categories; label-encode it first")
     if weight or positive_weight is not None:
         learner = learner.setWeightCol(weight or "__weight")
     model = learner.fit(prepared.transform(rows))
@@ -117,9 +147,10 @@ def model_features(model: PipelineModel) -> FeatureSet:
     """The columns a fitted model reads."""
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     inputs = assembler.getInputCols()
-    return FeatureSet(
-        [c for c in inputs if not c.endswith("__code")], [c[: -len("__code")] for c in inputs if c.endswith("__code")]
-    )
+    ending = lambda mark: [c.removesuffix(mark) for c in inputs if c.endswith(mark)]
+    marked = ("__code", "__hash", "__known", "__filled")
+    numeric = ending("__filled") or [c for c in inputs if not c.endswith(marked)]
+    return FeatureSet(numeric, ending("__code"), ending("__hash"))
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "probability_1") -> DataFrame:
@@ -127,7 +158,8 @@ def score(model: PipelineModel, df: DataFrame, out: str = "probability_1") -> Da
     fs = model_features(model)
     kept = [F.col(f"`{c}`").alias(f"__keep_{c}") for c in df.columns]
     wide = df.select(*kept, *[F.col(f"`{c}`") for c in fs.names])
-    scored = model.transform(fs.clean(wide))
+    linear = any(isinstance(s, ImputerModel) for s in model.stages)
+    scored = model.transform(fs.with_presence(wide) if linear else fs.clean(wide))
     return scored.select(
         *[F.col(f"`__keep_{c}`").alias(c) for c in df.columns], vector_to_array("probability")[1].alias(out)
     )
@@ -163,14 +195,20 @@ def fit_logistic(
     max_iter: int = 10,
     regularization: float = 1e-3,
 ) -> tuple[PipelineModel, DataFrame]:
-    """L2 logistic regression with optional row weights, and its area on both sets."""
+    """L2 logistic regression with optional row weights, and its area on both sets.
+
+    Missing numbers are filled with the median of the training rows and flagged;
+    a column without any number in them is left out.
+    """
     fs = FeatureSet.of(train, features)
+    held = train.agg(F.lit(0), *[F.count(F.col(c).cast("double")) for c in fs.numeric]).first()[1:]
+    fs.numeric = [c for c, n in zip(fs.numeric, held) if n]
     learner = LogisticRegression(
         labelCol=label, featuresCol="features", maxIter=max_iter, regParam=regularization, elasticNetParam=0.0
     )
     if weight:
         learner = learner.setWeightCol(weight)
-    model = Pipeline(stages=[*fs.stages(), learner]).fit(fs.clean(train))
+    model = Pipeline(stages=[*fs.linear_stages(), learner]).fit(fs.with_presence(train))
     areas = [
         evaluate.roc_auc(score(model, part), label, "probability_1").select(F.lit(name).alias("part"), "roc_auc")
         for name, part in (("train", train), ("test", test))
