@@ -4,13 +4,14 @@ A line is removed if an earlier line is like it: the Jaccard similarity of
 their sets of five-word shingles is 0.8 or more.  Equal lines are collapsed
 first; everything after works on first occurrences.
 
-The tokens of a line are its shingle hashes.  Under any fixed order two similar
-lines share at least ``SLACK + 1`` of their first ``n - ceil(0.8 n) + 1 + SLACK``
-tokens.  That part is taken in hash order; in it the tokens are counted over
-the whole corpus and put in the order of rarity, the ``SLACK`` most frequent
-ones are left out, and tokens that no other line has drop out by themselves.
-Lines that share one of the rest, fit in length and leave enough room behind
-the shared position are candidates and are verified exactly.
+Under any order of all tokens two similar lines share one of their first
+``n - ceil(0.8 n) + 1``.  The filter is applied twice.  In hash order it needs
+no counts, and a line none of whose first tokens occurs in another line is
+finished; that is most of them.  For the lines left all tokens are counted, put
+in the order of rarity, and the filter is applied again, now with the tokens
+that many lines share at the end.  Lines that still share a token, fit in
+length and leave enough room behind the shared position are candidates and are
+verified exactly.
 
 A line is first compared with the earliest line of each of its tokens.  Only
 lines that this does not remove are compared with all their earlier
@@ -29,7 +30,6 @@ from tideline.session import materialize
 
 SHINGLE = 5
 PERCENT = 80
-SLACK = 2
 
 ORDER = ("doc_id", "text_hash", "line_no")
 
@@ -60,57 +60,57 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 
 def reach(n: Column, percent: int = PERCENT) -> Column:
-    """How many first tokens decide, without slack."""
+    """How many first tokens of a line with ``n`` decide."""
     return n - F.floor((percent * n + 99) / 100).cast("int") + 1
 
 
 def first_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Distinct lines with words: key, the earliest place, the number of shingles and the first of them."""
+    """Distinct lines with words: key, the earliest place, and the first tokens in hash order."""
     lines = split_lines(docs).select(*ORDER, F.xxhash64(F.lower("line")).alias("key"), shingles(F.col("line")).alias("tokens"))
-    kept = lines.where(F.size("tokens") > 0).select(
-        "key",
-        F.struct(
-            *ORDER,
-            F.size("tokens").alias("n"),
-            F.slice("tokens", F.lit(1), reach(F.size("tokens"), percent) + SLACK).alias("head"),
-        ).alias("first"),
-    )
+    head = F.slice("tokens", F.lit(1), reach(F.size("tokens"), percent)).alias("head")
+    kept = lines.where(F.size("tokens") > 0).select("key", F.struct(*ORDER, head).alias("first"))
     return kept.groupBy("key").agg(F.min("first").alias("first")).select("key", "first.*")
 
 
-def rare_prefixes(firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, key, n, at, last, place) for the tokens of the rarity prefix that several lines have.
-
-    ``at`` is the token's position in it, ``last`` the highest hash that the rarity order was made of.
-    """
-    place = F.struct(*ORDER).alias("place")
+def sharing_lines(firsts: DataFrame) -> DataFrame:
+    """Keys of the lines that share one of their first tokens in hash order."""
     rows = firsts.select(F.explode("head").alias("token"), "key")
+    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("token")
+    return rows.join(shared, "token", "left_semi").select("key").distinct()
+
+
+def token_sets(asked: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, place, tokens): the whole shingle sets of the asked lines (key and place), cut from their documents."""
+    by_doc = asked.groupBy("place.doc_id", "place.text_hash").agg(F.collect_list(F.struct("place", "key")).alias("asked"))
+    held = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+
+    def cut(lines: Column) -> Column:
+        tokens = lambda a: shingles(F.get(lines, a["place"]["line_no"]))
+        return F.transform("asked", lambda a: F.struct(a["key"].alias("key"), a["place"].alias("place"), tokens(a).alias("tokens")))
+
+    sets = let(F.split("text", "\n"), cut)
+    return held.join(by_doc, same).select(F.explode(sets).alias("s")).select("s.*").dropDuplicates(["key"])
+
+
+def rare_prefixes(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, key, n, at, place) for the tokens of the rarity prefix that several lines have; ``at`` is the position."""
+    rows = sets.select(F.explode("tokens").alias("token"), "key")
     counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
     shared = materialize(rows.join(counts, "token"), "shared-tokens")
-    facts = firsts.select("key", "n", F.size("head").alias("taken"), F.element_at("head", -1).alias("last"), place)
     rarity = Window.partitionBy("key").orderBy("lines", "token")
     # Tokens of this line alone come first and take part in nothing.
-    alone = F.col("taken") - F.count(F.lit(1)).over(Window.partitionBy("key"))
-    ranked = shared.join(facts, "key").withColumn("at", alone + F.row_number().over(rarity) - 1)
-    return ranked.where(F.col("at") < F.least(reach(F.col("n"), percent), F.col("taken"))).select("token", "key", "n", "at", "last", "place")
+    own = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    facts = sets.select("key", F.size("tokens").alias("n"), "place")
+    ranked = shared.withColumns({"__own": own, "__rank": F.row_number().over(rarity)}).join(facts, "key")
+    at = (F.col("n") - F.col("__own") + F.col("__rank") - 1).cast("int")
+    return ranked.withColumn("at", at).where(F.col("at") < reach(F.col("n"), percent)).select("token", "key", "n", "at", "place")
 
 
 def _fits(a: Column, b: Column, percent: int) -> Column:
     return (percent * a <= 100 * b) & (percent * b <= 100 * a)
 
 
-def token_sets(asked: DataFrame, docs: DataFrame) -> DataFrame:
-    """(key, tokens): the whole shingle sets of the asked lines (key and place), cut from their documents."""
-    by_doc = asked.groupBy("place.doc_id", "place.text_hash").agg(F.collect_list(F.struct("place.line_no", "key")).alias("asked"))
-    held = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
-    sets = let(
-        F.split("text", "\n"),
-        lambda lines: F.transform("asked", lambda a: F.struct(a["key"].alias("key"), shingles(F.get(lines, a["line_no"])).alias("tokens"))),
-    )
-    return held.join(by_doc, same).select(F.explode(sets).alias("s")).select("s.*").dropDuplicates(["key"])
-
-
 def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The keys of later lines (key, other) whose shingle sets reach the similarity with the earlier one."""
     both = pairs.join(sets.withColumnRenamed("tokens", "a"), "key").join(
@@ -122,10 +122,12 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 
 def similar_to_earlier(docs: DataFrame, firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Keys of distinct lines to which an earlier line is similar."""
-    prefixes = materialize(rare_prefixes(firsts, percent), "line-prefixes")
+    sharing = materialize(sharing_lines(firsts), "sharing-lines")
+    asked = firsts.join(sharing, "key").select("key", F.struct(*ORDER).alias("place"))
+    sets = materialize(token_sets(asked, docs), "line-sets")
+    prefixes = materialize(rare_prefixes(sets, percent), "line-prefixes")
     groups = prefixes.groupBy("token").agg(F.min(F.struct("place", "key", "n")).alias("e"), F.count(F.lit(1)).alias("m"))
     prefixes = materialize(prefixes.join(groups.where("m > 1").drop("m"), "token"), "line-groups")
-    sets = materialize(token_sets(prefixes.select("key", "place").distinct(), docs), "line-sets")
     stars = (
         prefixes.where((F.col("key") != F.col("e.key")) & _fits(F.col("n"), F.col("e.n"), percent))
         .select("key", F.col("e.key").alias("other"))
@@ -133,12 +135,11 @@ def similar_to_earlier(docs: DataFrame, firsts: DataFrame, percent: int = PERCEN
     )
     stars = materialize(stars, "line-stars")
     found = materialize(verify(stars, sets, percent), "line-found")
-    left = prefixes.join(found, "key", "left_anti")
-    earlier = prefixes.select("token", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "at", "last", "place")])
+    left = prefixes.join(found, "key", "left_anti").drop("e")
+    earlier = prefixes.select("token", *[F.col(c).alias(f"{c}_b") for c in ("key", "n", "at", "place")])
     earlier = earlier.withColumnRenamed("key_b", "other")
-    # The line that was ordered up to the lower hash has all it shares in the order of the other one.
-    # If this is the first token they share, nothing before it is common.
-    room = F.when(F.col("last_b") <= F.col("last"), F.col("n_b") - F.col("at_b")).otherwise(F.col("n") - F.col("at"))
+    # If this is the first token they share, at most what follows it in either line is common.
+    room = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
     enough = (100 + percent) * room >= percent * (F.col("n") + F.col("n_b"))
     rest = (
         left.join(earlier, "token")
