@@ -135,7 +135,8 @@ def split(blocks: DataFrame, shard_words: int = SHARD_WORDS, seed: int = 42) ->
     words, count = blocks.agg(F.sum("words"), F.count(F.lit(1))).first()
     shards = max(1, min(count, -(-(words or 0) // shard_words)))
     # A node is the range of shards below it.
-    nodes = blocks.select("pos", "block", F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("shards"))
+    root = blocks.select("pos", "block", F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("shards"))
+    nodes = materialize(root, "split")
     level = 0
     while (1 << level) < shards:
         key = F.xxhash64("pos", "block", F.lit(level), F.lit(seed))
