@@ -190,7 +190,7 @@ def retrieve(tables: Mapping[str, DataFrame], per: str = "key", country: str = "
         F.col("id").alias("contact_id"), "dumpdate", *[c for c in values.CONTACT_ANALYTICS if c in known]
     )
     # Of the largest table only the snapshots that were placed are read on.
-    asked = joins.keep_keys(history, placed, ["contact_id", "dumpdate"])
+    asked = joins.keep_keys(history, placed, ["contact_id", "dumpdate"], ["contact_id", "dumpdate"])
     analytics = snapshots.any_per_key(asked, ["contact_id", "dumpdate"])
     people = contacts.select(
         F.col("id").alias("contact_id"),
