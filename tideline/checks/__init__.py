@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["relational", "features", "modelling", "workload"]
+MODULES = ["relational", "features", "modelling", "workload", "edges"]
 
 
 def load_all() -> None:

@@ -21,7 +21,6 @@ from tideline.operators.running import exact_quantiles
 
 MISSING_CATEGORY = "<NA>"
 MEDIAN = "median()"
-DEFAULT_CAP = 10_000
 
 
 class VocabularyTooLarge(ValueError):
@@ -187,21 +186,23 @@ def vocabularies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long_values(texts, columns, "string").distinct().select(name_at(columns), "value")
 
 
-def _collect_vocabulary(table: DataFrame, columns: Sequence[str], cap: int) -> dict[str, list[str]]:
-    """Fetch the values; more than ``cap`` for a column is an error, not a cut.
+def _collect_vocabulary(table: DataFrame, columns: Sequence[str], cap: int | None) -> dict[str, list[str]]:
+    """Fetch the values, which become columns of their own.
 
-    At most ``cap`` values per column, and one more, reach the driver.
+    With ``cap``, more values than that for a column are an error and not a
+    cut.  For columns of any number of values there is the sparse form.
     """
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in table.limit(cap * len(columns) + 1).collect():
+    if cap is not None:
+        over = table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap).select("column").collect()
+        if over:
+            raise VocabularyTooLarge(f"{over[0][0]} has more than {cap} categories")
+    for r in table.collect():
         found[r["column"]].append(r["value"])
-    for c, values in found.items():
-        if len(values) > cap:
-            raise VocabularyTooLarge(f"{c} has more than {cap} categories")
     return {c: sorted(v) for c, v in found.items()}
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str], cap: int = DEFAULT_CAP) -> dict[str, list[str]]:
+def fit_one_hot(df: DataFrame, columns: Sequence[str], cap: int | None = None) -> dict[str, list[str]]:
     return _collect_vocabulary(vocabularies(df, columns), columns, cap)
 
 
@@ -219,11 +220,51 @@ def apply_one_hot(df: DataFrame, fitted: Mapping[str, Sequence[str]]) -> DataFra
     return df.select(*[F.col(f"`{s}`").alias(k) for s, k in zip(sources, kept)], *added)
 
 
-def fit_multi_hot(df: DataFrame, columns: Sequence[str], cap: int = DEFAULT_CAP, separator: str = ";") -> dict[str, list[str]]:
-    """Items that occur in delimited lists; rows without a list add none."""
+def list_vocabularies(df: DataFrame, columns: Sequence[str], separator: str = ";") -> DataFrame:
+    """(column, value) of every item of delimited lists; rows without a list add none."""
     lists = long_values(df, columns, "string").distinct()
     items = lists.select("i", F.explode(F.split("value", separator, -1)).alias("value")).distinct()
-    return _collect_vocabulary(items.select(name_at(columns), "value"), columns, cap)
+    return items.select(name_at(columns), "value")
+
+
+def fit_multi_hot(df: DataFrame, columns: Sequence[str], cap: int | None = None, separator: str = ";") -> dict[str, list[str]]:
+    """Items that occur in delimited lists; rows without a list add none."""
+    return _collect_vocabulary(list_vocabularies(df, columns, separator), columns, cap)
+
+
+# -- sparse encoding ----------------------------------------------------------
+
+
+def fit_places(vocabulary: DataFrame) -> DataFrame:
+    """(column, value, place): a place of its own for each value of a vocabulary, from 0, by column and value.
+
+    The vocabulary stays a table, so a column may have any number of values.
+    """
+    from tideline.operators.running import row_numbers
+
+    numbered = row_numbers(vocabulary.select("column", "value").distinct(), ["column", "value"], "__n")
+    return numbered.select("column", "value", (F.col("__n") - 1).alias("place"))
+
+
+def encode_sparse(
+    df: DataFrame, key: str, places: DataFrame, columns: Sequence[str], lists: Sequence[str] = (), separator: str = ";", out: str = "encoded"
+) -> DataFrame:
+    """Add the places of a row's categories and list items: a sorted array ``out`` of the ones of a 0/1 vector.
+
+    ``columns`` hold one category each (null is one of its own), ``lists``
+    delimited items.  Unknown values have no place.  ``key`` must be unique.
+    """
+    items = [F.array(category(F.col(c))) for c in columns]
+    items += [F.coalesce(F.split(F.col(c), separator, -1), F.array().cast("array<string>")) for c in lists]
+
+    def named(column: str, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(column).alias("column"), v.alias("value")))
+
+    pairs = [named(c, i) for c, i in zip([*columns, *lists], items)]
+    long = df.select(F.col(key).alias("__key"), F.explode(F.concat(*pairs)).alias("p")).select("__key", "p.*")
+    found = long.join(places, ["column", "value"]).groupBy("__key").agg(F.array_sort(F.collect_set("place")).alias("__ones"))
+    ones = F.coalesce("__ones", F.array().cast("array<bigint>"))
+    return df.join(found, df[key] == found["__key"], "left").withColumn(out, ones).drop("__key", "__ones")
 
 
 def item_name(column: str, item: str) -> str:

@@ -103,6 +103,13 @@ def common_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.select(key).intersect(right.select(key))
 
 
+def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that occur more often on one side, with that ``side``, each as often as it is missing on the other."""
+    names = left.columns
+    more = lambda a, b, side: a.exceptAll(b.select(*names)).withColumn("side", F.lit(side))
+    return more(left, right, "left").unionByName(more(right.select(*names), left, "right"))
+
+
 def column_sets(left: DataFrame, right: DataFrame) -> dict[str, list[str]]:
     """Column names on one side only, on both, and on exactly one of the two."""
     a, b = left.columns, right.columns
