@@ -5,11 +5,12 @@ their sets of five-word shingles is 0.8 or more.  Equal lines are collapsed
 first; everything after works on first occurrences.
 
 Under any order of all tokens two similar lines share one of their first
-``n - ceil(0.8 n) + 1``.  The filter is applied twice.  In hash order it needs
-no counts, and a line none of whose first tokens occurs in another line is
-finished; that is most of them.  For the lines left all tokens are counted, put
-in the order of rarity, and the filter is applied again, now with the tokens
-that many lines share at the end.  Lines that still share a token, fit in
+``n - ceil(0.8 n) + 1``, and ``s + 1`` of the first ``s`` more.  The filter is
+applied twice.  In hash order it needs no counts beforehand: a line that has
+too few first tokens in common with other lines is finished, and that is most
+of them.  For the lines left all tokens are counted, put in the order of
+rarity, and the filter is applied again, now with the tokens that many lines
+share at the end.  Lines that still share a token, fit in
 length and leave enough room behind the shared position are candidates and are
 verified exactly.
 
@@ -64,19 +65,35 @@ def reach(n: Column, percent: int = PERCENT) -> Column:
     return n - F.floor((percent * n + 99) / 100).cast("int") + 1
 
 
+def slack(n: Column, percent: int = PERCENT) -> Column:
+    """How many more are taken in hash order: half as many, if there are."""
+    return F.least(F.ceil(reach(n, percent) / 2).cast("int"), n - reach(n, percent))
+
+
+def needed(n: Column, percent: int = PERCENT) -> Column:
+    """How many of them a similar line has in its own, at least.
+
+    The line whose last taken hash is lower has all that it shares among the
+    other's, which is its slack and one; it may be the shorter one.
+    """
+    return slack(F.floor((percent * n + 99) / 100).cast("int"), percent) + 1
+
+
 def first_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Distinct lines with words: key, the earliest place, and the first tokens in hash order."""
+    """Distinct lines with words: key, the earliest place, the number of tokens, and the first in hash order."""
     lines = split_lines(docs).select(*ORDER, F.xxhash64(F.lower("line")).alias("key"), shingles(F.col("line")).alias("tokens"))
-    head = F.slice("tokens", F.lit(1), reach(F.size("tokens"), percent)).alias("head")
-    kept = lines.where(F.size("tokens") > 0).select("key", F.struct(*ORDER, head).alias("first"))
+    n = F.size("tokens")
+    head = F.slice("tokens", F.lit(1), reach(n, percent) + slack(n, percent)).alias("head")
+    kept = lines.where(n > 0).select("key", F.struct(*ORDER, n.alias("n"), head).alias("first"))
     return kept.groupBy("key").agg(F.min("first").alias("first")).select("key", "first.*")
 
 
-def sharing_lines(firsts: DataFrame) -> DataFrame:
-    """Keys of the lines that share one of their first tokens in hash order."""
+def sharing_lines(firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Keys of the lines that share as many of their first tokens in hash order as a similar line would."""
     rows = firsts.select(F.explode("head").alias("token"), "key")
     shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("token")
-    return rows.join(shared, "token", "left_semi").select("key").distinct()
+    common = rows.join(shared, "token", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("common"))
+    return common.join(firsts.select("key", "n"), "key").where(F.col("common") >= needed(F.col("n"), percent)).select("key")
 
 
 def token_sets(asked: DataFrame, docs: DataFrame) -> DataFrame:
@@ -122,7 +139,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFra
 
 def similar_to_earlier(docs: DataFrame, firsts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Keys of distinct lines to which an earlier line is similar."""
-    sharing = materialize(sharing_lines(firsts), "sharing-lines")
+    sharing = materialize(sharing_lines(firsts, percent), "sharing-lines")
     asked = firsts.join(sharing, "key").select("key", F.struct(*ORDER).alias("place"))
     sets = materialize(token_sets(asked, docs), "line-sets")
     prefixes = materialize(rare_prefixes(sets, percent), "line-prefixes")
