@@ -32,13 +32,13 @@ class VocabularyTooLarge(ValueError):
 
 def fit_fill(df: DataFrame, values: Mapping[str, object]) -> dict[str, object]:
     """Resolve ``median()`` entries; the others are taken as they are."""
-    fitted = {}
-    for c, value in values.items():
-        if value == MEDIAN:
-            row = exact_quantiles(df.select(c), c, {"m": 0.5}).first()
-            value = row["m"] if row else None
-        fitted[c] = value
-    return fitted
+    wanted = [c for c, value in values.items() if value == MEDIAN]
+    medians = {}
+    if wanted:
+        # All columns in one pass; a column without a value has no median.
+        long = long_values(df, wanted, "double").select(name_at(wanted), "value")
+        medians = {r["column"]: r["m"] for r in exact_quantiles(long, "value", {"m": 0.5}, ["column"]).collect()}
+    return {c: medians.get(c) if value == MEDIAN else value for c, value in values.items()}
 
 
 def apply_fill(df: DataFrame, fitted: Mapping[str, object]) -> DataFrame:

@@ -13,10 +13,12 @@ import random
 import sys
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, ImputerModel, StringIndexer, VectorAssembler
@@ -218,6 +220,15 @@ def fit_logistic(
 
 # -- search ------------------------------------------------------------------
 
+#: Independent fits that run at the same time; each is a chain of small jobs that leaves executors idle.
+AT_ONCE = 4
+
+
+def several(run: Callable, tasks: Sequence) -> list:
+    """Results of independent fits in the order of the tasks."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.getActiveSession())(run), tasks))
+
 
 def candidates(grid: Mapping[str, Sequence], draws: int | None = None, seed: int = 1042) -> list[dict]:
     """All combinations, or a seeded draw of them without repetition."""
@@ -255,11 +266,14 @@ def search(
     folded = materialize(
         sampling.fold_stratified(df.select(*{key, label, *features}), key, label, folds, 1000 + seed), "folds"
     )
-    rows = []
-    for number, params in enumerate(candidates(grid, draws, 1000 + seed)):
-        for f in range(folds):
-            model = fit(folded.where(F.col("fold") != f), features, label, **params)
-            rows.append((number, json.dumps(params), f, accuracy(model, folded.where(F.col("fold") == f), label)))
+
+    def run(task: tuple[int, dict, int]) -> tuple:
+        number, params, f = task
+        model = fit(folded.where(F.col("fold") != f), features, label, **params)
+        return number, json.dumps(params), f, accuracy(model, folded.where(F.col("fold") == f), label)
+
+    drawn = enumerate(candidates(grid, draws, 1000 + seed))
+    rows = several(run, [(number, params, f) for number, params in drawn for f in range(folds)])
     table = df.sparkSession.createDataFrame(rows, "candidate int, params string, fold int, score double")
     means: dict[int, list[float]] = {}
     for number, _, _, value in rows:
@@ -279,11 +293,13 @@ def compare_models(
 ) -> DataFrame:
     """(model, fold, score) by cross-validation, one row per fit."""
     folded = materialize(sampling.fold_stratified(df, key, label, folds, seed), "folds")
-    rows = []
-    for name, fit in models.items():
-        for f in range(folds):
-            model = fit(folded.where(F.col("fold") != f).drop("fold"))
-            rows.append((name, f, accuracy(model, folded.where(F.col("fold") == f), label)))
+
+    def run(task: tuple[str, int]) -> tuple:
+        name, f = task
+        model = models[name](folded.where(F.col("fold") != f).drop("fold"))
+        return name, f, accuracy(model, folded.where(F.col("fold") == f), label)
+
+    rows = several(run, [(name, f) for name in models for f in range(folds)])
     return df.sparkSession.createDataFrame(rows, "model string, fold int, score double")
 
 
@@ -470,13 +486,12 @@ def fit_bags(
     """One model per balanced bootstrap replicate."""
     rows = df.select(*dict.fromkeys([key, label, *features]))
     rates = sampling.draw_rates(rows, label)
-    return [
-        fit_boosted(
-            sampling.bag_weights(rows, key, b, seed, label, rates).withColumn("weight", F.col("weight").cast("double")),
-            features, label, weight="weight", **params,
-        )
-        for b in range(bags)
-    ]
+
+    def run(b: int) -> PipelineModel:
+        drawn = sampling.bag_weights(rows, key, b, seed, label, rates).withColumn("weight", F.col("weight").cast("double"))
+        return fit_boosted(drawn, features, label, weight="weight", **params)
+
+    return several(run, range(bags))
 
 
 def score_bags(models: Sequence[PipelineModel], df: DataFrame, out: str = "probability_1") -> DataFrame:

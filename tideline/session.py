@@ -79,5 +79,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this application has written.
+
+    Call it when no result that reads them is needed any more.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path("/".join([work_dir(spark), "tideline", context.applicationId]))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local_cores(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
