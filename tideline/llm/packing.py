@@ -119,7 +119,16 @@ def token_pieces(
 
 
 def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Bin patterns and how often each is used; together they take every piece exactly once."""
+    """Bin patterns and how often each is used; together they take every piece exactly once.
+
+    On few pieces the replacements can use up short ones that are missed later;
+    if filling greedily alone needs fewer bins, that plan is taken.
+    """
+    plans = [_fill(counts, capacity, replace) for replace in (True, False)]
+    return min(plans, key=lambda patterns: sum(times for _, times in patterns))
+
+
+def _fill(counts: Mapping[int, int], capacity: int, replace: bool) -> list[tuple[list[int], int]]:
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, count in counts.items():
         if not 1 <= length <= capacity:
@@ -136,7 +145,7 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[list
             held.append(length)
             free[length] -= 1
             gap -= length
-        while gap and len(held) > 1:
+        while replace and gap and len(held) > 1:
             smallest = min(held)
             pair = _tightest_pair(free, smallest, smallest + gap)
             if pair is None:
@@ -155,14 +164,14 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[list
 
 
 def _tightest_pair(free: np.ndarray, over: int, room: int) -> list[int] | None:
-    """Two free pieces with the largest sum above ``over`` that fits ``room``; of those the most unequal."""
+    """Two free pieces with the largest sum above ``over`` that fits ``room``; of those the most equal, as short ones fill best."""
     for total in range(room, max(over, 1), -1):
         small = np.arange(1, total // 2 + 1)
         good = (free[small] > 0) & (free[total - small] > 0)
         if total % 2 == 0:
             good[-1] = free[total // 2] > 1
         if good.any():
-            a = int(small[good.argmax()])
+            a = int(small[np.flatnonzero(good)[-1]])
             return [a, total - a]
     return None
 
