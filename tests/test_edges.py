@@ -138,3 +138,17 @@ def test_synthetic_rows_have_keys_of_their_own(spark, method, features):
     made = train.resampled(rows, method, "k", "y", features, 1)
     assert made.count() == 200
     assert made.select("k").distinct().count() == 200 and made.where("k is null").count() == 0
+
+
+def test_career_popularity_is_that_of_the_fitted_rows(rows):
+    schema = (
+        "current_company_industry string, feat_final_education_field string, previous_position string, "
+        "feat_final_current_job string, current_company_size int, target int"
+    )
+    fit = rows([(" IT ", "Law", "a", "b", 5, 1), ("it", "Art", "a", "a", 5, 0), ("Media", "Law", None, "b", 5, 1)], schema)
+    texts = ["current_company_industry", "feat_final_education_field", "previous_position", "feat_final_current_job"]
+    fitted = encode.fit_career(fit, texts)
+    new = rows([("IT", "law", "x", "x", 5, -1), ("Unseen", None, "x", "y", 5, -1)], schema)
+    got = {r["current_company_industry"]: r for r in encode.apply_career(new, texts, fitted).collect()}
+    assert got["it"]["industry_popularity"] == 0.5 and got["it"]["industry_popularity_all"] == pytest.approx(2 / 3)
+    assert got["it"]["field_of_study_popularity"] == 1.0 and got["unseen"]["industry_popularity"] is None

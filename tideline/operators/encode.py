@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions import dates, numeric, text
-from tideline.operators.aggregates import add_frequency
+from tideline.operators.aggregates import relative_frequency
 from tideline.operators.profile import long_values, name_at
 from tideline.operators.running import exact_quantiles
 
@@ -321,18 +321,38 @@ def recency_scores(
     return df.withColumns(scores)
 
 
-def career_features(df: DataFrame, texts: Sequence[str], target: str = "target") -> DataFrame:
-    """Cleaned career texts, size band, popularity among all rows and among positives, progression."""
+def _career_texts(df: DataFrame, texts: Sequence[str]) -> DataFrame:
     clean = {c: text.lower_trim(F.col(c)) for c in texts}
     for c in ("previous_position", "feat_final_current_job", "feat_final_education_field"):
         clean[c] = F.coalesce(clean.get(c, F.col(c)), F.lit(""))
-    df = df.withColumns(clean).withColumns(
-        {"company_size_category": numeric.company_size_band(F.col("current_company_size"))}
-    )
+    return df.withColumns(clean)
+
+
+def fit_career(df: DataFrame, texts: Sequence[str], target: str = "target") -> dict[str, DataFrame]:
+    """Popularity tables (value, share) of the training rows: among the positives, and of industries among all rows."""
+    df = _career_texts(df, texts)
     won = F.col(target) == 1
-    df = add_frequency(df, "current_company_industry", "industry_popularity", won & (F.col("current_company_industry") != ""))
-    df = add_frequency(df, "current_company_industry", "industry_popularity_all")
-    df = add_frequency(df, "feat_final_education_field", "field_of_study_popularity", won)
+    industry, field_of_study = "current_company_industry", "feat_final_education_field"
+    tables = {
+        "industry_popularity": relative_frequency(df, industry, "share", won & (F.col(industry) != "")),
+        "industry_popularity_all": relative_frequency(df, industry, "share"),
+        "field_of_study_popularity": relative_frequency(df, field_of_study, "share", won),
+    }
+    return {name: t.select(F.col(t.columns[0]).alias("value"), "share") for name, t in tables.items()}
+
+
+def apply_career(df: DataFrame, texts: Sequence[str], fitted: Mapping[str, DataFrame]) -> DataFrame:
+    """Cleaned career texts, size band, fitted popularities (null for unseen values) and progression."""
+    df = _career_texts(df, texts).withColumn("company_size_category", numeric.company_size_band(F.col("current_company_size")))
+    for name, table in fitted.items():
+        column = "feat_final_education_field" if name.startswith("field") else "current_company_industry"
+        known = table.select(F.col("value").alias("__value"), F.col("share").alias(name))
+        df = df.join(known, F.col(column) == F.col("__value"), "left").drop("__value")
     return df.withColumn(
         "career_progression", numeric.changed_flag(F.col("previous_position"), F.col("feat_final_current_job"))
     )
+
+
+def career_features(df: DataFrame, texts: Sequence[str], target: str = "target") -> DataFrame:
+    """Career features of the rows that the popularities are fitted on."""
+    return apply_career(df, texts, fit_career(df, texts, target))
