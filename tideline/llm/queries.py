@@ -187,3 +187,48 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier line is like."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+ORACLES["op1_ngram_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w
+), t AS (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s
+), e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 180 * count(*) >= 80 * (any_value(a.n) + any_value(b.n))
+), r(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id
+)
+SELECT s.doc_id, len(sh) AS n_shingles, min(c) AS component_id FROM s JOIN r USING (doc_id) GROUP BY s.doc_id, sh
+"""
+
+ORACLES["op8_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id, line_no) AS r, regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+') AS ws FROM l
+), s AS (
+  SELECT r, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                 ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))) END AS sh FROM w
+), f AS (
+  SELECT sh, min(r) AS r, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh
+), t AS (
+  SELECT r, n, unnest(sh) AS g FROM f
+), later AS (
+  SELECT b.r FROM t a JOIN t b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r HAVING 180 * count(*) >= 80 * (any_value(a.n) + any_value(b.n))
+), gone AS (
+  SELECT s.r FROM s JOIN f USING (sh) WHERE s.r > f.r UNION SELECT r FROM later
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone.r IS NOT NULL) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (gone.r IS NULL), '') AS text
+  FROM w LEFT JOIN gone ON w.r = gone.r GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept.text AS text
+FROM (SELECT doc_id FROM documents) LEFT JOIN kept USING (doc_id)
+"""
