@@ -94,6 +94,26 @@ def test_keep_first_leaves_columns_and_clean_documents(spark, prose, edited):
     assert sorted((r["component_id"] for r in kept.collect())) == [2, 3, 4, 5, 6]
 
 
+def test_keep_first_decides_every_row_by_its_own_text(spark, prose, edited):
+    base, other = prose(3, 80), prose(40, 80)
+    near = edited(other, 5, 1)
+    rows = [(1, base, 0), (7, edited(base, 1, 1), 1)]  # 7 links to 1, and its other rows are clean
+    rows += [(7, prose(20 + i, 60), 2 + i) for i in range(5)]
+    rows += [(5, other, 10), (5, other, 10), (5, other, 11), (5, near, 12), (5, near, 12)]  # one of all these
+    rows += [(None, prose(50, 70), 20), (None, prose(50, 70), 20), (None, edited(prose(50, 70), 6, 1), 21), (None, prose(51, 70), 22)]
+    rows += [(8, "", 30), (8, "", 30), (None, None, 31), (None, None, 31)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    kept = [tuple(r) for r in jaccard_join.keep_first(docs).collect()]
+    assert not set(kept) - set(rows)
+    numbers = sorted(n for _, _, n in kept)
+    assert [n for n in numbers if n < 10] == [0, 2, 3, 4, 5, 6]
+    assert len([n for n in numbers if 10 <= n < 20]) == 1
+    assert len([n for n in numbers if n in (20, 21)]) == 1 and numbers.count(22) == 1
+    assert [n for n in numbers if n >= 30] == [30, 30, 31, 31]
+    again = [tuple(r) for r in jaccard_join.keep_first(docs.repartition(7, "n")).collect()]
+    assert sorted(map(str, again)) == sorted(map(str, kept))
+
+
 def test_shingle_sets_in_blocks_of_any_size(monkeypatch):
     draw = random.Random(2)
     texts = ["".join(draw.choices("aAbé \n\t", k=draw.randrange(60))) for _ in range(400)] + ["q" * 9000 + " a b c d"]

@@ -85,9 +85,9 @@ def _scan(batch: pa.RecordBatch, shingle: int) -> Iterator[tuple[int, np.ndarray
 
 
 def describe(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Per document its id, class (``ref``, null for an empty set) and set size; beside them, in rows
-    with a token, how many classes of a task's window hold a token that is locally frequent."""
-    fields = [("doc_id", pa.int64()), ("ref", pa.int64()), ("n", pa.int64()), ("token", pa.int64()), ("held", pa.int64())]
+    """Per document its id, text hash, class (``ref``, null for an empty set) and set size; beside them, in
+    rows with a token, how many classes of a task's window hold a token that is locally frequent."""
+    fields = [(name, pa.int64()) for name in ("doc_id", "text_hash", "ref", "n", "token", "held")]
 
     def rows(columns: dict) -> pa.RecordBatch:
         size = len(next(iter(columns.values())))
@@ -105,12 +105,13 @@ def describe(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             return rows({"token": pa.array(found[often].view(np.int64)), "held": pa.array(count[often])})
 
         for batch in batches:
-            ids = batch.column(0)
+            ids, hashes = batch.column(0), batch.column(1)
             for first, sizes, tokens in _scan(batch, shingle):
                 refs = set_hashes(sizes, tokens).view(np.int64)
                 yield rows(
                     {
                         "doc_id": ids.slice(first, len(sizes)),
+                        "text_hash": hashes.slice(first, len(sizes)),
                         "ref": pa.array(refs, mask=sizes == 0),
                         "n": pa.array(sizes.astype(np.int64)),
                     }
@@ -121,8 +122,10 @@ def describe(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         if window.refs:
             yield frequent()
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return texts.mapInArrow(scan, "doc_id long, ref long, n long, token long, held long")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+    )
+    return texts.mapInArrow(scan, ", ".join(f"{name} long" for name, _ in fields))
 
 
 def frequent_tokens(described: DataFrame) -> np.ndarray:
@@ -398,6 +401,17 @@ def linked_classes(docs: DataFrame, described: DataFrame, shingle: int = SHINGLE
     return components(near.unionByName(far))
 
 
+def grouped_rows(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: doc_id, text_hash, n, ref, and ``class``, which linked rows share; null for an empty set."""
+    described = materialize(describe(docs, shingle), "described")
+    linked = materialize(linked_classes(docs, described, shingle, percent), "linked")
+    rows = described.where(F.col("token").isNull()).select("doc_id", "text_hash", "n", "ref")
+    full = rows.where(F.col("ref").isNotNull())
+    named = full.join(linked, F.col("ref") == F.col("node"), "left").withColumn("class", F.coalesce("component", "ref"))
+    empty = rows.where(F.col("ref").isNull()).withColumn("class", F.lit(None).cast("long"))
+    return named.select(*empty.columns).unionByName(empty)
+
+
 def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles and component_id, the smallest doc_id it can reach.
 
@@ -407,24 +421,38 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     nothing and keeps its own id.  Equal texts link.  Rows that share a doc_id
     are each compared by their own text.  An empty table gives no rows.
     """
-    described = materialize(describe(docs, shingle), "described")
-    linked = materialize(linked_classes(docs, described, shingle, percent), "linked")
-    rows = described.where(F.col("token").isNull()).select("doc_id", "n", "ref")
-    full = rows.where(F.col("ref").isNotNull())
-    named = full.join(linked, F.col("ref") == F.col("node"), "left").withColumn("class", F.coalesce("component", "ref"))
+    rows = grouped_rows(docs, shingle, percent)
+    named, empty = rows.where(F.col("class").isNotNull()), rows.where(F.col("class").isNull())
     lowest = named.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     grouped = named.join(lowest, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = rows.where(F.col("ref").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return grouped.unionByName(empty)
+    return grouped.unionByName(empty.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id; the columns of ``docs`` are unchanged.
+    """One row of each group stays, the one with the smallest (doc_id, text hash); the columns of ``docs`` are unchanged.
 
-    Documents without words are not duplicates of each other and stay, and so
-    do rows without a doc_id.  Of rows that repeat a doc_id the one with the
-    smallest text hash stays.
+    Rows are decided one by one, by their own text: a row stays or goes
+    whatever other rows with its doc_id do, and of rows that repeat both doc_id
+    and text one stays.  Rows without words are not duplicates of each other
+    and stay.  Rows without a doc_id are compared among themselves: a group
+    keeps one of them beside the one that has a doc_id.
     """
-    found = join(docs, shingle, percent)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("__dropped"), "left_anti")
+    rows = grouped_rows(docs, shingle, percent).where(F.col("class").isNotNull())
+    texts = rows.groupBy("class", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    texts = texts.withColumn("unnamed", F.col("doc_id").isNull())
+    first = texts.groupBy("class", "unnamed").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    stays = F.struct("doc_id", "text_hash").eqNullSafe(F.col("first"))
+    # What is not simply kept: texts that go (once false) and texts of which one row stays (once true).
+    decided = texts.join(first, ["class", "unnamed"]).where(~stays | (F.col("copies") > 1))
+    decided = materialize(
+        decided.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), stays.alias("__once")), "decided"
+    )
+    own = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__text"))
+    rest = docs.join(decided, own, "left_anti")
+    # An aggregate, so that many copies are few before they are dealt out.
+    repeated = docs.join(decided.where("__once"), own, "left_semi")
+    row = F.struct(*docs.columns)
+    once = repeated.groupBy(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text")).agg(
+        F.min_by(row, F.xxhash64(*docs.columns)).alias("__row")
+    )
+    return rest.unionByName(once.select("__row.*"))
