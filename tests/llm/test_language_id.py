@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 
@@ -80,3 +81,11 @@ def test_keep_identified_keeps_columns_and_clean_documents(spark):
     kept = language_id.keep_identified(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(80))
+
+
+def test_keep_identified_keeps_texts_when_no_language_was_learned(spark):
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1]
+    for lang, ids in ((None, range(20)), ("aa", held)):
+        rows = [(i, f"ka lo {i}", lang, "x") for i in ids] + [(900, None, None, "s"), (901, "123", None, "s"), (902, "", None, "s")]
+        docs = spark.createDataFrame(rows, DOCS)
+        assert sorted(r["doc_id"] for r in language_id.keep_identified(docs).collect()) == list(ids)

@@ -196,9 +196,14 @@ def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
 
     The model is fitted on the rows of ``docs`` that have a language and are
     not held out.  Only what no language can be told of goes: null texts and
-    texts without a letter, or with a score under ``min_score``.
+    texts without a letter, or with a score under ``min_score``.  Scores are 0
+    at least, so at 0 the score decides nothing.  If no language could be
+    learned, all texts with a letter stay.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"))))
     whole = docs.select(F.struct(*docs.columns).alias("__row"), F.col("text").alias("__text"))
+    if not model.languages:
+        lettered = F.pandas_udf(lambda texts: texts.map(has_letter).astype(bool), "boolean")
+        return whole.where(lettered("__text")).select("__row.*")
     kept = predict(whole, model, "__text").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
     return kept.select("__row.*")
