@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -97,3 +98,20 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     assert mixing.taken_words(*mixing.draws(docs)).collect() == []
     assert mixing.mix(docs).collect() == []
+
+
+def test_missing_and_repeated_ids_are_not_ranked_in_one_task(spark, prose):
+    rows = [(None, prose(i, 30), "a", "en") for i in range(60)] + [(7, prose(100, 20), None, lang) for lang in ["en", "en", "fr"] * 20]
+    rows += [(7, prose(200 + i, 20), "b", "de") for i in range(20)] + [(None, None, None, None), (7, "", "b", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(5)
+    options = dict(epochs=1, block_words=64, shard_words=500, weights=(1.0,))
+    laid, drawn = mixing.draws(docs, **options)
+    # Rows without an id lie in an order of their own text, and only exact repeats are copies.
+    assert {r["copy"] for r in laid.where("doc_id is null").collect()} == {1}
+    assert laid.count() == len(rows) and laid.select("pos", "start", "size").where("size > 0").distinct().count() == len(rows) - 2
+    mixed = mixing.mix(docs, **options)
+    assert mixed.count() == drawn.count() > 0
+    took = Counter(tuple(r)[:4] for r in mixed.collect())
+    have = Counter(rows)
+    assert all(n <= have[row] for row, n in took.items())
+    assert sum(took.values()) > 100

@@ -74,11 +74,13 @@ def draws(
 ) -> tuple[DataFrame, DataFrame]:
     """Lay out and draw documents with doc_id, text and source.
 
-    Returns the rows laid out (doc_id, copy, size, source, source_size, target,
-    pos, start) and the draws (pos, start, epoch, shard, place): one draw for
+    Returns the rows laid out (doc_id, text_hash, copy, size, source,
+    source_size, target, pos, start) and the draws (pos, start, epoch, shard, place): one draw for
     each time a row is taken, always whole.  The last row that a source needs
     is taken if at least half of it lies within the target.  Rows without words
-    are never drawn.  Rows that share a doc_id are told apart by ``copy``.
+    are never drawn.  Rows that share doc_id, source and text are told apart by
+    ``copy``; they are counted, not ranked, so a missing or frequent id is not
+    one task's work.
     """
     sized = materialize(
         docs.select(
@@ -89,14 +91,14 @@ def draws(
         ),
         "sizes",
     )
-    again = Window.partitionBy("doc_id").orderBy("source", "text_hash")
-    keyed = sized.withColumn("copy", F.row_number().over(again))
+    counted = sized.groupBy("doc_id", "source", "text_hash", "size").agg(F.count(F.lit(1)).alias("__copies"))
+    keyed = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
     targets = source_targets(sized, weights, epochs)
     with_target = keyed.join(targets, keyed["source"].eqNullSafe(targets["source"])).select(
-        "doc_id", "copy", "size", keyed["source"], "source_size", "source_rows", "target", "pos"
+        "doc_id", "text_hash", "copy", "size", keyed["source"], "source_size", "source_rows", "target", "pos"
     )
     groups = F.ceil(F.col("source_rows") / LAYOUT_ROWS)
-    order = F.xxhash64("doc_id", "copy", F.lit(seed))
+    order = F.xxhash64("doc_id", "source", "text_hash", "copy", F.lit(seed))
     spread = materialize(
         with_target.withColumns({"__order": order, "__group": F.pmod(F.xxhash64(order), groups)}).drop("source_rows"),
         "spread",
@@ -104,12 +106,12 @@ def draws(
     before = running_totals(
         spread.groupBy("pos", "__group").agg(F.sum("size").alias("__words")), ["__group"], {"__upto": "__words"}, ["pos"]
     ).select("pos", "__group", (F.col("__upto") - F.col("__words")).alias("__before"))
-    inside = Window.partitionBy("pos", "__group").orderBy("__order", "doc_id", "copy").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("pos", "__group").orderBy("__order", "doc_id", "text_hash", "copy").rowsBetween(Window.unboundedPreceding, -1)
     laid = materialize(
         spread.withColumn("__in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(before, ["pos", "__group"])
         .select(
-            "doc_id", "copy", "size", "source", "source_size", "target", "pos",
+            "doc_id", "text_hash", "copy", "size", "source", "source_size", "target", "pos",
             (F.col("__before") + F.col("__in")).alias("start"),
         ),
         "laid",
@@ -174,17 +176,40 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     place are replaced.  An empty table gives an empty mix.
     """
     laid, drawn = draws(docs, **options)
-    where = (
-        laid.where(F.col("size") > 0)
-        .join(drawn, ["pos", "start"])
-        .select(F.col("doc_id").alias("__id"), F.col("copy").alias("__copy"), "epoch", "shard", "place")
-    )
-    again = Window.partitionBy("__own").orderBy("__source", "__hash")
+    full = laid.where(F.col("size") > 0)
+    where = full.join(drawn, ["pos", "start"]).select(
+        F.col("doc_id").alias("__id"), F.col("source").alias("__from"), F.col("text_hash").alias("__text"),
+        F.col("copy").alias("__copy"), "epoch", "shard", "place",
+    )
     rows = docs.select(
         F.struct(*[c for c in docs.columns if c not in ("epoch", "shard", "place")]).alias("__row"),
         F.col("doc_id").alias("__own"),
         F.col("source").alias("__source"),
         F.xxhash64("text").alias("__hash"),
-    ).withColumn("__number", F.row_number().over(again))
-    same: Column = F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__number") == F.col("__copy"))
-    return rows.join(where, same).select("__row.*", "epoch", "shard", "place")
+        F.xxhash64(*docs.columns).alias("__whole"),
+    )
+    same: Column = F.col("__own").eqNullSafe(F.col("__id")) & F.col("__source").eqNullSafe(F.col("__from")) & (F.col("__hash") == F.col("__text"))
+    # Few rows share all of doc_id, source and text; only those are numbered.
+    second = full.where(F.col("copy") == 2)
+    several = materialize(
+        second.select(F.col("doc_id").alias("__id"), F.col("source").alias("__from"), F.col("text_hash").alias("__text")), "several"
+    )
+    numbered = rows.withColumn("__number", F.lit(1).cast("long"))
+    if not several.isEmpty():
+        numbered = numbered.join(several, same, "left_anti").unionByName(_numbered(rows.join(several, same, "left_semi")))
+    return numbered.join(where, same & (F.col("__number") == F.col("__copy"))).select("__row.*", "epoch", "shard", "place")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows that share a key, numbered in the order of their hash: in parts, as many of them may be one row repeated."""
+    key = [F.col("__own"), F.col("__source"), F.col("__hash")]
+    part = [*key, F.col("__whole"), F.col("__part")]
+    parted = materialize(rows.withColumn("__part", F.spark_partition_id()), "repeats")
+    upto = Window.partitionBy(*key).orderBy("__whole", "__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = parted.groupBy(*part).agg(F.count(F.lit(1)).alias("__size"))
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__size").over(upto), F.lit(0)))
+    a, b = parted.withColumn("__in", F.row_number().over(Window.partitionBy(*part).orderBy("__whole"))).alias("a"), sizes.alias("b")
+    met = F.lit(True)
+    for name in ("__own", "__source", "__hash", "__whole", "__part"):
+        met = met & F.col(f"a.{name}").eqNullSafe(F.col(f"b.{name}"))
+    return a.join(b, met).select("a.*", (F.col("b.__before") + F.col("a.__in")).alias("__number")).drop("__part", "__in")
