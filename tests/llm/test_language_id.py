@@ -89,3 +89,12 @@ def test_keep_identified_keeps_texts_when_no_language_was_learned(spark):
         rows = [(i, f"ka lo {i}", lang, "x") for i in ids] + [(900, None, None, "s"), (901, "123", None, "s"), (902, "", None, "s")]
         docs = spark.createDataFrame(rows, DOCS)
         assert sorted(r["doc_id"] for r in language_id.keep_identified(docs).collect()) == list(ids)
+
+
+def test_every_label_is_learned(spark):
+    rows = [(i, f"{chr(0x4E00 + 50 * (i % 40))}{chr(0x4E01 + 50 * (i % 40))}" * 4 + str(i), f"l{i % 40:02}", "") for i in range(120)]
+    docs = spark.createDataFrame(rows, DOCS)
+    model = language_id.fit(docs, max_rows=80, max_landmarks=60)
+    assert len(model.languages) == 40
+    assert language_id.sample(docs, "text", "lang", 300, max_rows=80).count() == 80
+    assert all(r["lang"] == r["lang_pred"] for r in language_id.predict(docs, model).collect())

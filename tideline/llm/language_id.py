@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.session import materialize
+
 ORDERS = (1, 2, 3)
 SLOT_BITS = 15
 SLOTS = 1 << SLOT_BITS
@@ -75,8 +77,10 @@ class LanguageModel:
         return total
 
 
-def sample(labelled: DataFrame, text: str, label: str, per_language: int, max_languages: int) -> DataFrame:
-    """Up to ``per_language`` distinct texts of each of the ``max_languages`` most frequent labels.
+def sample(labelled: DataFrame, text: str, label: str, per_language: int, max_languages: int | None = None, max_rows: int | None = None) -> DataFrame:
+    """Up to ``per_language`` distinct texts of each label, or of the ``max_languages`` most frequent ones.
+
+    Where that can be more than ``max_rows``, every label gives fewer, but one at least.
 
     The texts with the smallest hashes are taken, so reruns agree and copies
     of a text count once.
@@ -84,12 +88,12 @@ def sample(labelled: DataFrame, text: str, label: str, per_language: int, max_la
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (F.col(text) != "")).select(
         F.col(label).cast("string").alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
-    sizes = (
-        rows.groupBy("label")
-        .agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("texts"))
-        .orderBy(F.desc("n"), "label")
-        .limit(max_languages)
-    )
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("texts"))
+    if max_languages is not None:
+        sizes = sizes.orderBy(F.desc("n"), "label").limit(max_languages)
+    if max_rows is not None:
+        sizes = materialize(sizes, "labels")
+        per_language = max(1, min(per_language, max_rows // max(1, sizes.count())))
     # Only the lowest hashes are ranked: about four times as many as are taken, however large the label is.
     share = F.col("h") / F.lit(2.0**64) + 0.5
     by_hash = Window.partitionBy("label").orderBy("h")
@@ -102,7 +106,7 @@ def sample(labelled: DataFrame, text: str, label: str, per_language: int, max_la
         .where(F.col("place") <= per_language)
         .select("label", "h")
     )
-    # At most per_language * max_languages pairs of numbers, so the texts are not shuffled.
+    # At most per_language pairs of numbers for each label, so the texts are not shuffled.
     return rows.join(F.broadcast(kept), ["label", "h"]).dropDuplicates(["label", "h"])
 
 
@@ -112,20 +116,22 @@ def fit(
     label: str = "lang",
     per_language: int = 300,
     landmarks_per_language: int = 32,
-    max_languages: int = 32,
+    max_rows: int = 9600,
+    max_landmarks: int = 1024,
     ridge: float = 1e-2,
 ) -> LanguageModel:
-    """Fit on at most ``per_language * max_languages`` rows.
+    """Fit on every label that has a text, with at most ``max_rows`` rows, or one of each label if that is more.
 
     What the driver gets is bounded by that number of rows and ``3 * SLOTS``
-    places for each, whatever the size of the table or of a text.
+    places for each, whatever the size of the table or of a text; the model
+    has ``3 * SLOTS`` weights for each label.
     """
 
     @F.pandas_udf("array<array<int>>")
     def places(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [p.astype(np.int32) for p in present(t)])
 
-    chosen = sample(labelled, text, label, per_language, max_languages)
+    chosen = sample(labelled, text, label, per_language, max_rows=max_rows)
     got = sorted(chosen.select("label", "h", places("text").alias("places")).collect(), key=lambda r: (r["label"], r["h"]))
     languages = tuple(sorted({r["label"] for r in got}))
     if not languages:
@@ -140,6 +146,7 @@ def fit(
                     out[i, n * SLOTS + np.asarray(found)] = 1.0 / np.sqrt(len(found) * len(ORDERS))
         return out
 
+    landmarks_per_language = max(1, min(landmarks_per_language, max_landmarks // len(languages)))
     landmarks = matrix([r for lang in languages for r in [x for x in got if x["label"] == lang][:landmarks_per_language]])
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     root = vectors * (1.0 / np.sqrt(np.maximum(values, 1e-9)))
