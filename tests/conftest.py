@@ -29,11 +29,3 @@ def spark(tmp_path_factory):
 def rows(spark):
     """Make a small frame from tuples and a DDL schema."""
     return lambda data, schema: spark.createDataFrame(data, schema)
-
-
-def as_dicts(df):
-    return [r.asDict() for r in df.collect()]
-
-
-def as_set(df):
-    return {tuple(r) for r in df.collect()}

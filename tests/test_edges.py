@@ -1,7 +1,7 @@
 """Missing values, many categories, large counts, rare classes and keys of synthetic rows."""
 
 import pytest
-from conftest import as_dicts, as_set
+from helpers import as_dicts, as_set
 from pyspark.sql import functions as F
 
 from tideline.operators import columns, encode, joins, learn, ranking, sampling, snapshots, stats

@@ -3,7 +3,7 @@ import random
 import statistics
 
 import pytest
-from conftest import as_dicts, as_set
+from helpers import as_dicts, as_set
 from pyspark.sql import functions as F
 
 from tideline.operators import encode, profile, running, sampling, stats

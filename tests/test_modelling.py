@@ -2,7 +2,7 @@ import math
 import random
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import functions as F
 
 from tideline.operators import evaluate, learn

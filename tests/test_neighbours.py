@@ -3,7 +3,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import as_set
+from helpers import as_set
 from pyspark.sql import functions as F
 
 from tideline.operators import neighbours, resample, sampling

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import as_dicts, as_set
+from helpers import as_dicts, as_set
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
