@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
@@ -37,3 +38,26 @@ def let(value: Column, body) -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread_key(spark: SparkSession, *parts: str) -> Column:
+    """A number below the shuffle width from a row's own columns: it deals the rows of a hot group out."""
+    return F.pmod(F.xxhash64(*parts), F.lit(shuffle_width(spark))).cast("int")
+
+
+def with_group_facts(rows: DataFrame, parts: DataFrame, keys: Sequence[str], facts: Mapping[str, Column], spread: str = "spread") -> DataFrame:
+    """Add facts about a row's group, null keys being a group too, without bringing a hot group together.
+
+    ``parts`` holds one row for each group and spread key that occurs, so a
+    group has no more of them than the shuffle is wide; ``facts`` are
+    aggregates over those.  The rows then meet the facts by group and spread
+    key.
+    """
+    whole = Window.partitionBy(*keys)
+    told = parts.select(
+        *[F.col(k).alias(f"__of_{k}") for k in (*keys, spread)], *[fact.over(whole).alias(name) for name, fact in facts.items()]
+    )
+    same = F.lit(True)
+    for k in (*keys, spread):
+        same = same & F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    return rows.join(told, same).select(*rows.columns, *facts)

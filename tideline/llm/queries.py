@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, fingerprint, jaccard_join, language_id, line_dedup, mixing, packing, url_filter, vptree, warc
+from tideline.llm import (
+    chat,
+    exact_dedup,
+    fingerprint,
+    importance,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    packing,
+    url_filter,
+    vector_codes,
+    vptree,
+    warc,
+)
 from tideline.llm.common import table
 from tideline.session import materialize, work_dir
 
@@ -232,3 +246,115 @@ WITH l AS (
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, kept.text AS text
 FROM (SELECT doc_id FROM documents) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts; the row with the largest doc_id stays."""
+    return exact_dedup.mark(table(spark, sf_dir, "documents"), keep="largest")
+
+
+ORACLES["op13_exact_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS c FROM documents
+), g AS (
+  SELECT c, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY c
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(c) AS text_sha256 FROM t JOIN g USING (c)
+"""
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance for the benchmark's words, and the rank of the tenth that is drawn."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_importance_resampling"] = r"""
+WITH RECURSIVE crc(i, v, k) AS (
+  SELECT i, i::UBIGINT, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END, k + 1 FROM crc WHERE k < 8
+), tab AS (
+  SELECT list(v ORDER BY i) AS tab FROM crc WHERE k = 8
+), texts AS (
+  SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, NULL, text FROM benchmark
+), words AS (
+  SELECT side, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM texts
+), counted AS (
+  SELECT side, doc_id, w, count(*) AS n FROM words GROUP BY ALL
+), hashed AS (
+  SELECT w, xor(4294967295::UBIGINT, list_reduce(
+           list_prepend(4294967295::UBIGINT, list_transform(range(0, octet_length(encode(w))),
+                                                            lambda i: ('0x' || substr(hex(encode(w)), 2 * i::INT + 1, 2))::UBIGINT)),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255)::INT + 1]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM counted), tab
+), sums AS (
+  SELECT bucket, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM counted JOIN hashed USING (w) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sum(coalesce(s, 0)) OVER () + 10000)::DOUBLE
+                                 / ((coalesce(s, 0) + 1)::DOUBLE * (sum(coalesce(t, 0)) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM sums
+), d AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total
+  FROM counted JOIN hashed USING (w) JOIN gains USING (bucket) WHERE side = 0 GROUP BY doc_id
+), w AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features,
+         coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+         ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+  FROM documents LEFT JOIN d USING (doc_id)
+), s AS (
+  SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM w
+), r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM s WHERE n_features >= 20
+)
+SELECT s.doc_id, n_features, weight, score, rank FROM s LEFT JOIN (SELECT doc_id, rank FROM r WHERE rank <= 10 * n // 100) q ON q.doc_id = s.doc_id
+"""
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding as eight indexes into codebooks of sixteen entries."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """The rounds written out one after the other; a distance and its index are one number, so that min finds both."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) r(p)
+), b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS y FROM cut
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= {entries}
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, label, p, x, min(list_sum(list_transform(range(1, len(x) + 1), lambda j: (x[j] - y[j]) * (x[j] - y[j])))::BIGINT * {entries} + e) AS m
+  FROM cut JOIN b{i} USING (p) GROUP BY ALL
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""s{i} AS (
+  SELECT p, m % {entries} AS e, j, sum(x[j])::BIGINT AS s, count(*) AS n FROM a{i}, range(1, len(x) + 1) r(j) GROUP BY ALL
+), c{i} AS (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS y FROM s{i} GROUP BY ALL
+), b{i + 1} AS MATERIALIZED (
+  SELECT b{i}.p, b{i}.e, coalesce(c{i}.y, b{i}.y) AS y FROM b{i} LEFT JOIN c{i} ON b{i}.p = c{i}.p AND b{i}.e = c{i}.e
+)"""
+            )
+    return f"""WITH {", ".join(steps)}, coded AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', m % {entries}), '' ORDER BY p) AS code, sum(m // {entries})::BIGINT AS error
+  FROM a{rounds} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+ORACLES["op12_vector_codes"] = _codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS)
