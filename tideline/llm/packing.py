@@ -4,8 +4,10 @@ Lengths are whole numbers up to the capacity, so the packing is planned on
 the count of pieces of each length: the driver holds one number per length
 and a list of bin patterns, never the pieces.  A pattern is filled greedily
 with the longest pieces that fit; then its smallest piece is replaced by two
-unpacked ones that fill the gap it leaves more tightly.  As nothing changes
-until a length runs out, a pattern is repeated as often as the counts allow.
+unpacked ones that fill the gap it leaves without a rest, of all such pairs the
+one that is easiest to spare: a pair that leaves a rest would use up short
+pieces and still waste the bin.  As nothing changes until a length runs out, a
+pattern is repeated as often as the counts allow.
 The pieces, numbered within their length by a distributed count, then look up
 their place in the plan.
 """
@@ -119,16 +121,7 @@ def token_pieces(
 
 
 def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[list[int], int]]:
-    """Bin patterns and how often each is used; together they take every piece exactly once.
-
-    On few pieces the replacements can use up short ones that are missed later;
-    if filling greedily alone needs fewer bins, that plan is taken.
-    """
-    plans = [_fill(counts, capacity, replace) for replace in (True, False)]
-    return min(plans, key=lambda patterns: sum(times for _, times in patterns))
-
-
-def _fill(counts: Mapping[int, int], capacity: int, replace: bool) -> list[tuple[list[int], int]]:
+    """Bin patterns and how often each is used; together they take every piece exactly once."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, count in counts.items():
         if not 1 <= length <= capacity:
@@ -145,17 +138,12 @@ def _fill(counts: Mapping[int, int], capacity: int, replace: bool) -> list[tuple
             held.append(length)
             free[length] -= 1
             gap -= length
-        while replace and gap and len(held) > 1:
+        if gap and len(held) > 1:
             smallest = min(held)
-            pair = _tightest_pair(free, smallest, smallest + gap)
-            if pair is None:
-                break
-            held.remove(smallest)
-            held += pair
-            free[smallest] += 1
-            for length in pair:
-                free[length] -= 1
-            gap += smallest - sum(pair)
+            pair = _closing_pair(free, smallest + gap)
+            if pair:
+                held.remove(smallest)
+                held += pair
         used = np.bincount(held, minlength=capacity + 1)
         times = int((left[used > 0] // used[used > 0]).min())
         left -= used * times
@@ -163,17 +151,16 @@ def _fill(counts: Mapping[int, int], capacity: int, replace: bool) -> list[tuple
     return patterns
 
 
-def _tightest_pair(free: np.ndarray, over: int, room: int) -> list[int] | None:
-    """Two free pieces with the largest sum above ``over`` that fits ``room``; of those the most equal, as short ones fill best."""
-    for total in range(room, max(over, 1), -1):
-        small = np.arange(1, total // 2 + 1)
-        good = (free[small] > 0) & (free[total - small] > 0)
-        if total % 2 == 0:
-            good[-1] = free[total // 2] > 1
-        if good.any():
-            a = int(small[np.flatnonzero(good)[-1]])
-            return [a, total - a]
-    return None
+def _closing_pair(free: np.ndarray, room: int) -> list[int] | None:
+    """Two free pieces that fill ``room`` exactly; of all pairs the one whose scarcer length has most pieces, then the most equal."""
+    small = np.arange(1, room // 2 + 1)
+    spare = np.minimum(free[small], free[room - small])
+    if room % 2 == 0 and len(small):
+        spare[-1] = free[room // 2] // 2
+    if not len(spare) or not spare.any():
+        return None
+    a = int(small[len(spare) - 1 - spare[::-1].argmax()])
+    return [a, room - a]
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
