@@ -429,21 +429,20 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row of each group stays, the one with the smallest (doc_id, text hash); the columns of ``docs`` are unchanged.
+    """One row of each group stays, the one with the smallest (doc_id, text hash), rows without doc_id last; the columns of ``docs`` are unchanged.
 
     Rows are decided one by one, by their own text: a row stays or goes
     whatever other rows with its doc_id do, and of rows that repeat both doc_id
     and text one stays.  Rows without words are not duplicates of each other
-    and stay.  Rows without a doc_id are compared among themselves: a group
-    keeps one of them beside the one that has a doc_id.
+    and stay.  An empty table gives no rows.
     """
     rows = grouped_rows(docs, shingle, percent).where(F.col("class").isNotNull())
     texts = rows.groupBy("class", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
-    texts = texts.withColumn("unnamed", F.col("doc_id").isNull())
-    first = texts.groupBy("class", "unnamed").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    stays = F.struct("doc_id", "text_hash").eqNullSafe(F.col("first"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = texts.groupBy("class").agg(F.min(place).alias("first"))
+    stays = place.eqNullSafe(F.col("first"))
     # What is not simply kept: texts that go (once false) and texts of which one row stays (once true).
-    decided = texts.join(first, ["class", "unnamed"]).where(~stays | (F.col("copies") > 1))
+    decided = texts.join(first, "class").where(~stays | (F.col("copies") > 1))
     decided = materialize(
         decided.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), stays.alias("__once")), "decided"
     )
