@@ -64,7 +64,7 @@ def test_shards_are_even_and_blocks_are_drawn_once(spark, prose):
     laid, drawn = mixing.draws(docs, block_words=50, shard_words=1500)
     blocks = (
         drawn.join(laid.where("size > 0"), ["pos", "start"])
-        .selectExpr("pos", "floor((epoch * source_size + start) / 50) AS block", "shard", "start", "epoch", "place")
+        .selectExpr("pos", "struct(epoch, floor(start / 50)) AS block", "shard", "start", "epoch", "place")
         .collect()
     )
     assert len({(r["pos"], r["start"], r["epoch"]) for r in blocks}) == len(blocks)
@@ -82,6 +82,39 @@ def test_shards_are_even_and_blocks_are_drawn_once(spark, prose):
         assert places == list(range(1, len(places) + 1))
 
 
+def test_what_is_taken_follows_the_quotas_of_the_tree(spark, prose, monkeypatch):
+    docs = spark.createDataFrame(corpus(prose, 3), DOCS)
+    options = dict(block_words=50, shard_words=1500)
+    words = lambda: {r["source"]: r["w"] for r in mixing.taken_words(*mixing.draws(docs, **options)).groupBy("source").sum("taken").toDF("source", "w").collect()}
+    whole, real = words(), mixing.split
+    # A tree that loses every unit of its last shard loses those words.
+    def lossy(units, *args):
+        dealt = real(units, *args)
+        return dealt.where(dealt["shard"] < dealt.agg({"shard": "max"}).first()[0])
+
+    monkeypatch.setattr(mixing, "split", lossy)
+    less = words()
+    assert sum(less.values()) < sum(whole.values()) and all(less[s] <= whole[s] for s in whole)
+
+
+def test_quotas_are_dealt_as_runs_of_the_random_order(spark, prose):
+    docs = spark.createDataFrame(corpus(prose, 4), DOCS)
+    laid, _ = mixing.draws(docs, block_words=50, shard_words=1500)
+    full = laid.where("size > 0").selectExpr("*", "floor(start / 50) AS block")
+    quotas = mixing.block_quotas(full)
+    units = mixing.split(quotas.selectExpr("pos", "rank AS unit", "words"), 1500)
+    asked = {(r["pos"], r["shard"]): r["count"] for r in units.groupBy("pos", "shard").count().collect()}
+    runs = {}
+    for r in mixing.deal(quotas, units).collect():
+        runs.setdefault((r["pos"], r["shard"]), []).append(r["rank"])
+    assert {k: len(v) for k, v in runs.items()} == asked
+    for ranks in runs.values():
+        assert sorted(ranks) == list(range(min(ranks), max(ranks) + 1))
+    last = {r["pos"]: r["rank"] for r in quotas.groupBy("pos").max("rank").toDF("pos", "rank").collect()}
+    partial = {(r["pos"], r["rank"]) for r in quotas.where("room < words").collect()}
+    assert partial <= set(last.items())
+
+
 def test_mix_repeats_rows_and_keeps_their_columns(spark, prose):
     rows = [(1, "a b c", "s", 5), (1, "a b c", "s", 6), (1, "d e", "s", 7), (None, "f g", None, 8), (2, None, "s", 9), (3, "", "t", 10)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, epoch int").withColumnRenamed("epoch", "copy")

@@ -1,13 +1,17 @@
-"""Mixing sources to target weights with a splitting tree over blocks.
+"""Mixing sources to target weights with a splitting tree over block quotas.
 
 The documents of a source are laid out in a random order as one stream of
-words, repeated as often as its target needs (three times at most).  The
-stream is cut into blocks of equal length.  All drawn blocks start at the root
-of a tree over the output shards.  A node puts its blocks in random order and
-cuts that order exactly in proportion to the shards on either side, so what a
-child gets of each source is a multivariate hypergeometric draw from the quotas
-of its parent, quotas are used up exactly, and no block is drawn twice.  Inside
-a shard the drawn documents are shuffled.
+words, which is cut into blocks.  The blocks of a source are put in random
+order, those of a second and third time through the stream behind the first;
+as many as its target needs are its quota, the last of them in part.
+
+The quotas of all sources start at the root of a tree over the output shards.
+A node puts the units of its quotas in random order and cuts that order exactly
+in proportion to the shards on either side, so what a child gets of each source
+is a multivariate hypergeometric draw from the quotas of its parent, and quotas
+are used up exactly.  The quotas that reach the leaves say what is drawn: the
+shards take consecutive runs of each source's random order of blocks, which are
+therefore disjoint.  Inside a shard the drawn documents are shuffled.
 
 All random choices are hashes of ids and a seed, so reruns agree.
 """
@@ -77,7 +81,7 @@ def draws(
     Returns the rows laid out (doc_id, text_hash, copy, size, source,
     source_size, target, pos, start) and the draws (pos, start, epoch, shard, place): one draw for
     each time a row is taken, always whole.  The last row that a source needs
-    is taken if at least half of it lies within the target.  Rows without words
+    of its last block is taken if at least half of it lies within the target.  Rows without words
     are never drawn.  Rows that share doc_id, source and text are told apart by
     ``copy``; they are counted, not ranked, so a missing or frequent id is not
     one task's work.
@@ -116,55 +120,78 @@ def draws(
         ),
         "laid",
     )
-    middle = F.col("epoch") * F.col("source_size") + F.col("start") + F.col("size") / 2
-    taken = (
-        laid.where(F.col("size") > 0)
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-        .where(middle <= F.col("target"))
-        .withColumn("block", F.floor((F.col("epoch") * F.col("source_size") + F.col("start")) / block_words))
-    )
-    sharded = split(taken.groupBy("pos", "block").agg(F.sum("size").alias("words")), shard_words, seed)
+    full = laid.where(F.col("size") > 0).withColumn("block", F.floor(F.col("start") / block_words))
+    quotas = materialize(block_quotas(full, epochs, seed), "block-quotas")
+    dealt = deal(quotas, split(quotas.select("pos", F.col("rank").alias("unit"), "words"), shard_words, seed))
+    # Of the last block of a source, what still fits its target.
+    inside = F.col("start") - F.col("first") + F.col("size") / 2 <= F.col("room")
+    taken = full.join(dealt, ["pos", "block"]).where(inside).select("pos", "start", "epoch", "shard")
     shuffled = Window.partitionBy("shard").orderBy(F.xxhash64("pos", "start", "epoch", F.lit(seed)), "pos", "start", "epoch")
-    drawn = taken.join(sharded, ["pos", "block"]).select(
-        "pos", "start", "epoch", "shard", F.row_number().over(shuffled).alias("place")
+    return laid, taken.withColumn("place", F.row_number().over(shuffled))
+
+
+def block_quotas(full: DataFrame, epochs: int = MAX_EPOCHS, seed: int = 42) -> DataFrame:
+    """(pos, epoch, block, words, first, rank, room): the blocks that the sources need, in the random order of each.
+
+    ``full`` has rows with words: pos, block, start, size and target.  A
+    source's quota is its largest rank.  ``room`` is how many words the target
+    leaves for the block and all after it; it is below the block's words only
+    for the last one.
+    """
+    blocks = full.groupBy("pos", "block").agg(
+        F.sum("size").alias("words"), F.min("start").alias("first"), F.max("target").alias("target")
     )
-    return laid, drawn
+    passes = blocks.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    keyed = passes.withColumn("__key", F.xxhash64("pos", "block", "epoch", F.lit(seed)))
+    one = F.lit(1).cast("long")
+    ordered = running_totals(keyed, ["epoch", "__key", "block"], {"upto": "words", "rank": one}, ["pos"])
+    room = F.col("target") - (F.col("upto") - F.col("words"))
+    return ordered.withColumn("room", room).where(F.col("room") > 0).select("pos", "epoch", "block", "words", "first", "rank", "room")
+
+
+def deal(quotas: DataFrame, units: DataFrame) -> DataFrame:
+    """The blocks with their shard: each shard takes as many of a source as quota units (pos, unit, shard) reached it."""
+    numbered = row_numbers(units, ["shard", "unit"], "rank", ["pos"]).select("pos", "rank", "shard")
+    return quotas.join(numbered, ["pos", "rank"])
 
 
-def split(blocks: DataFrame, shard_words: int = SHARD_WORDS, seed: int = 42) -> DataFrame:
-    """Assign each block (pos, block, words) to a shard: a tree that halves the shards at every level."""
-    blocks = materialize(blocks, "blocks")
-    words, count = blocks.agg(F.sum("words"), F.count(F.lit(1))).first()
+def split(units: DataFrame, shard_words: int = SHARD_WORDS, seed: int = 42) -> DataFrame:
+    """Assign each unit of the quotas (pos, unit, words) to a shard: a tree that halves the shards at every level."""
+    units = materialize(units, "units")
+    words, count = units.agg(F.sum("words"), F.count(F.lit(1))).first()
     shards = max(1, min(count, -(-(words or 0) // shard_words)))
     # A node is the range of shards below it.
-    root = blocks.select("pos", "block", F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("shards"))
+    root = units.select("pos", "unit", F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("shards"))
     nodes = materialize(root, "split")
     level = 0
     while (1 << level) < shards:
-        key = F.xxhash64("pos", "block", F.lit(level), F.lit(seed))
+        key = F.xxhash64("pos", "unit", F.lit(level), F.lit(seed))
         left_shards = F.floor((F.col("shards") + 1) / 2)
-        placed = row_numbers(nodes.withColumn("__key", key), ["__key", "pos", "block"], "__rank", ["first", "shards"])
-        sizes = nodes.groupBy("first", "shards").agg(F.count(F.lit(1)).alias("__blocks"))
-        # The quota of the left child: its part of the blocks, to the nearest whole block.
-        quota = F.floor((F.col("__blocks") * left_shards * 2 + F.col("shards")) / (F.col("shards") * 2))
+        placed = row_numbers(nodes.withColumn("__key", key), ["__key", "pos", "unit"], "__rank", ["first", "shards"])
+        sizes = nodes.groupBy("first", "shards").agg(F.count(F.lit(1)).alias("__units"))
+        # The quota of the left child: its part of the units, to the nearest whole one.
+        quota = F.floor((F.col("__units") * left_shards * 2 + F.col("shards")) / (F.col("shards") * 2))
         left = F.col("__rank") <= quota
         nodes = materialize(
             placed.join(sizes, ["first", "shards"]).select(
-                "pos", "block",
+                "pos", "unit",
                 F.when(left, F.col("first")).otherwise(F.col("first") + left_shards).alias("first"),
                 F.when(left, left_shards).otherwise(F.col("shards") - left_shards).alias("shards"),
             ),
             f"split-{level}",
         )
         level += 1
-    return nodes.select("pos", "block", F.col("first").alias("shard"))
+    return nodes.select("pos", "unit", F.col("first").alias("shard"))
 
 
 def taken_words(laid: DataFrame, drawn: DataFrame) -> DataFrame:
-    """The rows laid out, with the words the mix takes of each, repeats counted."""
-    times = drawn.groupBy("pos", "start").agg(F.count(F.lit(1)).alias("times"))
-    got = F.when(F.col("size") > 0, F.col("size") * F.coalesce("times", F.lit(0))).otherwise(F.lit(0))
-    return laid.join(times, ["pos", "start"], "left").withColumn("taken", got.cast("long"))
+    """The rows laid out, with the words the mix takes of each, repeats counted; how often, and into which first shard."""
+    times = drawn.groupBy("pos", "start").agg(F.count(F.lit(1)).alias("times"), F.min("shard").alias("shard"))
+    counted = laid.join(times, ["pos", "start"], "left")
+    # Rows without words share the start of the row that follows them.
+    held = F.col("size") > 0
+    times, shard = F.when(held, F.coalesce("times", F.lit(0))).otherwise(0).cast("long"), F.when(held, F.col("shard"))
+    return counted.withColumns({"draws": times, "first_shard": shard}).drop("times", "shard").withColumn("taken", F.col("size") * F.col("draws"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
