@@ -74,6 +74,25 @@ def test_blocks_are_sorted_and_look_up_finds_all_captures(spark):
     assert warc.look_up(directory, folder, []).collect() == []
 
 
+def test_a_table_of_keys_is_looked_up_in_many_runs(spark, monkeypatch):
+    rows = rows_of() + [(1000 + i, "http://same.net/x", f"v{i}") for i in range(120)]
+    folder, captures, directory = archive(spark, rows, block_lines=4)
+    asked = captures.select("key").unionByName(spark.createDataFrame([("zzz",), (None,), ("",)], "key string"))
+    expected = want(rows)
+    for groups in (1, 5, 1024):
+        monkeypatch.setattr(warc, "GROUPS", groups)
+        got = warc.look_up(directory, folder, asked).collect()
+        assert sorted(r["page_id"] for r in got) == sorted(expected)
+        for r in got:
+            url, size, digest, kind, refers, data = expected[r["page_id"]]
+            assert (r["url"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) == (url, size, digest, kind, refers)
+    # Only blocks that can hold a key are read: the others need not even be there.
+    one = captures.where("page_id = 7").select("key")
+    key = one.first()["key"]
+    broken = directory.withColumn("file", F.when((F.col("first_key") <= key) & (F.col("last_key") >= key), F.col("file")).otherwise("gone"))
+    assert [r["page_id"] for r in warc.look_up(materialize(broken, "broken"), folder, one).collect()] == [7]
+
+
 def test_missing_and_repeated_ids_extra_columns_and_empty_table(spark):
     rows = [(None, "http://a/", "x", 1), (None, "http://a/", "x", 1), (3, "http://b/", "x", 1), (3, "http://b/", "x", 1), (2, "http://c/", "x", 1)]
     folder, _, directory = archive(spark, rows, schema=PAGES + ", payload int")
@@ -81,3 +100,4 @@ def test_missing_and_repeated_ids_extra_columns_and_empty_table(spark):
     assert got == [("2", "response", None), ("3", "revisit", 2), ("3", "revisit", 2), ("None", "response", None), ("None", "response", None)]
     folder, captures, directory = archive(spark, [])
     assert captures.collect() == [] and warc.read(directory, folder).collect() == []
+    assert warc.look_up(directory, folder, ["x"]).collect() == []

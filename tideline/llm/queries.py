@@ -106,25 +106,44 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
     laid, drawn = mixing.draws(table(spark, sf_dir, "documents"))
-    return mixing.taken_words(laid, drawn).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken_words(laid, drawn).select("doc_id", "size", "source_size", "target", "taken", "draws", "first_shard")
 
 
 @query
 def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest rows of every embedding whose id is divisible by 50."""
     vectors = vptree.usable(table(spark, sf_dir, "embeddings"))
-    index = materialize(vptree.build(vectors, NEIGHBOURS), "vptree")
+    index = vptree.build(vectors, NEIGHBOURS)
     return vptree.search(index, vectors.where(F.col("id") % 50 == 0), NEIGHBOURS, VPTREE_FACTOR)
 
 
+# Products are added from left to right, as the operator does, so that scores agree to the last digit.
+ORACLES["op6_nearest_vectors"] = r"""
+WITH v AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT id, v, sqrt(list_reduce(list_transform(v, lambda x: x * x), lambda a, b: a + b)) AS norm FROM v
+), s AS (
+  SELECT a.id AS query_id, b.id AS vec_id,
+         list_reduce(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]), lambda x, y: x + y) / (a.norm * b.norm) AS score
+  FROM n a JOIN n b ON a.id <> b.id AND len(a.v) = len(b.v) WHERE a.id % 50 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 @query
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to WARC archives and read back through the capture index."""
+    """Every page written to WARC archives, and the captures of every page's url looked up in the index and read back."""
     pages = table(spark, sf_dir, "pages")
-    folder = f"{work_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = f"{work_dir(spark)}/tideline/{spark.sparkContext.applicationId}/warc-{uuid.uuid4().hex}"
     captures = materialize(warc.write(warc.decide(pages), folder), "captures")
     directory = materialize(warc.index(captures, folder), "directory")
-    return warc.read(directory, folder, payloads=False).select(
+    asked = pages.select(warc.capture_key(F.col("url")).alias("key"))
+    return warc.look_up(directory, folder, asked, payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

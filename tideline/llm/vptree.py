@@ -1,28 +1,40 @@
 """Nearest neighbours by cosine with one vantage-point tree per shard.
 
-Rows are dealt to shards of bounded size by a hash of their id.  Each shard
-collapses equal vectors and builds a vantage-point tree over unit vectors,
-whose straight-line distance is a metric that falls with the cosine.  A
-search visits a subtree only if the triangle inequality leaves room for a
-nearer vector there: a bound above ``factor`` times the distance of the k-th
-best so far prunes it.  Factor one is exact; smaller factors prune more.
-Found vectors are scored again on the original numbers in double precision.
+Rows are dealt to regions, each around a pivot, and the regions to shards of
+bounded size.  Each shard collapses vectors of one direction (equal but for a
+power of two) and builds a vantage-point tree over unit vectors, whose
+straight-line distance is a metric that falls with the cosine.
+
+A search has two rounds.  In the first a query meets one shard of its own
+region; the distance of the k-th found bounds the second, which visits the
+other shards of all regions that the triangle inequality leaves, given their
+radii.  Inside a shard a subtree is visited only if there can be a nearer
+vector.  Every bound is relaxed by ``factor``: a region or subtree is left out
+if it is farther than ``factor`` times the distance of the k-th best so far.
+Factor one is exact; smaller factors prune more.  Found vectors are scored
+again on the original numbers in double precision.
 """
 
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 4096
+from tideline.session import materialize
+
+SHARD_ROWS = 32_768
 QUERY_ROWS = 4096
 LEAF_ROWS = 32
-#: Vectors kept beyond k until the exact scores decide.
-SPARE = 4
+#: Pivots, and so regions, of the vectors of one dimension, at most; every task holds them.
+PIVOTS = 256
+#: Scores closer than this count as ties until ids decide.
+CLOSE = 1e-12
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -35,8 +47,9 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     )
 
 
-def _matrix(table: pa.Table, dim: int) -> np.ndarray:
-    column = table.column("vector").combine_chunks()
+def _matrix(table: pa.Table | pa.RecordBatch, dim: int) -> np.ndarray:
+    column = table.column("vector")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), dim)
 
 
@@ -50,10 +63,18 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def _added(columns: np.ndarray) -> np.ndarray:
+    """Row sums, added from left to right."""
+    total = np.zeros(len(columns))
+    for j in range(columns.shape[1]):
+        total += columns[:, j]
+    return total
+
+
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision; equal rows give equal numbers."""
+    """Row by row, in double precision, the products added in their order; equal rows give equal numbers."""
     a, b = _scaled(a), _scaled(b)
-    return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
+    return _added(a * b) / (np.sqrt(_added(a * a)) * np.sqrt(_added(b * b)))
 
 
 def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> dict[str, np.ndarray]:
@@ -130,21 +151,86 @@ def search_tree(tree: dict[str, np.ndarray], points: np.ndarray, asked: np.ndarr
     return found
 
 
-def build(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The index: one row per dimension and shard, with its packed tree; every usable row is in it.
+def pivots(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> dict[int, np.ndarray]:
+    """Unit vectors that the regions of each dimension lie around: one for a shard's worth of rows, ``PIVOTS`` at most."""
+    sizes = vectors.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards"))
+    order = Window.partitionBy("dim").orderBy(F.xxhash64("vector"), "id")
+    ranked = vectors.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= PIVOTS)
+    chosen = ranked.join(sizes, "dim").where(F.col("__n") <= F.col("shards")).select("dim", "__n", "vector").collect()
+    held: dict[int, list] = {}
+    for r in sorted(chosen, key=lambda r: (r["dim"], r["__n"])):
+        held.setdefault(r["dim"], []).append(r["vector"])
+    return {dim: _unit(np.array(rows, dtype=np.float64)) for dim, rows in held.items()}
+
+
+def _far(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Straight-line distances of unit vectors to the pivots."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (rows @ centres.T)))
+
+
+def _by_dim(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The dimension, the row numbers and the vectors of each dimension in a batch."""
+    dims = np.asarray(batch.column("dim"))
+    for dim in np.unique(dims):
+        at = np.flatnonzero(dims == dim)
+        yield int(dim), at, _matrix(batch.take(pa.array(at)), int(dim))
+
+
+def regions(vectors: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """Add to (dim, id, vector) the region, that of the nearest pivot, and the distance to it."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            region, away = np.zeros(batch.num_rows, dtype=np.int32), np.zeros(batch.num_rows)
+            for dim, at, rows in _by_dim(batch):
+                # Queries may have a dimension that no indexed row has.
+                if dim in centres:
+                    far = _far(_unit(rows), centres[dim])
+                    region[at], away[at] = far.argmin(axis=1), far.min(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(region), pa.array(away)], names=["dim", "id", "vector", "region", "away"])
+
+    return vectors.select("dim", "id", "vector").mapInArrow(place, "dim int, id long, vector array<double>, region int, away double")
+
+
+@dataclass
+class Index:
+    """The trees of all shards (dim, region, part, tree), written; the pivots; and each region's radius and number of shards."""
+
+    trees: DataFrame
+    centres: dict[int, np.ndarray]
+    radius: dict[int, np.ndarray]
+    parts: dict[int, np.ndarray]
 
-    ``vectors`` is (id, dim, vector).  Of equal vectors a shard keeps the
-    ``k + 1`` smallest ids, as no other can be among the k nearest of a row.
+
+def build(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Index:
+    """The index over (dim, id, vector); every row is in it.
+
+    Of the rows of one direction a shard keeps the ``k + 1`` smallest ids, as
+    no other can be among the k nearest of a row.  The driver holds the pivots
+    and two numbers for each.
     """
-    sizes = vectors.groupBy("dim").agg(F.count(F.lit(1)).alias("rows"))
-    shards = sizes.select(F.col("dim").alias("__dim"), F.ceil(F.col("rows") / shard_rows).alias("shards"))
-    dealt = vectors.join(shards, F.col("dim") == F.col("__dim")).select(
-        "dim", F.pmod(F.xxhash64("id"), F.col("shards")).alias("shard"), "id", "vector"
-    )
+    centres = pivots(vectors, shard_rows)
+    placed = materialize(regions(vectors, centres), "regions")
+    # One row per region.
+    found = placed.groupBy("dim", "region").agg(F.count(F.lit(1)).alias("rows"), F.max("away").alias("radius")).collect()
+    radius = {dim: np.zeros(len(c)) for dim, c in centres.items()}
+    parts = {dim: np.zeros(len(c), dtype=np.int64) for dim, c in centres.items()}
+    for r in found:
+        radius[r["dim"]][r["region"]] = r["radius"]
+        parts[r["dim"]][r["region"]] = -(-r["rows"] // shard_rows)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, region, ids = (np.asarray(batch.column(c)) for c in ("dim", "region", "id"))
+            part = np.zeros(batch.num_rows, dtype=np.int64)
+            for dim in np.unique(dims):
+                at = dims == dim
+                part[at] = _part(ids[at], parts[int(dim)][region[at]])
+            yield pa.RecordBatch.from_arrays([batch.column("dim"), batch.column("region"), pa.array(part), batch.column("id"), batch.column("vector")], names=["dim", "region", "part", "id", "vector"])
 
     def pack(key: tuple, table: pa.Table) -> pa.Table:
-        dim, shard = key[0].as_py(), key[1].as_py()
-        ids, rows = np.asarray(table.column("id")), _matrix(table, dim)
+        dim, region, part = (x.as_py() for x in key)
+        ids, rows = np.asarray(table.column("id")), _scaled(_matrix(table, dim))
         by_id = np.argsort(ids, kind="stable")
         ids, rows = ids[by_id], rows[by_id]
         distinct, which = np.unique(rows, axis=0, return_inverse=True)
@@ -157,36 +243,71 @@ def build(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame
         np.savez(
             out, ids=ids[by_vector][kept], owner=which[by_vector][kept], rows=distinct, **build_tree(_unit(distinct))
         )
-        return pa.table({"dim": [dim], "shard": [shard], "tree": [out.getvalue()]}, schema=packed)
+        return pa.table({"dim": [dim], "region": [region], "part": [part], "tree": [out.getvalue()]}, schema=packed)
+
+    packed = pa.schema([("dim", pa.int32()), ("region", pa.int32()), ("part", pa.int64()), ("tree", pa.binary())])
+    dealt = placed.mapInArrow(deal, "dim int, region int, part long, id long, vector array<double>")
+    trees = dealt.groupBy("dim", "region", "part").applyInArrow(pack, "dim int, region int, part long, tree binary")
+    return Index(materialize(trees, "vptrees"), centres, radius, parts)
 
-    packed = pa.schema([("dim", pa.int32()), ("shard", pa.int64()), ("tree", pa.binary())])
-    return dealt.groupBy("dim", "shard").applyInArrow(pack, "dim int, shard long, tree binary")
 
+def _part(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """An even number below ``count`` from an id."""
+    mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    return (mixed % np.maximum(count, 1).astype(np.uint64)).astype(np.int64)
 
-def search(index: DataFrame, queries: DataFrame, k: int, factor: float = 1.0, query_rows: int = QUERY_ROWS) -> DataFrame:
+
+def _nearest_in(tree: dict[str, np.ndarray], rows: np.ndarray, ids: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, member id, score) of the k best of a shard for each row, ties to the smaller id; the own id is left out.
+
+    As long as the last vector kept ties with a query's k-th, more are kept.
+    """
+    units, asked = _unit(tree["rows"]), _unit(rows)
+    done: list[tuple] = []
+    going, keep = np.arange(len(rows)), k + 4
+    while len(going):
+        wide = min(keep, len(units))
+        again = []
+        # So many queries at once that their lists stay small.
+        for part in np.array_split(going, max(1, len(going) * wide // 4_000_000)):
+            found = search_tree(tree, units, asked[part], wide, factor)
+            at, slot = np.nonzero(found >= 0)
+            vector = found[at, slot]
+            score = cosine(rows[part[at]], tree["rows"][vector])
+            # Each vector found stands for the smallest of the ids that have its direction.
+            first = np.searchsorted(tree["owner"], vector)
+            count = np.searchsorted(tree["owner"], vector, side="right") - first
+            of = np.repeat(np.arange(len(vector)), count)
+            member = tree["ids"][np.repeat(first, count) + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)]
+            query, value = at[of], score[of]
+            other = member != ids[part[query]]
+            query, member, value = query[other], member[other], value[other]
+            order = np.lexsort((member, -value, query))
+            query, member, value = query[order], member[order], value[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            worst = np.full(len(part), np.inf)
+            np.minimum.at(worst, at, score)
+            kth = np.full(len(part), -np.inf)
+            last = place == k - 1
+            kth[query[last]] = value[last]
+            open_ = (worst >= kth - CLOSE) & (wide < len(units))
+            top = (place < k) & ~open_[query]
+            done.append((part[query[top]], member[top], value[top]))
+            again.append(part[open_])
+        going, keep = np.concatenate(again), keep * 4
+    return tuple(np.concatenate(c) for c in zip(*done)) if done else (np.zeros(0, int), np.zeros(0, np.int64), np.zeros(0))
+
+
+def search(index: Index, queries: DataFrame, k: int, factor: float = 1.0, query_rows: int = QUERY_ROWS) -> DataFrame:
     """The k nearest rows of each query: query_id, rank (from 1), vec_id, score.
 
     Rows with the query's own id are left out; ties go to the smaller id; with
     fewer than k candidates all are returned.  Blocks of at most about
     ``query_rows`` queries meet one shard at a time.
     """
-    sizes = queries.groupBy("dim").agg(F.count(F.lit(1)).alias("rows"))
-    blocks = sizes.select("dim", F.ceil(F.col("rows") / query_rows).alias("blocks"))
-    shards = index.groupBy("dim").agg((F.max("shard") + 1).alias("shards"))
-    asked = (
-        queries.join(blocks, "dim")
-        .join(shards, "dim")
-        .select(
-            "dim",
-            F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"),
-            "id",
-            "vector",
-        )
-    )
-    held = index.join(blocks, "dim").select(
-        "dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "shard", "tree"
-    )
+    shard = ["dim", "region", "part"]
+    # Tasks get the arrays, not the table.
+    all_centres, radius, shards = index.centres, index.radius, index.parts
     fields = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -194,32 +315,63 @@ def search(index: DataFrame, queries: DataFrame, k: int, factor: float = 1.0, qu
             return fields.empty_table()
         ids, rows = np.asarray(left.column("id")), _matrix(left, key[0].as_py())
         tree = dict(np.load(io.BytesIO(right.column("tree")[0].as_py())))
-        found = search_tree(tree, _unit(tree["rows"]), _unit(rows), k + 1 + SPARE, factor)
-        query, slot = np.nonzero(found >= 0)
-        vector = found[query, slot]
-        # Each vector found stands for the smallest of the ids that have it.
-        first = np.searchsorted(tree["owner"], vector)
-        count = np.searchsorted(tree["owner"], vector, side="right") - first
-        at = np.repeat(np.arange(len(vector)), count)
-        member = tree["ids"][np.repeat(first, count) + np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)]
-        score = cosine(rows[query], tree["rows"][vector])[at]
-        query = query[at]
-        other = member != ids[query]
-        query, member, score = query[other], member[other], score[other]
-        order = np.lexsort((member, -score, query))
-        query, member, score = query[order], member[order], score[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        top = place < k
-        return pa.table([ids[query[top]], member[top], score[top]], schema=fields)
-
-    near = (
-        asked.groupBy("dim", "block", "shard")
-        .cogroup(held.groupBy("dim", "block", "shard"))
-        .applyInArrow(look_up, "query_id long, vec_id long, score double")
+        query, member, score = _nearest_in(tree, rows, ids, k, factor)
+        return pa.table([ids[query], member, score], schema=fields)
+
+    def meet(asked: DataFrame) -> DataFrame:
+        """Queries dealt to shards against the trees, block by block."""
+        asked = materialize(asked, "asked")
+        blocks = asked.groupBy(*shard).agg(F.ceil(F.count(F.lit(1)) / query_rows).alias("blocks"))
+        left = asked.join(blocks, shard).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        several = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+        right = index.trees.join(blocks, shard).select(*shard, several, "tree")
+        by = [*shard, "block"]
+        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(look_up, "query_id long, vec_id long, score double")
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims, region, ids = (np.asarray(batch.column(c)) for c in ("dim", "region", "id"))
+            count = np.array([shards[d][r] if d in shards else 0 for d, r in zip(dims.tolist(), region.tolist())], dtype=np.int64)
+            there = pa.array(count > 0)
+            part = pa.array(_part(ids, count))
+            out = [batch.column("dim"), batch.column("region"), part, batch.column("id"), batch.column("vector")]
+            yield pa.RecordBatch.from_arrays([c.filter(there) for c in out], names=[*shard, "id", "vector"])
+
+    kind = "dim int, region int, part long, id long, vector array<double>"
+    first = materialize(regions(queries, index.centres).mapInArrow(home, kind), "home")
+    one = materialize(meet(first), "round-one")
+    # The k-th score of a query, as a distance, bounds its second round.
+    worst = one.groupBy("query_id").agg(F.count(F.lit(1)).alias("__n"), F.min("score").alias("__s"))
+    bounded = first.join(worst, F.col("id") == F.col("query_id"), "left").select(
+        "dim", "region", "part", "id", "vector", F.when(F.col("__n") >= k, F.col("__s")).alias("kth")
     )
+
+    def onward(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for dim, at, rows in _by_dim(batch):
+                centres, parts = all_centres[dim], shards[dim]
+                region, part, ids, kth = (np.asarray(batch.column(c).take(pa.array(at))) for c in ("region", "part", "id", "kth"))
+                limit = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth.astype(np.float64)))
+                limit = np.where(np.isnan(limit), np.inf, factor * limit) + 1e-9
+                row, to = np.nonzero((_far(_unit(rows), centres) - radius[dim] <= limit[:, None]) & (parts > 0))
+                row, to, number = np.repeat(row, parts[to]), np.repeat(to, parts[to]), _counted(parts[to])
+                other = (to != region[row]) | (number != part[row])
+                row, to, number = row[other], to[other], number[other]
+                for start in range(0, len(row), 10_000):
+                    here = slice(start, start + 10_000)
+                    vector = batch.column("vector").take(pa.array(at[row[here]]))
+                    columns = [np.full(len(row[here]), dim, dtype=np.int32), to[here].astype(np.int32), number[here], ids[row[here]]]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), vector], names=[*shard, "id", "vector"])
+
+    near = one.unionByName(meet(bounded.mapInArrow(onward, kind)))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         near.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def _counted(times: np.ndarray) -> np.ndarray:
+    """0..t-1 for every t, one after the other."""
+    return np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)

@@ -4,9 +4,9 @@
 gzip member of its own; of records with equal payloads one is a response and
 the others revisit it.  ``index`` sorts the captures by reversed-host key into
 compressed blocks and keeps a sparse directory with the first key and place of
-each block.  ``look_up`` finds the block of a key by binary search in the
-directory, reads only that block, and then only the byte range of the record.
-``read`` goes through all blocks of a directory in the same way.
+each block.  ``look_up`` deals a table of keys out to runs of the directory,
+finds the block of a key by binary search, reads only that block, and then only
+the byte range of the record.  ``read`` goes through all blocks in order.
 
 Files are written below a folder that all machines share, through the file
 system of its address.  Every attempt of a task writes files of its own, and
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import shuffle_width
 from tideline.llm.url_filter import host_of
+from tideline.operators.running import row_numbers
+from tideline.session import materialize
 
 #: A new file is begun when one has reached this size.
 FILE_BYTES = 256 << 20
@@ -39,6 +41,11 @@ DATE = "2024-01-01T00:00:00Z"
 ID_PREFIX = "urn:page:"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
+#: Runs of blocks whose first keys are held by every task, at most.
+GROUPS = 1024
+#: A task reads about so many bytes of a file at a time.
+READ_BYTES = 32 << 20
+
 CAPTURES = "key string, page_id long, file string, offset long, length long"
 DIRECTORY = "first_key string, last_key string, file string, offset long, length long, lines long"
 RECORDS = (
@@ -247,6 +254,7 @@ class Archive:
         return page_id, url, "response", None, digest, len(payload), payload
 
 
+CAPTURE_FIELDS = (("key", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()))
 RECORD_FIELDS = (
     ("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
     ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary()),
@@ -274,36 +282,81 @@ def read(directory: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     return _dealt(directory).select("file", "offset", "length").mapInArrow(records, RECORDS)
 
 
-def look_up(directory: DataFrame, folder: str, keys: Sequence[str]) -> DataFrame:
-    """The records of the asked keys, each with its key; unknown keys give no row.
+def find(directory: DataFrame, folder: str, asked: DataFrame) -> DataFrame:
+    """The captures (key, page_id, file, offset, length) of the asked keys (a column ``key``); unknown and null keys have none.
 
-    The directory is binary-searched for each key; only blocks that can hold
-    one are read, and of the archives only the byte ranges of the records found.
+    The sorted directory is cut into at most ``GROUPS`` runs of blocks, whose
+    first keys every task holds: the asked keys are dealt out by them.  A task
+    then bisects the first keys of its run for each key, reads the blocks that
+    can hold it, and bisects those.
     """
-    asked = sorted(set(keys))
+    spark = directory.sparkSession
+    blocks = directory.count()
+    step = max(1, -(-blocks // max(1, min(GROUPS, max(4 * shuffle_width(spark), blocks // 32)))))
+    placed = row_numbers(directory, ["first_key", "file", "offset"], "__n")
+    runs = materialize(placed.select(F.floor((F.col("__n") - 1) / step).alias("run"), "first_key", "last_key", "file", "offset", "length"), "runs")
+    bounds = runs.groupBy("run").agg(F.min("first_key").alias("first"), F.max("last_key").alias("last")).orderBy("run").collect()
+    firsts, lasts = [r["first"] for r in bounds], [r["last"] for r in bounds]
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive = Archive(folder)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = sorted(zip(*(c.to_pylist() for c in batch.columns)))
-            firsts = [b[0] for b in blocks]
-            wanted: dict[int, list[str]] = {}
-            for key in asked:
+            rows = []
+            for key in batch.column(0).to_pylist():
                 at = bisect.bisect_right(firsts, key) - 1
-                while at >= 0 and blocks[at][1] >= key:
-                    wanted.setdefault(at, []).append(key)
+                # A key with very many captures lies in several runs.
+                while at >= 0 and lasts[at] >= key:
+                    rows.append((at, key))
                     at -= 1
-            for at, inside in wanted.items():
-                captures = archive.captures(*blocks[at][2:])
-                held = [c[0] for c in captures]
-                found = [
-                    (key, *archive.record(*capture[2:]))
-                    for key in inside
-                    for capture in captures[bisect.bisect_left(held, key) : bisect.bisect_right(held, key)]
-                ]
-                yield _batch(found, ("key", pa.string()), *RECORD_FIELDS)
-
-    if not asked:
-        return directory.sparkSession.createDataFrame([], "key string, " + RECORDS)
-    near = directory.where((F.col("last_key") >= asked[0]) & (F.col("first_key") <= asked[-1]))
-    return near.select("first_key", "last_key", "file", "offset", "length").mapInArrow(records, "key string, " + RECORDS)
+            yield _batch(rows, ("run", pa.int64()), ("key", pa.string()))
+
+    def search(keys: pa.Table, held: pa.Table) -> pa.Table:
+        wanted = sorted(keys.column("key").to_pylist())
+        if not wanted or not held.num_rows:
+            return pa.Table.from_batches([_batch([], *CAPTURE_FIELDS)])
+        archive = Archive(folder)
+        here = sorted(zip(*(held.column(c).to_pylist() for c in ("first_key", "last_key", "file", "offset", "length"))))
+        starts = [b[0] for b in here]
+        inside: dict[int, list[str]] = {}
+        for key in wanted:
+            at = bisect.bisect_right(starts, key) - 1
+            while at >= 0 and here[at][1] >= key:
+                inside.setdefault(at, []).append(key)
+                at -= 1
+        found = []
+        for at in sorted(inside, key=lambda at: here[at][2:]):
+            captures = archive.captures(*here[at][2:])
+            own = [c[0] for c in captures]
+            for key in inside[at]:
+                found += captures[bisect.bisect_left(own, key) : bisect.bisect_right(own, key)]
+        return pa.Table.from_batches([_batch(found, *CAPTURE_FIELDS)])
+
+    keys = asked.where(F.col("key").isNotNull()).select(F.col("key").cast("string")).distinct()
+    dealt = keys.mapInArrow(deal, "run long, key string")
+    return dealt.groupBy("run").cogroup(runs.groupBy("run")).applyInArrow(search, CAPTURES)
+
+
+def fetch(captures: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
+    """The records at the places of ``captures``, each with its key, by reading their byte ranges alone."""
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive = Archive(folder)
+        for batch in batches:
+            places = zip(*(batch.column(c).to_pylist() for c in ("key", "file", "offset", "length")))
+            rows = [(key, *archive.record(file, offset, length)) for key, file, offset, length in places]
+            yield _batch(rows if payloads else [r[:-1] + (None,) for r in rows], ("key", pa.string()), *RECORD_FIELDS)
+
+    # Neighbouring ranges of a file are one task's, in their order.
+    near = captures.repartition("file", F.floor(F.col("offset") / READ_BYTES)).sortWithinPartitions("file", "offset")
+    return near.select("key", "file", "offset", "length").mapInArrow(records, "key string, " + RECORDS)
+
+
+def look_up(directory: DataFrame, folder: str, keys: Sequence[str] | DataFrame, payloads: bool = True) -> DataFrame:
+    """The records of the asked keys, each with its key; unknown keys give no row.
+
+    ``keys`` is a list or a table with a column ``key``, of any size.  The
+    directory is searched for each key; only blocks that can hold one are read,
+    and of the archives only the byte ranges of the records found.
+    """
+    if not isinstance(keys, DataFrame):
+        keys = directory.sparkSession.createDataFrame([(k,) for k in set(keys)], "key string")
+    return fetch(materialize(find(directory, folder, keys), "found-captures"), folder, payloads)
