@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 
 from tideline.session import materialize
 
-SHARD_ROWS = 32_768
-QUERY_ROWS = 4096
+SHARD_ROWS = 16_384
+QUERY_ROWS = 1024
 LEAF_ROWS = 32
+#: Points of a query's own corner of a tree that give its first bound, at most.
+HOME_ROWS = 256
 #: Pivots, and so regions, of the vectors of one dimension, at most; every task holds them.
 PIVOTS = 256
 #: Scores closer than this count as ties until ids decide.
@@ -107,22 +109,61 @@ def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> dict[str, np.n
         order.append(rows)
         start[node], end[node] = placed, placed + len(rows)
         placed += len(rows)
+    for node in range(len(vantage) - 1, -1, -1):
+        # The leaves of a subtree lie next to each other; children come after their parent.
+        if vantage[node] >= 0:
+            start[node] = min(start[inside[node]], start[outside[node]])
+            end[node] = max(end[inside[node]], end[outside[node]])
     return {
         "vantage": np.array(vantage), "radius": np.array(radius), "inside": np.array(inside), "outside": np.array(outside),
         "start": np.array(start), "end": np.array(end), "order": np.concatenate(order) if order else np.zeros(0, dtype=int),
     }
 
 
-def search_tree(tree: dict[str, np.ndarray], points: np.ndarray, asked: np.ndarray, keep: int, factor: float) -> np.ndarray:
-    """Row numbers of about the ``keep`` nearest points of each asked unit vector, -1 where there are fewer."""
+def home_bound(tree: dict[str, np.ndarray], points: np.ndarray, asked: np.ndarray, keep: int) -> np.ndarray:
+    """For each asked unit vector the ``keep``-th distance among the few points of its own corner of the tree."""
+    at = np.zeros(len(asked), dtype=int)
+    while True:
+        down = (tree["vantage"][at] >= 0) & (tree["end"][at] - tree["start"][at] > HOME_ROWS)
+        if not down.any():
+            break
+        here = at[down]
+        far = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * np.einsum("ij,ij->i", asked[down], points[tree["vantage"][here]])))
+        at[down] = np.where(far <= tree["radius"][here], tree["inside"][here], tree["outside"][here])
+    out = np.full(len(asked), np.inf)
+    for node in np.unique(at):
+        mine = np.flatnonzero(at == node)
+        rows = tree["order"][tree["start"][node] : tree["end"][node]]
+        if len(rows) >= keep:
+            far = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (asked[mine] @ points[rows].T)))
+            out[mine] = np.partition(far, keep - 1, axis=1)[:, keep - 1]
+    return out
+
+
+def search_tree(
+    tree: dict[str, np.ndarray], points: np.ndarray, asked: np.ndarray, keep: int, factor: float, bound: np.ndarray | None = None
+) -> np.ndarray:
+    """Row numbers of about the ``keep`` nearest points of each asked unit vector, -1 where there are fewer.
+
+    Nothing farther than ``bound`` is needed.  All queries walk the tree
+    together, so every node is met once.
+    """
     found = np.full((len(asked), keep), -1)
     best = np.full((len(asked), keep), np.inf)
+    limit = home_bound(tree, points, asked, keep)
+    if bound is not None:
+        limit = np.minimum(limit, bound)
 
     def offer(act: np.ndarray, rows: np.ndarray, far: np.ndarray) -> None:
+        near = (far <= limit[act][:, None] + 1e-9).any(axis=1)
+        act, far = act[near], far[near]
+        if not len(act):
+            return
         far = np.concatenate([best[act], far], axis=1)
         ids = np.concatenate([found[act], np.broadcast_to(rows, (len(act), len(rows)))], axis=1)
         top = np.argpartition(far, keep - 1, axis=1)[:, :keep]
         best[act], found[act] = np.take_along_axis(far, top, 1), np.take_along_axis(ids, top, 1)
+        limit[act] = np.minimum(limit[act], best[act].max(axis=1))
 
     def distance(act: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (asked[act] @ points[rows].T)))
@@ -139,13 +180,9 @@ def search_tree(tree: dict[str, np.ndarray], points: np.ndarray, asked: np.ndarr
         far = distance(act, top)
         offer(act, top, far)
         room = tree["radius"][node] - far[:, 0]
-        near = room >= 0
-        visit(tree["inside"][node], act[near])
-        visit(tree["outside"][node], act[~near])
         # The k-th best so far bounds what is worth a look on the other side.
-        open_ = np.abs(room) <= factor * best[act].max(axis=1) + 1e-9
-        visit(tree["outside"][node], act[near & open_])
-        visit(tree["inside"][node], act[~near & open_])
+        visit(tree["inside"][node], act[(room >= 0) | (-room <= factor * limit[act] + 1e-9)])
+        visit(tree["outside"][node], act[(room < 0) | (room <= factor * limit[act] + 1e-9)])
 
     visit(0, np.arange(len(asked)))
     return found
@@ -257,10 +294,13 @@ def _part(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
     return (mixed % np.maximum(count, 1).astype(np.uint64)).astype(np.int64)
 
 
-def _nearest_in(tree: dict[str, np.ndarray], rows: np.ndarray, ids: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _nearest_in(
+    tree: dict[str, np.ndarray], rows: np.ndarray, ids: np.ndarray, k: int, factor: float, bound: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, member id, score) of the k best of a shard for each row, ties to the smaller id; the own id is left out.
 
-    As long as the last vector kept ties with a query's k-th, more are kept.
+    Nothing farther than a row's ``bound`` is needed.  As long as the last
+    vector kept ties with a query's k-th, more are kept.
     """
     units, asked = _unit(tree["rows"]), _unit(rows)
     done: list[tuple] = []
@@ -270,7 +310,7 @@ def _nearest_in(tree: dict[str, np.ndarray], rows: np.ndarray, ids: np.ndarray,
         again = []
         # So many queries at once that their lists stay small.
         for part in np.array_split(going, max(1, len(going) * wide // 4_000_000)):
-            found = search_tree(tree, units, asked[part], wide, factor)
+            found = search_tree(tree, units, asked[part], wide, factor, bound[part])
             at, slot = np.nonzero(found >= 0)
             vector = found[at, slot]
             score = cosine(rows[part[at]], tree["rows"][vector])
@@ -290,7 +330,8 @@ def _nearest_in(tree: dict[str, np.ndarray], rows: np.ndarray, ids: np.ndarray,
             kth = np.full(len(part), -np.inf)
             last = place == k - 1
             kth[query[last]] = value[last]
-            open_ = (worst >= kth - CLOSE) & (wide < len(units))
+            # A list that is not full holds all there is within the bound.
+            open_ = (np.bincount(at, minlength=len(part)) == wide) & (worst >= kth - CLOSE) & (wide < len(units))
             top = (place < k) & ~open_[query]
             done.append((part[query[top]], member[top], value[top]))
             again.append(part[open_])
@@ -315,7 +356,10 @@ def search(index: Index, queries: DataFrame, k: int, factor: float = 1.0, query_
             return fields.empty_table()
         ids, rows = np.asarray(left.column("id")), _matrix(left, key[0].as_py())
         tree = dict(np.load(io.BytesIO(right.column("tree")[0].as_py())))
-        query, member, score = _nearest_in(tree, rows, ids, k, factor)
+        # The distance that goes with the k-th score so far; without one there is no bound.
+        kth = np.asarray(left.column("kth").combine_chunks().cast(pa.float64()).to_numpy(zero_copy_only=False), dtype=np.float64)
+        bound = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth)) + 1e-9
+        query, member, score = _nearest_in(tree, rows, ids, k, factor, np.where(np.isnan(bound), np.inf, bound))
         return pa.table([ids[query], member, score], schema=fields)
 
     def meet(asked: DataFrame) -> DataFrame:
@@ -334,15 +378,16 @@ def search(index: Index, queries: DataFrame, k: int, factor: float = 1.0, query_
             count = np.array([shards[d][r] if d in shards else 0 for d, r in zip(dims.tolist(), region.tolist())], dtype=np.int64)
             there = pa.array(count > 0)
             part = pa.array(_part(ids, count))
-            out = [batch.column("dim"), batch.column("region"), part, batch.column("id"), batch.column("vector")]
-            yield pa.RecordBatch.from_arrays([c.filter(there) for c in out], names=[*shard, "id", "vector"])
+            kth = pa.nulls(batch.num_rows, pa.float64())
+            out = [batch.column("dim"), batch.column("region"), part, batch.column("id"), batch.column("vector"), kth]
+            yield pa.RecordBatch.from_arrays([c.filter(there) for c in out], names=[*shard, "id", "vector", "kth"])
 
-    kind = "dim int, region int, part long, id long, vector array<double>"
+    kind = "dim int, region int, part long, id long, vector array<double>, kth double"
     first = materialize(regions(queries, index.centres).mapInArrow(home, kind), "home")
     one = materialize(meet(first), "round-one")
     # The k-th score of a query, as a distance, bounds its second round.
     worst = one.groupBy("query_id").agg(F.count(F.lit(1)).alias("__n"), F.min("score").alias("__s"))
-    bounded = first.join(worst, F.col("id") == F.col("query_id"), "left").select(
+    bounded = first.drop("kth").join(worst, F.col("id") == F.col("query_id"), "left").select(
         "dim", "region", "part", "id", "vector", F.when(F.col("__n") >= k, F.col("__s")).alias("kth")
     )
 
@@ -350,8 +395,9 @@ def search(index: Index, queries: DataFrame, k: int, factor: float = 1.0, query_
         for batch in batches:
             for dim, at, rows in _by_dim(batch):
                 centres, parts = all_centres[dim], shards[dim]
-                region, part, ids, kth = (np.asarray(batch.column(c).take(pa.array(at))) for c in ("region", "part", "id", "kth"))
-                limit = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth.astype(np.float64)))
+                region, part, ids = (np.asarray(batch.column(c).take(pa.array(at))) for c in ("region", "part", "id"))
+                kth = batch.column("kth").take(pa.array(at)).to_numpy(zero_copy_only=False).astype(np.float64)
+                limit = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * kth))
                 limit = np.where(np.isnan(limit), np.inf, factor * limit) + 1e-9
                 row, to = np.nonzero((_far(_unit(rows), centres) - radius[dim] <= limit[:, None]) & (parts > 0))
                 row, to, number = np.repeat(row, parts[to]), np.repeat(to, parts[to]), _counted(parts[to])
@@ -361,7 +407,8 @@ def search(index: Index, queries: DataFrame, k: int, factor: float = 1.0, query_
                     here = slice(start, start + 10_000)
                     vector = batch.column("vector").take(pa.array(at[row[here]]))
                     columns = [np.full(len(row[here]), dim, dtype=np.int32), to[here].astype(np.int32), number[here], ids[row[here]]]
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), vector], names=[*shard, "id", "vector"])
+                    sofar = pa.array(kth[row[here]], from_pandas=True)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), vector, sofar], names=[*shard, "id", "vector", "kth"])
 
     near = one.unionByName(meet(bounded.mapInArrow(onward, kind)))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
