@@ -11,7 +11,7 @@ from tideline.session import materialize
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null texts and texts without a letter go."""
+    """Documents whose language can be told; null texts, texts without a letter and texts unlike any learned language go."""
     return language_id.keep_identified(docs)
 
 

@@ -47,6 +47,40 @@ def test_score_equals_the_kernel_expansion(spark):
         assert np.allclose(total, row, atol=1e-4)
 
 
+def test_scores_equal_a_plain_kernel_machine(spark):
+    """Kernel, landmarks, root and ridge regression written out on sets of n-grams, without the model's table or hashing."""
+    rows = corpus(120)
+    docs = spark.createDataFrame(rows, DOCS)
+    model = language_id.fit(docs, per_language=12, landmarks_per_language=5, ridge=0.05)
+    chosen = sorted(language_id.sample(docs, "text", "lang", 12, max_rows=9600).collect(), key=lambda r: (r["label"], r["h"]))
+    grams = lambda t: [{t.lower()[i : i + n] for i in range(len(t) - n + 1)} for n in (1, 2, 3)]
+
+    def kernel(a, b):
+        parts = zip(grams(a), grams(b))
+        return sum(len(x & y) / np.sqrt(len(x) * len(y)) if x and y else 0.0 for x, y in parts) / 3
+
+    langs = sorted({r["label"] for r in chosen})
+    landmarks = [r["text"] for lang in langs for r in [x for x in chosen if x["label"] == lang][:5]]
+    between = np.array([[kernel(a, b) for b in landmarks] for a in landmarks])
+    # The root of the inverse by its singular values; the ridge problem as a stacked least squares problem.
+    u, values, _ = np.linalg.svd(between)
+    root = u / np.sqrt(values)
+    phi = np.hstack([np.array([[kernel(r["text"], m) for m in landmarks] for r in chosen]) @ root, np.ones((len(chosen), 1))])
+    target = np.array([[float(r["label"] == lang) for lang in langs] for r in chosen])
+    weight = np.array([1 / sum(x["label"] == r["label"] for x in chosen) for r in chosen])
+    strength = np.sqrt(0.05 * weight.sum() / len(langs)) * np.eye(phi.shape[1])
+    strength[-1, -1] = 0.0
+    a = np.vstack([phi * np.sqrt(weight)[:, None], strength])
+    b = np.vstack([target * np.sqrt(weight)[:, None], np.zeros((phi.shape[1], len(langs)))])
+    solved = np.linalg.lstsq(a, b, rcond=None)[0]
+    texts = [t for _, t, _, _ in rows[:30]] + ["k", "ka lo " * 200, "schung é", "zzz"]
+    want = np.array([np.append(np.array([kernel(t, m) for m in landmarks]) @ root, 1.0) @ solved for t in texts])
+    got = model.score(texts)
+    # Different n-grams may share a hashed place.
+    assert model.languages == tuple(langs) and np.abs(got - want).max() < 0.03
+    assert (got.argmax(axis=1) == want.argmax(axis=1))[:30].all()
+
+
 def test_null_empty_letterless_and_long_texts(spark):
     model = language_id.fit(spark.createDataFrame(corpus(60), DOCS))
     rows = [(1, None), (2, ""), (3, "12 34 $$$"), (4, "eau que " * 40_000), (None, "x"), (4, "é"), (5, "1" * 90_000 + "ß")]
@@ -83,6 +117,20 @@ def test_keep_identified_keeps_columns_and_clean_documents(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(80))
 
 
+def test_texts_of_scripts_that_were_not_learned_go(spark):
+    rows = corpus(150)
+    strange = [(1000, "今天天气很好我们去公园散步吧", None, "s"), (1001, "Καλημέρα σε όλους τους φίλους", None, "s"), (1002, "привет как дела сегодня", "ru", "s")]
+    docs = spark.createDataFrame(rows + strange[:2], DOCS)
+    model = language_id.fit(docs.where(~language_id.held_out(docs["doc_id"])))
+    limit = language_id.least_score(docs, model)
+    assert 1 / 3 < limit < 0.5
+    kept = {r["doc_id"] for r in language_id.keep_identified(docs).collect()}
+    assert kept == {i for i, *_ in rows}
+    # What is learned stays, also where it is rare.
+    more = spark.createDataFrame(rows + [(2000 + i, f"привет как дела {i} сегодня друг", "ru", "s") for i in range(40)], DOCS)
+    assert language_id.keep_identified(more).count() == len(rows) + 40
+
+
 def test_keep_identified_keeps_texts_when_no_language_was_learned(spark):
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1]
     for lang, ids in ((None, range(20)), ("aa", held)):

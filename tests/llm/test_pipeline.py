@@ -61,6 +61,6 @@ def test_every_query_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in names if re.match(rf"op{n}_", q)]) == 1
-    assert "pipeline" in names and {"op3_chat_formatting", "op4_warc_index", "op5_url_filter"} <= set(entry.oracle_sql())
+    assert "pipeline" in names and {"op3_chat_formatting", "op6_nearest_vectors", "op11_importance_resampling", "op12_vector_codes", "op13_exact_dedup"} <= set(entry.oracle_sql())

@@ -2,15 +2,17 @@
 
 The kernel of two texts blends, for n = 1, 2, 3, the presence of character
 n-grams: ``|G_n(x) & G_n(y)| / sqrt(|G_n(x)| |G_n(y)|)``, averaged over n.
-N-grams are hashed to ``SLOTS`` places.  A bounded sample of labelled rows
+N-grams are hashed to ``SLOTS`` places of each order, so in long texts of
+large scripts different ones can share a place.  A bounded sample of labelled rows
 gives the landmarks (Nystroem) and the training rows of a one-versus-rest
 kernel ridge regression.
 
 The score of a text is ``k(x, landmarks) A W``.  The landmark matrix, the
 Nystroem root ``A`` and the ridge weights ``W`` do not depend on ``x``, so
 they are multiplied once into a table of one row per n-gram place; a batch of
-texts is then scored by the product of its sparse presence matrix with that
-table.
+texts is then scored by the product of its presence matrix with that table.
+The matrix is sparse and only holds ones, so the product gathers the rows of
+the table and adds them up for each text.
 """
 
 from __future__ import annotations
@@ -198,19 +200,41 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
+#: How far above chance a score must be, as a share of the way to the low scores of known languages.
+ABOVE_CHANCE = 0.1
+
+
+def least_score(docs: DataFrame, model: LanguageModel, share: float = ABOVE_CHANCE) -> float:
+    """The score below which no language can be told, from all held-out rows that the model gets right.
+
+    The scores of a text add up to one, so the best of them is at least chance,
+    which is what a text gets of which nothing is known.  The score of one
+    right answer in a hundred lies below ``low``; the limit is ``share`` of the
+    way from chance to it.
+    """
+    if len(model.languages) < 2:
+        return 0.0
+    held = docs.where(held_out(F.col("doc_id")) & F.col("lang").isNotNull()).select("lang", "text")
+    right = predict(held, model).where(F.col("lang") == F.col("lang_pred"))
+    low = right.agg(F.percentile_approx("score", 0.01, 10_000)).first()[0]
+    chance = 1 / len(model.languages)
+    return chance + share * max(0.0, low - chance) if low is not None else 0.0
+
+
+def keep_identified(docs: DataFrame, share: float = ABOVE_CHANCE) -> DataFrame:
     """The documents whose language is identified, with the columns they came with.
 
     The model is fitted on the rows of ``docs`` that have a language and are
-    not held out.  Only what no language can be told of goes: null texts and
-    texts without a letter, or with a score under ``min_score``.  Scores are 0
-    at least, so at 0 the score decides nothing.  If no language could be
-    learned, all texts with a letter stay.
+    not held out; the held-out ones say which scores count (``least_score``).
+    Null texts, texts without a letter and texts of which no language can be
+    told, as of a script that was not learned, go.  If no language could be
+    learned, all texts with a letter stay.  An empty table gives no rows.
     """
     model = fit(docs.where(~held_out(F.col("doc_id"))))
     whole = docs.select(F.struct(*docs.columns).alias("__row"), F.col("text").alias("__text"))
     if not model.languages:
         lettered = F.pandas_udf(lambda texts: texts.map(has_letter).astype(bool), "boolean")
         return whole.where(lettered("__text")).select("__row.*")
-    kept = predict(whole, model, "__text").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    limit = least_score(docs, model, share)
+    kept = predict(whole, model, "__text").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= limit))
     return kept.select("__row.*")
