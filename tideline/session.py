@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_WORK_DIRS: dict[str, str] = {}
 
+_WRITING = threading.Lock()
+#: What the switch was before, once for every table that is being written.
+_WRITERS: list[str] = []
+
 #: Spark's switch to delete the shuffle files of a statement when it ends.
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -69,16 +76,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = "/".join(
         [work_dir(spark), "tideline", spark.sparkContext.applicationId, f"{label}-{uuid.uuid4().hex}"]
     )
-    before = spark.conf.get(_CLEAN_UP)
     # The written table replaces the shuffles it came from; their disk is free for the next step.
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
+    with _cleaning_up(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _cleaning_up(spark: SparkSession) -> Iterator[None]:
+    """Hold Spark's switch on while tables are written, by several threads or one; the last one puts it back."""
+    with _WRITING:
+        if not _WRITERS:
+            _WRITERS.append(spark.conf.get(_CLEAN_UP))
+            spark.conf.set(_CLEAN_UP, "true")
+        else:
+            _WRITERS.append(_WRITERS[0])
+    try:
+        yield
+    finally:
+        with _WRITING:
+            before = _WRITERS.pop()
+            if not _WRITERS:
+                spark.conf.set(_CLEAN_UP, before)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the intermediate tables that this application has written.
 
