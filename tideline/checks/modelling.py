@@ -361,7 +361,15 @@ def adasyn(t):
     return synthetic(resample.adasyn(points(t), "vec_id", "embedding", "y"))
 
 
-@check("smote_nc")
+# A differing category counts as much as the median of the minority's deviations.
+MIXED = """e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE label < 3),
+       w AS (SELECT median(s) AS w FROM (SELECT stddev_samp(x) AS s FROM e GROUP BY i)), l AS (SELECT vec_id AS id, 'g' || label AS kind FROM embeddings),
+       nm AS (SELECT id, nb, r FROM (SELECT a.id, b.id AS nb, row_number() OVER (PARTITION BY a.id ORDER BY sqrt(power(list_distance(a.v, b.v), 2) + CASE WHEN x.kind <> y.kind THEN w * w ELSE 0 END), b.id) AS r
+              FROM m a JOIN m b ON a.id <> b.id JOIN l x ON x.id = a.id JOIN l y ON y.id = b.id, w) WHERE r <= 5),
+       k AS (SELECT id, kind FROM (SELECT nm.id, l.kind, row_number() OVER (PARTITION BY nm.id ORDER BY COUNT(*) DESC, l.kind) AS r FROM nm JOIN l ON l.id = nm.nb GROUP BY nm.id, l.kind) WHERE r = 1)"""
+
+
+@check("smote_nc", f"WITH {POINTS}, {SIZES}, {MINORITY}, {MIXED}, {EVEN.format(rows='m')}, {DRAWS.replace('SELECT g.id', 'SELECT kind, g.id')} JOIN k ON k.id = g.id")
 def smote_nc(t):
     """Synthetic rows whose category is the neighbours' most frequent one."""
     rows = points(t).join(t.embeddings.select("vec_id", F.concat(F.lit("g"), F.col("label").cast("string")).alias("kind")), "vec_id")

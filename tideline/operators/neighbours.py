@@ -1,29 +1,41 @@
-"""Exact k nearest neighbours, neighbour labels and local outlier factors.
-
-The search partitions space by pivots and compares a query only with cells
-that can still hold one of its neighbours (triangle inequality), as in Lu et
-al., "Efficient Processing of k Nearest Neighbor Joins using MapReduce" (2012).
-Nothing is cut off: a bound is only used where it proves that a cell is
-irrelevant.  Copies of one vector are collapsed first and expanded at the end,
-and crowded cells are compared block by block, so no task grows with a hot
-group, and each block returns the best k per query instead of all pairs.
+"""Exact k nearest neighbours, an approximate form, neighbour labels and local outlier factors.
+
+The search partitions space by pivots, as in Lu et al., "Efficient Processing
+of k Nearest Neighbor Joins using MapReduce" (2012), and cuts the cells around
+them into rings.  It runs in two rounds.  In the first a query meets only the
+block where a row like it would lie; the distance of the k-th found there is
+its bound.  In the second it visits the rings that the triangle inequality does
+not exclude at that bound, and only neighbours within the bound come back.
+Nothing is cut off: a bound is only used where it proves that a ring is
+irrelevant.
+
+Copies of one vector are collapsed first and expanded at the end, and crowded
+rings are compared block by block, so no task grows with a hot group.  Rows of
+mixed type have a metric of their own: every differing category adds a fixed
+square, in the comparison as well as in the bounds.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.numeric import squash_sigmoid, squash_tanh
+from tideline.operators.encode import category
 from tideline.session import materialize
 
 BLOCK_ROWS = 2_048
+#: Cells, and rings of a cell, at most: the driver and every task hold a few numbers for each ring.
 MAX_PIVOTS = 1_024
+MAX_RINGS = 64
+#: Visits of queries to blocks that are sent out at a time.
+VISIT_ROWS = 20_000
 SLACK = 1e-9  # relative; keeps rounding from excluding a cell
 
 
@@ -32,126 +44,384 @@ def vectors(df: DataFrame, columns: Sequence[str], out: str = "vector") -> DataF
     return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in columns]))
 
 
-def spread_scaled(df: DataFrame, vector: str, width: int | None = None) -> DataFrame:
-    """Divide each position by four population deviations.
+def spreads(df: DataFrame, vector: str, width: int | None = None) -> list[float]:
+    """Four population deviations of each position."""
+    if width is None:
+        width = df.select(F.max(F.size(vector))).first()[0] or 0
+    devs = df.agg(F.lit(0), *[F.stddev_pop(F.col(vector)[i].cast("double")) for i in range(width)]).first()[1:]
+    return [4 * (d or 0.0) for d in devs]
+
+
+def spread_scaled(df: DataFrame, vector: str, width: int | None = None, scales: Sequence[float] | None = None) -> DataFrame:
+    """Divide each position by its spread, that of the table itself if no other is given.
 
     Positions without any spread are set to zero: they separate no rows.
     """
-    if width is None:
-        width = df.select(F.max(F.size(vector))).first()[0]
-    devs = df.agg(*[F.stddev_pop(F.col(vector)[i].cast("double")).alias(f"d{i}") for i in range(width)]).first()
-    scaled = [
-        F.col(vector)[i].cast("double") / F.lit(4 * d) if d else F.lit(0.0) for i, d in enumerate(devs)
-    ]
+    scales = spreads(df, vector, width) if scales is None else scales
+    scaled = [F.col(vector)[i].cast("double") / F.lit(d) if d else F.lit(0.0) for i, d in enumerate(scales)]
     return df.withColumn(vector, F.array(*scaled))
 
 
-def _stack(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64) if len(column) else np.zeros((0, 0))
+def _stack(column: pd.Series, kind: type = np.float64) -> np.ndarray:
+    return np.array(column.tolist(), dtype=kind).reshape(len(column), -1) if len(column) else np.zeros((0, 0), dtype=kind)
+
+
+@dataclass
+class Points:
+    """Vectors of a batch and, for mixed rows, the hashes of their categories."""
+
+    x: np.ndarray
+    kinds: np.ndarray
+
+    @classmethod
+    def of(cls, rows: pd.DataFrame, vec: str = "vec", kinds: str = "kinds") -> Points:
+        return cls(_stack(rows[vec]), _stack(rows[kinds], np.int64))
 
+    def __getitem__(self, rows) -> Points:
+        return Points(self.x[rows], self.kinds[rows])
 
-def _pivot_distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    out = np.empty((len(x), len(pivots)))
-    for j, p in enumerate(pivots):
-        out[:, j] = np.sqrt(((x - p) ** 2).sum(axis=1))
+
+def _apart(a: Points, b: Points, penalty: float) -> np.ndarray:
+    """Distances row by row: Euclidean, every differing category adding the square of ``penalty``."""
+    squares = ((a.x - b.x) ** 2).sum(axis=1)
+    if penalty:
+        squares = squares + penalty**2 * (a.kinds != b.kinds).sum(axis=1)
+    return np.sqrt(squares)
+
+
+def _pivot_distances(points: Points, pivots: Points, penalty: float) -> np.ndarray:
+    out = np.empty((len(points.x), len(pivots.x)))
+    for j in range(len(pivots.x)):
+        out[:, j] = _apart(points, pivots[j : j + 1], penalty)
     return out
 
 
-def _block_best(q: np.ndarray, d: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers (query, data) and exact distance of the k best per query.
+def _block_best(
+    q: Points, d: Points, ids: np.ndarray, k: int, penalty: float, bound: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers (query, data) and exact distance of the k best per query, none above the query's ``bound``.
 
     A matrix product finds the candidates, with a margin for its rounding;
     their distances are then computed directly.
     """
-    centre = d.mean(axis=0)
-    qc, dc = q - centre, d - centre
+    centre = d.x.mean(axis=0)
+    qc, dc = q.x - centre, d.x - centre
     q2, d2 = (qc * qc).sum(axis=1), (dc * dc).sum(axis=1)
     rough = q2[:, None] + d2[None, :] - 2 * (qc @ dc.T)
-    margin = 1e-11 * (q2.max() + d2.max()) + 1e-300
+    if penalty:
+        for j in range(q.kinds.shape[1]):
+            rough += penalty**2 * (q.kinds[:, j][:, None] != d.kinds[:, j][None, :])
+    margin = 1e-11 * (q2.max() + d2.max() + penalty**2 * q.kinds.shape[1]) + 1e-300
+    limit = np.full(len(rough), np.inf)
     if rough.shape[1] > k:
-        kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
-        qi, di = np.nonzero(rough <= kth[:, None] + 2 * margin)
-    else:
-        qi, di = (a.ravel() for a in np.indices(rough.shape))
+        limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
+    if bound is not None:
+        limit = np.minimum(limit, bound * bound * (1 + 1e-9))
+    qi, di = np.nonzero(rough <= limit[:, None] + 2 * margin)
     dist = np.empty(len(qi))
     for s in range(0, len(qi), 100_000):
         part = slice(s, s + 100_000)
-        dist[part] = np.sqrt(((q[qi[part]] - d[di[part]]) ** 2).sum(axis=1))
+        dist[part] = _apart(q[qi[part]], d[di[part]], penalty)
+    if bound is not None:
+        near = dist <= bound[qi]
+        qi, di, dist = qi[near], di[near], dist[near]
     order = np.lexsort((ids[di], dist, qi))
     qi, di, dist = qi[order], di[order], dist[order]
-    starts = np.searchsorted(qi, np.arange(len(q)))
+    starts = np.searchsorted(qi, np.arange(len(q.x)))
     place = np.arange(len(qi)) - starts[qi]
     best = place < k
     return qi[best], di[best], dist[best]
 
 
-def _distinct_vectors(df: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """One row per distinct vector with its k smallest keys."""
-    rows = df.where(F.col(vector).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")
+def _rows(df: DataFrame, key: str, vector: str, categorical: Sequence[str]) -> DataFrame:
+    """(id, vec, kinds) of the rows that have a vector."""
+    kinds = F.array(*[F.xxhash64(category(F.col(c))) for c in categorical]).cast("array<long>")
+    return df.where(F.col(vector).isNotNull()).select(
+        F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), kinds.alias("kinds")
     )
+
+
+def _distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """One row per distinct vector (and categories) with its k smallest keys."""
     # The hash makes the sort cheap; only equal hashes compare whole vectors.
-    first = Window.partitionBy("h", "vec").orderBy("id")
-    few = rows.withColumn("h", F.xxhash64("vec")).withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k)
-    return few.groupBy("h", "vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(
-        F.col("ids")[0].alias("rep"), "vec", "ids"
+    first = Window.partitionBy("h", "vec", "kinds").orderBy("id")
+    few = rows.withColumn("h", F.xxhash64("vec", "kinds")).withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= k)
+    return few.groupBy("h", "vec", "kinds").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(
+        F.col("ids")[0].alias("rep"), "vec", "kinds", "ids"
     )
 
 
-def _cells(base: DataFrame, m: int, reach: int, block_rows: int) -> tuple[DataFrame, Callable, np.ndarray]:
-    """Rows with their cell, the function that names the cells a query must visit,
-    and the number of blocks of each cell."""
-    chosen = base.orderBy(F.xxhash64("vec"), "rep").limit(m).select("vec").collect()
-    centres = np.array([r["vec"] for r in chosen], dtype=np.float64)
-    m = len(centres)
-    apart = _pivot_distances(centres, centres)
+DATA = "rep long, vec array<double>, kinds array<long>, ids array<long>"
+
+
+def _spread(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """An even number in 0..count-1 from a key."""
+    mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    return (mixed % np.maximum(count, 1).astype(np.uint64)).astype("int32")
+
+
+def _counted(times: np.ndarray) -> np.ndarray:
+    """0..t-1 for every t, one after the other."""
+    return np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+
+
+@dataclass
+class Rings:
+    """The division of space: cells around pivots, cut into rings by the distance to the pivot.
+
+    Arrays have one entry per cell or per ring (rings of a cell follow each
+    other); their number is bounded, whatever the number of rows.
+    """
+
+    centres: Points
+    penalty: float
+    cuts: list[np.ndarray]  # inner ring borders of each cell
+    first: np.ndarray  # number of a cell's first ring
+    low: np.ndarray = None
+    high: np.ndarray = None
+    rows: np.ndarray = None
+    parts: np.ndarray = None  # blocks that a ring is dealt to
+
+    def place(self, points: Points) -> tuple[np.ndarray, np.ndarray]:
+        """Ring and distance to its pivot."""
+        away = _pivot_distances(points, self.centres, self.penalty)
+        cell, near = away.argmin(axis=1), away.min(axis=1)
+        return self.ring(cell, near), near
+
+    def ring(self, cell: np.ndarray, away: np.ndarray) -> np.ndarray:
+        out = self.first[cell].astype(np.int64)
+        for c in np.unique(cell):
+            here = cell == c
+            out[here] += np.searchsorted(self.cuts[c], away[here], side="right")
+        return out
+
+    def measure(self, stats: list, block_rows: int) -> None:
+        total = self.first[-1] + len(self.cuts[-1]) + 1
+        self.low, self.high = np.full(total, np.inf), np.full(total, -np.inf)
+        self.rows = np.zeros(total, dtype=np.int64)
+        for r in stats:
+            self.low[r["ring"]], self.high[r["ring"]], self.rows[r["ring"]] = r["low"], r["high"], r["n"]
+        self.parts = -(-self.rows // block_rows)
+        self.cell = np.repeat(np.arange(len(self.cuts)), [len(c) + 1 for c in self.cuts])
+        self.apart = _pivot_distances(self.centres, self.centres, self.penalty)
+        # A query whose own ring is empty starts in the cell's fullest one.
+        fullest = np.array([s + self.rows[s : s + len(c) + 1].argmax() for s, c in zip(self.first, self.cuts)])
+        self.start = np.where(self.rows > 0, np.arange(total), fullest[self.cell])
+
+    def bounded(self, points: Points, bound: np.ndarray, reach: int) -> np.ndarray:
+        """``bound``, and where it is infinite what the rings themselves guarantee."""
+        bound = bound.copy()
+        for i in np.flatnonzero(np.isinf(bound)):
+            away = _pivot_distances(points[i : i + 1], self.centres, self.penalty)[0]
+            reached = away[self.cell] + self.high
+            order = np.argsort(reached)
+            enough = np.searchsorted(np.cumsum(self.rows[order]), reach)
+            bound[i] = reached[order[enough]] * (1 + SLACK) if enough < len(order) else np.inf
+        return bound
+
+    def visited(self, points: Points, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, ring) pairs that can hold a vector within the bound of the row's query."""
+        away = _pivot_distances(points, self.centres, self.penalty)
+        home = away.argmin(axis=1)
+        limit = bound + SLACK * (1 + np.where(np.isfinite(bound), bound, 0) + away.max(axis=1))
+        between = self.apart[home]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = (away**2 - away[np.arange(len(away)), home][:, None] ** 2) / (2 * between)
+        # What lies in another cell is beyond the plane half way between the pivots.
+        row, cell = np.nonzero(np.where(between > 0, plane, -np.inf) <= limit[:, None])
+        rings = np.array([len(c) + 1 for c in self.cuts])[cell]
+        row = np.repeat(row, rings)
+        ring = np.repeat(self.first[cell], rings) + _counted(rings)
+        far = away[row, self.cell[ring]]
+        least = np.maximum(far - self.high[ring], self.low[ring] - far)
+        kept = (least <= limit[row]) & (self.rows[ring] > 0)
+        return row[kept], ring[kept]
+
+
+def _rings(base: DataFrame, m: int, block_rows: int, penalty: float) -> tuple[DataFrame, Rings]:
+    """``base`` with ring and distance to the pivot, written; and the rings."""
+    chosen = base.orderBy(F.xxhash64("vec", "kinds"), "rep").limit(m).select("vec", "kinds").toPandas()
+    centres = Points.of(chosen)
+    m = len(chosen)
+    cells = Rings(centres, penalty, [np.zeros(0)] * m, np.arange(m))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                away = _pivot_distances(_stack(b["vec"]), centres)
-                yield b.assign(cell=away.argmin(axis=1).astype("int32"), away=away.min(axis=1))
+                cell, away = cells.place(Points.of(b))
+                yield b.assign(cell=cell.astype("int32"), away=away)
+
+    placed = materialize(base.mapInPandas(assign, f"{DATA}, cell int, away double"), "cells")
+    steps = [i / MAX_RINGS for i in range(1, MAX_RINGS)]
+    # One row per cell, at most MAX_PIVOTS of them.
+    shape = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("away", steps, 1000).alias("q")).collect()
+    cuts = [np.zeros(0)] * m
+    for r in shape:
+        wanted = min(MAX_RINGS, math.ceil(r["n"] / block_rows))
+        cuts[r["cell"]] = np.unique([r["q"][round(MAX_RINGS * i / wanted) - 1] for i in range(1, wanted)])
+    first = np.cumsum([0, *[len(c) + 1 for c in cuts[:-1]]])
+    rings = Rings(centres, penalty, cuts, first)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                ring = rings.ring(b["cell"].to_numpy(), b["away"].to_numpy())
+                yield b.assign(ring=ring.astype("int32")).drop(columns="cell")
+
+    ringed = placed.mapInPandas(cut, f"{DATA}, away double, ring int")
+    # One row per ring, at most MAX_PIVOTS * MAX_RINGS of them.
+    stats = ringed.groupBy("ring").agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high"))
+    rings.measure(stats.collect(), block_rows)
+    return ringed, rings
 
-    cells = materialize(
-        base.mapInPandas(assign, "rep long, vec array<double>, ids array<long>, cell int, away double"), "cells"
+
+FOUND = "qid long, distance double, rep long, ids array<long>"
+
+
+def _answers(left: pd.DataFrame, right: pd.DataFrame, qi: np.ndarray, di: np.ndarray, dist: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame(
+        {
+            "qid": left["qid"].to_numpy()[qi],
+            "distance": dist,
+            "rep": right["rep"].to_numpy()[di],
+            "ids": right["ids"].to_numpy()[di],
+        }
     )
-    # One row per cell, and the `reach` smallest radii per cell: at most
-    # MAX_PIVOTS * (reach + 1) numbers on the driver.
-    stats = {
-        r["cell"]: r
-        for r in cells.groupBy("cell")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("away").alias("low"), F.max("away").alias("high"))
-        .collect()
-    }
-    nearest = Window.partitionBy("cell").orderBy("away", "rep")
-    radii = np.full((m, reach), np.inf)
-    small = cells.select("cell", "away", F.row_number().over(nearest).alias("rn")).where(F.col("rn") <= reach)
-    for r in small.collect():
-        radii[r["cell"], r["rn"] - 1] = r["away"]
-    low = np.array([stats[j]["low"] if j in stats else np.inf for j in range(m)])
-    high = np.array([stats[j]["high"] if j in stats else -np.inf for j in range(m)])
-    parts = np.array([math.ceil(stats[j]["n"] / block_rows) if j in stats else 0 for j in range(m)])
-
-    def visited(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) pairs a query has to look at."""
-        away = _pivot_distances(x, centres)
-        bound = np.empty(len(x))
-        for i, row in enumerate(away):
-            close = np.argpartition(row, 31)[:32] if m > 32 else slice(None)
-            through = (row[close, None] + radii[close]).ravel()
-            if np.isfinite(through).sum() < reach:
-                through = (row[:, None] + radii).ravel()
-            bound[i] = np.partition(through, reach - 1)[reach - 1] if through.size >= reach else np.inf
-        home = away.argmin(axis=1)
-        least = np.maximum(away - high[None, :], low[None, :] - away)
-        between = apart[home]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (away**2 - away[np.arange(len(x)), home][:, None] ** 2) / (2 * between)
-        least = np.maximum(least, np.where(between > 0, plane, -np.inf))
-        limit = bound + SLACK * (1 + np.where(np.isfinite(bound), bound, 0) + away.max(axis=1))
-        return np.nonzero((least <= limit[:, None]) & (parts > 0)[None, :])
 
-    return cells, visited, parts
+
+def _search(base: DataFrame, asked: DataFrame, n: int, reach: int, block_rows: int, pivots: int | None, penalty: float) -> DataFrame:
+    """(qid, distance, rep, ids): the ``reach`` nearest distinct vectors of every asked one, and some that are farther."""
+    m = pivots or max(1, min(MAX_PIVOTS, math.ceil(n / (2 * block_rows))))
+    data, rings = _rings(base, m, block_rows, penalty)
+
+    def data_blocks(asks: np.ndarray) -> DataFrame:
+        """Every block of every ring, once for each lot of queries it meets."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    ring = b["ring"].to_numpy()
+                    times = asks[ring]
+                    row, lot_of = np.repeat(np.arange(len(b)), times), _counted(times).astype("int32")
+                    placed = b.assign(block=_spread(b["rep"].to_numpy(), rings.parts[ring]))
+                    for start in range(0, len(row), VISIT_ROWS):
+                        part = slice(start, start + VISIT_ROWS)
+                        yield placed.iloc[row[part]].assign(ask=lot_of[part])[["ring", "block", "ask", "rep", "vec", "kinds", "ids"]]
+
+        return data.mapInPandas(run, f"ring int, block int, ask int, {DATA}")
+
+    by = ["ring", "block", "ask"]
+    lots = lambda counts: np.array([math.ceil(counts.get(j, 0) / block_rows) for j in range(len(rings.rows))])
+
+    # Round one: every query meets one block, the one that a row like it would lie in.
+    def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                ring = rings.start[rings.place(Points.of(b))[0]]
+                block = _spread(b["rep"].to_numpy(), rings.parts[ring])
+                yield b.assign(ring=ring.astype("int32"), block=block)
+
+    query = "rep long, vec array<double>, kinds array<long>"
+    at_home = materialize(asked.select("rep", "vec", "kinds").mapInPandas(home, f"{query}, ring int, block int"), "home")
+    # At most one row per ring.
+    full = {r["ring"]: r["n"] for r in at_home.groupBy("ring", "block").count().groupBy("ring").agg(F.max("count").alias("n")).collect()}
+    asks = lots(full)
+
+    def lot(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                # Another mixing than that of the blocks, or all queries of a block would be one lot.
+                mixed = b["rep"].to_numpy().astype(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)
+                yield b.rename(columns={"rep": "qid"}).assign(ask=_spread(mixed, asks[b["ring"].to_numpy()]))
+
+    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """Each query with the nearest of its block: their lists and the distance that limits round two."""
+        if not len(left):
+            return pd.DataFrame({c: [] for c in ("qid", "vec", "kinds", "ring", "block", "bound", "near")})
+        q = Points.of(left)
+        qi, di, dist = np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
+        if len(right):
+            qi, di, dist = _block_best(q, Points.of(right), right["rep"].to_numpy(), reach, penalty)
+        counts = np.bincount(qi, minlength=len(left))
+        ends = np.cumsum(counts)
+        kth = np.where(counts == reach, dist[np.maximum(ends - 1, 0)] if len(dist) else np.inf, np.inf)
+        reps, ids = right["rep"].to_numpy()[di], right["ids"].to_numpy()[di]
+        near = [
+            [{"distance": d, "rep": r, "ids": i} for d, r, i in zip(dist[e - c : e], reps[e - c : e], ids[e - c : e])]
+            for c, e in zip(counts, ends)
+        ]
+        return left[["qid", "vec", "kinds", "ring", "block"]].assign(bound=rings.bounded(q, kth, reach), near=near)
+
+    one = materialize(
+        at_home.mapInPandas(lot, "qid long, vec array<double>, kinds array<long>, ring int, block int, ask int")
+        .groupBy(*by)
+        .cogroup(data_blocks(asks).groupBy(*by))
+        .applyInPandas(
+            meet,
+            "qid long, vec array<double>, kinds array<long>, ring int, block int, bound double, "
+            "near array<struct<distance: double, rep: long, ids: array<long>>>",
+        ),
+        "round-one",
+    )
+
+    # Round two: the blocks that may hold something as near as the k-th found, but for the one already met.
+    def visits(b: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, ring, block), for so many queries at a time that all rings could be visited."""
+        points, bound, own, met = Points.of(b), b["bound"].to_numpy(), b["ring"].to_numpy(), b["block"].to_numpy()
+        step = max(1, 50 * VISIT_ROWS // len(rings.rows))
+        for start in range(0, len(b), step):
+            row, ring = rings.visited(points[start : start + step], bound[start : start + step])
+            times = rings.parts[ring]
+            row, ring, block = np.repeat(row + start, times), np.repeat(ring, times), _counted(times)
+            other = (ring != own[row]) | (block != met[row])
+            yield row[other], ring[other], block[other]
+
+    def count_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(rings.rows), dtype=np.int64)
+        for b in batches:
+            for _, ring, _ in visits(b):
+                total += np.bincount(ring, minlength=len(total))
+        seen = np.flatnonzero(total)
+        yield pd.DataFrame({"ring": seen.astype("int32"), "n": total[seen]})
+
+    query = one.select("qid", "vec", "kinds", "ring", "block", "bound")
+    # At most one row per ring.
+    load = query.mapInPandas(count_visits, "ring int, n long").groupBy("ring").agg(F.sum("n").alias("n")).collect()
+    load = {r["ring"]: r["n"] / max(1, rings.parts[r["ring"]]) for r in load}
+    asks_two = lots(load)
+
+    def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for row, ring, block in visits(b):
+                # A query's vector goes out once per visit, so what is made at a time is bounded.
+                for start in range(0, len(row), VISIT_ROWS):
+                    part = slice(start, start + VISIT_ROWS)
+                    picked = b.iloc[row[part]]
+                    yield pd.DataFrame(
+                        {
+                            "ring": ring[part].astype("int32"),
+                            "block": block[part].astype("int32"),
+                            "ask": _spread(picked["qid"].to_numpy(), asks_two[ring[part]]),
+                            "qid": picked["qid"].to_numpy(),
+                            "vec": picked["vec"].to_numpy(),
+                            "kinds": picked["kinds"].to_numpy(),
+                            "bound": picked["bound"].to_numpy(),
+                        }
+                    )
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in ("qid", "distance", "rep", "ids")})
+        best = _block_best(Points.of(left), Points.of(right), right["rep"].to_numpy(), reach, penalty, left["bound"].to_numpy())
+        return _answers(left, right, *best)
+
+    two = (
+        query.mapInPandas(go, "ring int, block int, ask int, qid long, vec array<double>, kinds array<long>, bound double")
+        .groupBy(*by)
+        .cogroup(data_blocks(asks_two).groupBy(*by))
+        .applyInPandas(compare, FOUND)
+    )
+    return one.select("qid", F.explode("near").alias("n")).select("qid", "n.*").unionByName(two)
 
 
 def nearest_neighbours(
@@ -162,100 +432,30 @@ def nearest_neighbours(
     queries: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
     pivots: int | None = None,
+    categorical: Sequence[str] = (),
+    penalty: float = 0.0,
 ) -> DataFrame:
     """(id, neighbour, distance, rank) of the k nearest rows of ``data``.
 
-    Euclidean distance, equal distances ordered by key.  Without ``queries``
-    every row of ``data`` is a query and is not its own neighbour.  Keys are
+    Euclidean distance, equal distances ordered by key.  Every column of
+    ``categorical`` in which two rows differ (null is a category) adds the
+    square of ``penalty`` to the squared distance.  Without ``queries`` every
+    row of ``data`` is a query and is not its own neighbour.  Keys are
     integers, vectors complete and of one width.
     """
     own = queries is None
     reach = k + 1 if own else k  # a row of the data always finds itself first
-    base = materialize(_distinct_vectors(data, key, vector, reach), "vectors")
-    asked = base if own else materialize(_distinct_vectors(queries, key, vector, 1), "queries")
+    base = materialize(_distinct_vectors(_rows(data, key, vector, categorical), reach), "vectors")
+    asked = base if own else materialize(_distinct_vectors(_rows(queries, key, vector, categorical), 1), "queries")
     n = base.count()
     if n == 0:
         return data.sparkSession.createDataFrame([], "id long, neighbour long, distance double, rank int")
+    found = _search(base, asked, n, reach, block_rows, pivots, penalty if categorical else 0.0)
+    return _per_row(found, _rows(data if own else queries, key, vector, categorical), asked, reach, k, own)
 
-    m = pivots or max(1, min(MAX_PIVOTS, math.ceil(n / (2 * block_rows))))
-    if m == 1:
-        # One cell: nothing to prune, only the blocks matter.
-        cells = base.withColumn("cell", F.lit(0))
-        parts = np.array([math.ceil(n / block_rows)])
-        asks = np.array([math.ceil((n if own else asked.count()) / block_rows)])
-
-        def visited(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            return np.arange(len(x)), np.zeros(len(x), dtype=int)
-
-    else:
-        cells, visited, parts = _cells(base, m, reach, block_rows)
-
-        def visit_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if len(b):
-                    yield pd.DataFrame({"cell": visited(_stack(b["vec"]))[1].astype("int32")})
-
-        visits = asked.select("vec").mapInPandas(visit_cells, "cell int").groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-        load = {r["cell"]: r["n"] for r in visits.collect()}
-        asks = np.array([math.ceil(load.get(j, 0) / block_rows) for j in range(len(parts))])
-
-    def spread(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """An even block number in 0..count-1 from a key."""
-        mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-        return (mixed % np.maximum(count, 1).astype(np.uint64)).astype("int32")
-
-    def data_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                cell = b["cell"].to_numpy()
-                block = spread(b["rep"].to_numpy(), parts[cell])
-                times = asks[cell]
-                out = b.assign(block=block).loc[b.index.repeat(times)].reset_index(drop=True)
-                out["ask"] = np.concatenate([np.arange(t) for t in times]).astype("int32") if times.sum() else []
-                out["ask"] = out["ask"].astype("int32")
-                yield out[["cell", "block", "ask", "rep", "vec", "ids"]]
-
-    def query_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                rows, cell = visited(_stack(b["vec"]))
-                ask = spread(b["rep"].to_numpy()[rows], asks[cell])
-                times = parts[cell]
-                pick = np.repeat(np.arange(len(rows)), times)
-                block = np.concatenate([np.arange(t) for t in times]) if len(times) else np.array([])
-                yield pd.DataFrame(
-                    {
-                        "cell": cell[pick].astype("int32"),
-                        "block": block.astype("int32"),
-                        "ask": ask[pick],
-                        "qid": b["rep"].to_numpy()[rows[pick]],
-                        "qvec": b["vec"].to_numpy()[rows[pick]],
-                    }
-                )
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"qid": [], "distance": [], "rep": [], "ids": []})
-        qi, di, dist = _block_best(_stack(left["qvec"]), _stack(right["vec"]), right["rep"].to_numpy(), reach)
-        return pd.DataFrame(
-            {
-                "qid": left["qid"].to_numpy()[qi],
-                "distance": dist,
-                "rep": right["rep"].to_numpy()[di],
-                "ids": right["ids"].to_numpy()[di],
-            }
-        )
-
-    by = ["cell", "block", "ask"]
-    q_side = asked.select("rep", "vec").mapInPandas(
-        query_blocks, "cell int, block int, ask int, qid long, qvec array<double>"
-    )
-    d_side = cells.mapInPandas(data_blocks, "cell int, block int, ask int, rep long, vec array<double>, ids array<long>")
-    found = (
-        q_side.groupBy(*by)
-        .cogroup(d_side.groupBy(*by))
-        .applyInPandas(compare, "qid long, distance double, rep long, ids array<long>")
-    )
+def _per_row(found: DataFrame, rows: DataFrame, asked: DataFrame, reach: int, k: int, own: bool) -> DataFrame:
+    """From distinct vectors to rows: every copy has the list of its vector, without itself if it is part of the data."""
     best = Window.partitionBy("qid").orderBy("distance", "rep")
     near = found.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= reach)
     # At most reach vectors of at most reach keys each per query.
@@ -264,17 +464,11 @@ def nearest_neighbours(
         F.transform("found", lambda f: F.transform(f["ids"], lambda i: F.struct(f["distance"].alias("distance"), i.alias("id"))))
     )
     lists = lists.select("qid", F.slice(F.array_sort(pairs), 1, reach).alias("near"))
-
-    # Back from distinct vectors to rows: every copy has the list of its vector.
-    source = data if own else queries
-    rows = source.where(F.col(vector).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec")
-    )
-    if rows.count() == (n if own else asked.count()):
+    if rows.count() == asked.count():
         per_row = lists.select(F.col("qid").alias("id"), "near")  # no copies
     else:
-        named = asked.select("vec", F.col("rep").alias("qid")).join(lists, "qid").select("vec", "near")
-        per_row = rows.join(named, "vec").select("id", "near")
+        named = asked.select("vec", "kinds", F.col("rep").alias("qid")).join(lists, "qid").select("vec", "kinds", "near")
+        per_row = rows.join(named, ["vec", "kinds"]).select("id", "near")
     if own:
         others = F.filter("near", lambda x: x["id"] != F.col("id"))
         per_row = per_row.select("id", F.slice(others, 1, k).alias("near"))
@@ -284,11 +478,101 @@ def nearest_neighbours(
     )
 
 
+# -- approximate search ------------------------------------------------------
+
+
+def lsh_neighbours(
+    data: DataFrame,
+    key: str,
+    vector: str,
+    k: int,
+    queries: DataFrame | None = None,
+    tables: int = 16,
+    bits: int | None = None,
+    seed: int = 42,
+    block_rows: int = BLOCK_ROWS,
+    sample_rows: int = 10_000,
+) -> DataFrame:
+    """(id, neighbour, distance, rank): of the rows that share a random-projection bucket with a row, the k nearest.
+
+    Approximate, and only used where it is asked for by name.  Each table
+    hashes a vector to the signs of ``bits`` random projections around their
+    medians (of at most ``sample_rows`` rows); two rows meet if they share a
+    bucket of any table.  More tables find more, more bits look at less; without
+    ``bits`` a bucket holds about 512 rows.  Distances are exact, every
+    candidate of a bucket is looked at, and a crowded bucket is compared block
+    by block.  A row with less than k candidates has a shorter list.
+    """
+    own = queries is None
+    reach = k + 1 if own else k
+    base = materialize(_distinct_vectors(_rows(data, key, vector, ()), reach), "vectors")
+    asked = base if own else materialize(_distinct_vectors(_rows(queries, key, vector, ()), 1), "queries")
+    n = base.count()
+    if n == 0:
+        return data.sparkSession.createDataFrame([], "id long, neighbour long, distance double, rank int")
+    bits = bits or max(1, math.ceil(math.log2(n / 512)))
+    sample = Points.of(base.orderBy(F.xxhash64("vec"), "rep").limit(sample_rows).select("vec", "kinds").toPandas()).x
+    directions = np.random.default_rng(seed).normal(size=(sample.shape[1], tables * bits))
+    medians = np.median(sample @ directions, axis=0)
+    weight = 1 << np.arange(bits, dtype=np.int64)
+
+    def buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                signs = (_stack(b["vec"]) @ directions > medians).reshape(len(b), tables, bits)
+                out = b.loc[b.index.repeat(tables)].reset_index(drop=True)
+                out["table"] = np.tile(np.arange(tables, dtype="int32"), len(b))
+                out["bucket"] = (signs @ weight).ravel()
+                yield out
+
+    place = "table int, bucket long"
+    held = materialize(base.mapInPandas(buckets, f"{DATA}, {place}"), "lsh-data")
+    # The same rows under other names, so that a table can meet itself.
+    asks = held.toDF(*held.columns) if own else materialize(asked.mapInPandas(buckets, f"{DATA}, {place}"), "lsh-queries")
+    by = ["table", "bucket"]
+    sizes = held.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
+    lots = asks.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("lots"))
+    # Only buckets that hold both; each of their blocks meets each lot of queries once.
+    shape = materialize(sizes.join(lots, by), "lsh-shape")
+    several = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    one_of = lambda c, salt: F.pmod(F.xxhash64("rep", F.lit(salt)), F.col(c))
+    d_side = held.join(shape, by).select(*by, one_of("blocks", 0).alias("block"), several("lots").alias("lot"), "rep", "vec", "kinds", "ids")
+    q_side = asks.join(shape, by).select(
+        *by, several("blocks").alias("block"), one_of("lots", 1).alias("lot"), F.col("rep").alias("qid"), "vec", "kinds"
+    )
+    together = [*by, "block", "lot"]
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in ("qid", "distance", "rep", "ids")})
+        best = _block_best(Points.of(left), Points.of(right), right["rep"].to_numpy(), reach, 0.0)
+        return _answers(left, right, *best)
+
+    found = q_side.groupBy(*together).cogroup(d_side.groupBy(*together)).applyInPandas(compare, FOUND)
+    # A neighbour that several tables found counts once.
+    return _per_row(found.dropDuplicates(["qid", "rep"]), _rows(data if own else queries, key, vector, ()), asked, reach, k, own)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """One row: how many of the exact neighbours (id, neighbour) were found, and their share."""
+    hit = exact.join(found.select("id", "neighbour", F.lit(1).alias("__hit")), ["id", "neighbour"], "left")
+    return hit.agg(
+        F.count(F.lit(1)).alias("wanted"), F.count("__hit").alias("found"), (F.count("__hit") / F.count(F.lit(1))).alias("recall")
+    )
+
+
 # Number of disagreeing neighbours out of five, and its degree.
 DEGREES = {5: 0.1, 4: 0.25, 3: 0.4, 2: 0.6, 1: 0.8}
 DEGREE_NEIGHBOURS = 5
 
 
+def _degree(disagreeing: Column) -> Column:
+    degree = F.lit(1.0)
+    for n, value in DEGREES.items():
+        degree = F.when(disagreeing == n, value).otherwise(degree)
+    return degree
+
+
 def label_degree(df: DataFrame, key: str, vector: str, label: str, **search) -> DataFrame:
     """How much the five nearest neighbours share the row's 0/1 label.
 
@@ -300,16 +584,24 @@ def label_degree(df: DataFrame, key: str, vector: str, label: str, **search) ->
     votes = near.join(labels, "neighbour").groupBy("id").agg(F.sum("__label").alias("positives"))
     mine = df.select(F.col(key).cast("long").alias("id"), F.col(label).alias("__label"))
     against = F.abs(DEGREE_NEIGHBOURS * F.col("__label") - F.col("positives"))
-    degree = F.lit(1.0)
-    for n, value in DEGREES.items():
-        degree = F.when(F.col("disagreeing") == n, value).otherwise(degree)
     return (
         mine.join(votes, "id")
         .select("id", "positives", against.alias("disagreeing"))
-        .withColumn("degree", degree)
+        .withColumn("degree", _degree(F.col("disagreeing")))
     )
 
 
+def voted_degree(fitted: DataFrame, new: DataFrame, key: str, vector: str, label: str, **search) -> DataFrame:
+    """The degree of rows whose label is not known: as if they had the label that most of their neighbours have."""
+    scales = spreads(fitted, vector)
+    known, asked = (spread_scaled(d, vector, scales=scales) for d in (fitted, new))
+    near = nearest_neighbours(known, key, vector, DEGREE_NEIGHBOURS, asked, **search)
+    labels = fitted.select(F.col(key).cast("long").alias("neighbour"), F.col(label).alias("__label"))
+    votes = near.join(labels, "neighbour").groupBy("id").agg(F.sum("__label").alias("positives"))
+    against = F.least(F.col("positives"), DEGREE_NEIGHBOURS - F.col("positives"))
+    return votes.select("id", "positives", against.alias("disagreeing"), _degree(against).alias("degree"))
+
+
 def _densities(near: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     """k-distance and local reachability density of each fitted row."""
     reach = near.groupBy("id").agg(F.max("distance").alias("k_distance"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.hashing import hash_number, hash_unit, key_hash
 from tideline.operators import sampling
-from tideline.operators.encode import category, fit_one_hot
+from tideline.operators.encode import category
 from tideline.operators.neighbours import nearest_neighbours
 from tideline.operators.running import row_numbers
 from tideline.session import materialize
@@ -46,9 +46,26 @@ def _between(a: Column, b: Column, share: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: x + share * (y - x))
 
 
+#: Draws of one row that are made in one place.
+LOT = 1_000
+
+
+def _draws(copies: DataFrame) -> DataFrame:
+    """(id, draw) with draws 1..n of every (id, n).
+
+    The draws of all rows are one running total; it is dealt out in lots, so a
+    row that gets nearly all draws is not the work of one task.
+    """
+    wanted = copies.where(F.col("n") > 0).select("id", F.col("n").cast("long").alias("n"))
+    lots = wanted.select("id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / LOT))).alias("lot"))
+    last = F.least(F.col("n"), (F.col("lot") + 1) * LOT)
+    dealt = lots.repartition("id", "lot")
+    return dealt.select("id", F.explode(F.sequence((F.col("lot") * LOT + 1).cast("int"), last.cast("int"))).alias("draw"))
+
+
 def _synthesize(minority: DataFrame, copies: DataFrame, near: DataFrame, k: int, seed: int) -> DataFrame:
     """(id, draw, neighbour, vector): ``copies`` holds (id, n) synthetic rows per minority row."""
-    draws = copies.where(F.col("n") > 0).select("id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("draw"))
+    draws = _draws(copies)
     h = key_hash(F.col("id"), F.col("draw"), str(seed))
     draws = draws.select(
         "id",
@@ -149,10 +166,13 @@ def smote_nc(
 ) -> DataFrame:
     """SMOTE for mixed columns.
 
-    A differing category adds the median of the numeric deviations (of the
-    minority class) to the distance; a synthetic row takes the most frequent
-    category of the k neighbours, the smallest of equals.
+    A differing category adds the square of the median of the numeric deviations
+    (of the minority class) to the squared distance; a synthetic row takes the
+    most frequent category of the k neighbours, the smallest of equals.  Without
+    categories this is SMOTE.
     """
+    if not categorical:
+        return smote(df, key, vector, label, k, seed, **search)
     rows = df.select(
         F.col(key).cast("long").alias("id"),
         F.col(vector).cast("array<double>").alias("vector"),
@@ -162,18 +182,13 @@ def smote_nc(
     minority, n_min, _, n_maj = _gap(rows)
     small = materialize(rows.where(F.col("label") == minority), "minority")
     width = small.select(F.max(F.size("vector"))).first()[0]
+    if not width:
+        raise ValueError("mixed sampling needs a numeric column to measure categories by")
     devs = sorted(small.agg(*[F.stddev_samp(F.col("vector")[i]) for i in range(width)]).first())
     half = len(devs) // 2
     median = devs[half] if len(devs) % 2 else (devs[half - 1] + devs[half]) / 2
-    vocabulary = fit_one_hot(small, categorical)
-    # Two rows with different categories differ in two of these positions.
-    side = median / 2**0.5
-    marks = [
-        F.when(F.col(c) == v, F.lit(side)).otherwise(F.lit(0.0)) for c, values in vocabulary.items() for v in values
-    ]
-    mixed = small.select("id", F.concat("vector", F.array(*marks)).alias("vector"))
     k = min(k, n_min - 1)
-    near = materialize(nearest_neighbours(mixed, "id", "vector", k, **search), "near")
+    near = materialize(nearest_neighbours(small, "id", "vector", k, categorical=categorical, penalty=median, **search), "near")
     copies = _even_copies(small, n_maj - n_min, n_min, seed)
     numeric = _synthesize(small, copies, near, k, seed)
     theirs = small.select(F.col("id").alias("neighbour"), *categorical)
@@ -312,7 +327,7 @@ def _balanced(made: Callable) -> Callable:
 
     def run(df: DataFrame, key: str, vector: str, label: str, **options) -> DataFrame:
         points = _points(df, key, vector, label).withColumn("draw", F.lit(0))
-        rows = made(df, key, vector, label, **options)
+        rows = made(df, key, vector, label, **options).withColumn("draw", F.col("draw").cast("int"))
         return points.unionByName(rows, allowMissingColumns=True).drop("neighbour")
 
     return run
