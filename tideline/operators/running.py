@@ -60,32 +60,64 @@ def row_numbers(df: DataFrame, order: Sequence[str], out: str = "row_number", gr
     return running_totals(df, order, {out: F.lit(1).cast("long")}, group)
 
 
+#: Distinct values that a bracket holds, about, at most: one task orders them.
+BRACKET_ROWS = 1_000_000
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probs: Mapping[str, float], group: Sequence[str] = ()
 ) -> DataFrame:
-    """Interpolated quantiles per group, exact and without holding a group in memory.
+    """Interpolated quantiles per group, exact and without ordering the rows.
 
-    Values are counted first, then the two middle positions are read off the
-    running counts.  ``probs`` maps output names to probabilities.
+    A mergeable sketch gives a bracket around each wanted position; it is the
+    tighter, the more rows there are.  One pass then counts the values below,
+    inside and above the brackets, those inside by value, and the positions
+    are read off the counts: partial aggregates are all that is shuffled.
+    ``probs`` maps output names to probabilities; not-a-number counts as
+    infinity.
     """
-    group = list(group)
-    rows = df.where(F.col(value).isNotNull())
-    counts = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("__n"))
-    cum = running_totals(counts, [value], {"__upto": "__n"}, group)
-    if group:
-        cum = cum.join(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("__size")), group)
-    else:
-        cum = cum.withColumn("__size", rows.select(F.count(F.lit(1))).scalar())
+    keys = list(group) or ["__all"]
+    v = F.col(value).cast("double")
+    rows = df.where(F.col(value).isNotNull()).withColumn("__v", F.when(F.isnan(v), float("inf")).otherwise(v))
+    rows = rows.select(*group, "__v") if group else rows.select(F.lit(0).alias("__all"), "__v")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+    largest = sizes.agg(F.max("__size")).first()[0] or 0
+    accuracy = max(1_000, 4 * largest // BRACKET_ROWS)
+    margin = 2 / accuracy
+    wanted = list(probs.values())
+    ends = [max(0.0, p - margin) for p in wanted] + [min(1.0, p + margin) for p in wanted]
+    sketch = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__size"), F.percentile_approx("__v", ends, accuracy).alias("__ends")
+    )
+    sketch = sketch.select(*[F.col(k).alias(f"__g_{k}") for k in keys], "__size", "__ends")
+    same = F.lit(True)
+    for k in keys:
+        same = same & (rows[k] == sketch[f"__g_{k}"])
+    sides = []
+    for i in range(len(wanted)):
+        low, high = F.col("__ends")[i], F.col("__ends")[len(wanted) + i]
+        side = F.when(F.col("__v") < low, -1).when(F.col("__v") > high, 1).otherwise(0)
+        sides.append(F.struct(F.lit(i).alias("i"), side.alias("side"), F.when(side == 0, F.col("__v")).alias("at")))
+    placed = rows.join(sketch, same).select(*keys, "__size", "__v", F.inline(F.array(*sides)))
+    counts = placed.groupBy(*keys, "__size", "i", "side", "at").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
+    )
+    upto = F.sum("__n").over(Window.partitionBy(*keys, "i").orderBy("side", "at"))
+    counts = counts.withColumn("__upto", upto)
+    place = (F.col("__size") - 1) * F.get(F.array(*[F.lit(float(p)) for p in wanted]), F.col("i"))
 
     def at(position: Column) -> Column:
         inside = (F.col("__upto") - F.col("__n") <= position) & (position < F.col("__upto"))
-        return F.max(F.when(inside, F.col(value).cast("double")))
-
-    picks, outputs = [], []
-    for i, (name, p) in enumerate(probs.items()):
-        place = (F.col("__size") - 1) * F.lit(float(p))
-        picks += [at(F.floor(place)).alias(f"__lo{i}"), at(F.ceil(place)).alias(f"__hi{i}")]
-        picks.append(F.max(place - F.floor(place)).alias(f"__w{i}"))
-        outputs.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__w{i}")).alias(name))
-    picked = cum.groupBy(*group).agg(*picks) if group else cum.agg(*picks)
-    return picked.select(*group, *outputs)
+        # Next to the bracket only the nearest value is known; a sketch is not farther off.
+        known = F.when(F.col("side") == 0, F.col("at"))
+        known = known.when((F.col("side") < 0) & (position == F.col("__upto") - 1), F.col("__max"))
+        known = known.when((F.col("side") > 0) & (position == F.col("__upto") - F.col("__n")), F.col("__min"))
+        return F.max(F.when(inside, known.otherwise(F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))))
+
+    found = counts.groupBy(*keys, "i").agg(
+        at(F.floor(place)).alias("__low"), at(F.ceil(place)).alias("__high"), F.max(place - F.floor(place)).alias("__share")
+    )
+    between = F.col("__low") + (F.col("__high") - F.col("__low")) * F.col("__share")
+    one = F.when(F.col("__low") == F.col("__high"), F.col("__low")).otherwise(between)
+    picked = [F.max(F.when(F.col("i") == i, one)).alias(name) for i, name in enumerate(probs)]
+    return found.groupBy(*group).agg(*picked) if group else found.agg(*picked)
