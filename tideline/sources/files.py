@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,19 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_buckets(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int = 200) -> DataFrame:
+    """Hand a stage's table on in buckets of its keys, sorted by them, and return it read back.
+
+    Tables with the same keys and number of buckets join and aggregate on them
+    without an exchange.  ``table`` is entered in the catalog, the files lie
+    under ``path``.
+    """
+    # One task per bucket, so that a bucket is one sorted file.
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def records_table(spark: SparkSession, records: Iterable[Mapping], schema: T.StructType | None = None) -> DataFrame:
     """A short request (list of dicts) as a table."""
     rows = [dict(r) for r in records]
