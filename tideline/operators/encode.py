@@ -8,8 +8,11 @@ projections, so scoring uses exactly what training saw.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -267,6 +270,82 @@ def encode_sparse(
     return df.join(found, df[key] == found["__key"], "left").withColumn(out, ones).drop("__key", "__ones")
 
 
+def sparse_vectors(
+    df: DataFrame,
+    key: str,
+    numeric: Sequence[str],
+    places: DataFrame,
+    columns: Sequence[str],
+    lists: Sequence[str] = (),
+    separator: str = ";",
+    out: str = "features",
+) -> DataFrame:
+    """Add a sparse vector: the numeric columns, then a one for each of the row's categories and list items.
+
+    The places are joined as a table; only their number is known to the
+    driver, so columns may have any number of values.  A null number is zero,
+    unknown values have no place.  ``key`` must be unique.
+    """
+    width = len(numeric) + (places.agg(F.max("place")).first()[0] or -1) + 1
+    encoded = encode_sparse(df, key, places, columns, lists, separator, "__places")
+    numbers = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]).cast("array<double>")
+    rows = encoded.withColumn("__numbers", numbers)
+    kept = [c for c in df.columns if c != out]
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ones, numbers = batch.column("__places"), batch.column("__numbers")
+            counts = np.diff(ones.offsets.to_numpy())
+            wide = len(numeric)
+            starts = np.concatenate([[0], np.cumsum(counts + wide)])
+            indices, values = np.empty(starts[-1], dtype=np.int32), np.ones(starts[-1])
+            head = (starts[:-1, None] + np.arange(wide)).ravel()
+            indices[head], values[head] = np.tile(np.arange(wide), len(counts)), numbers.flatten().to_numpy(zero_copy_only=False)
+            tail = np.ones(starts[-1], dtype=bool)
+            tail[head] = False
+            indices[tail] = ones.flatten().to_numpy(zero_copy_only=False) + wide
+            offsets = pa.array(starts.astype(np.int32))
+            vector = pa.StructArray.from_arrays(
+                [
+                    pa.array(np.zeros(len(counts), dtype=np.int8)),
+                    pa.array(np.full(len(counts), width, dtype=np.int32)),
+                    pa.ListArray.from_arrays(offsets, pa.array(indices)),
+                    pa.ListArray.from_arrays(offsets, pa.array(values)),
+                ],
+                ["type", "size", "indices", "values"],
+            )
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], vector], names=[*kept, out])
+
+    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField(out, VectorUDT())])
+    return rows.select(*kept, "__places", "__numbers").mapInArrow(build, schema)
+
+
+# -- positive shares: categories of any number as one number -------------------
+
+
+def fit_shares(df: DataFrame, columns: Sequence[str], label: str, prior: float = 1.0) -> DataFrame:
+    """(column, value, share): how often the rows of a category are positive, drawn towards the overall share by ``prior`` rows.
+
+    Null is a category.  One split of a tree on the share is the best split of
+    the categories themselves, whatever their number; the table is never collected.
+    """
+    known = df.where(F.col(label).isNotNull())
+    overall = known.select(F.coalesce(F.avg(F.col(label).cast("double")), F.lit(0.0))).scalar()
+    texts = known.select(F.col(label).cast("double").alias("__y"), *[category(F.col(c)).alias(c) for c in columns])
+    long = long_values(texts, columns, "string", ["__y"])
+    counts = long.groupBy("i", "value").agg(F.sum("__y").alias("__p"), F.count(F.lit(1)).alias("__n"))
+    share = (F.col("__p") + prior * overall) / (F.col("__n") + prior)
+    return counts.select(name_at(columns), "value", share.alias("share"))
+
+
+def apply_shares(df: DataFrame, shares: DataFrame, columns: Sequence[str], ending: str = "__share") -> DataFrame:
+    """Add each column's share as ``<column>__share``, null for categories that were not seen."""
+    for c in columns:
+        table = shares.where(F.col("column") == c).select(F.col("value").alias("__value"), F.col("share").alias(f"{c}{ending}"))
+        df = df.join(table, category(F.col(f"`{c}`")) == F.col("__value"), "left").drop("__value")
+    return df
+
+
 def item_name(column: str, item: str) -> str:
     return f"{column}_{item.replace(' (add notes)', '')}"
 

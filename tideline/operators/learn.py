@@ -18,18 +18,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import Imputer, ImputerModel, StringIndexer, VectorAssembler
+from pyspark import inheritable_thread_target, keyword_only
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import Imputer, ImputerModel, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators import evaluate, sampling
 from tideline.operators.columns import align_to_schema
-from tideline.operators.encode import category
+from tideline.operators.encode import apply_shares, category, fit_shares
 from tideline.operators.joins import union_all
 from tideline.session import materialize, work_dir
 
@@ -45,18 +47,21 @@ class FeatureSet:
     text: list[str] = field(default_factory=list)
     #: Text columns that are turned into a number by hash instead of being listed: for any number of categories.
     hashed: list[str] = field(default_factory=list)
+    #: Text columns read as the share of positives among the training rows of their category: also for any number.
+    shared: list[str] = field(default_factory=list)
 
     @classmethod
-    def of(cls, df: DataFrame, names: Sequence[str], hashed: Sequence[str] = ()) -> "FeatureSet":
+    def of(cls, df: DataFrame, names: Sequence[str], hashed: Sequence[str] = (), shared: Sequence[str] = ()) -> "FeatureSet":
         kinds = {f.name: f.dataType for f in df.schema.fields}
         known = [n for n in names if n in kinds]
         text = [n for n in known if isinstance(kinds[n], T.StringType)]
         numeric = [n for n in known if n not in text]
-        return cls(numeric, [n for n in text if n not in hashed], [n for n in text if n in hashed])
+        listed = [n for n in text if n not in hashed and n not in shared]
+        return cls(numeric, listed, [n for n in text if n in hashed], [n for n in text if n in shared and n not in hashed])
 
     @property
     def names(self) -> list[str]:
-        return self.numeric + self.hashed + self.text
+        return self.numeric + self.hashed + self.shared + self.text
 
     def typed(self, df: DataFrame) -> DataFrame:
         """Numbers as doubles, listed texts with null as a category, hashed texts as their place in hash order."""
@@ -84,23 +89,65 @@ class FeatureSet:
         rest = assemble.getInputCols()[len(self.numeric) :]
         return [*fill, *index, VectorAssembler(inputCols=[*filled, *known, *rest], outputCol="features")]
 
-    def stages(self) -> list:
+    def stages(self, shares: str | None = None) -> list:
+        """Stages that turn the cleaned columns into one vector; ``shares`` is the folder of the share table."""
         coded = [f"{c}__code" for c in self.text]
-        stages = []
+        stages = [ShareModel(columns=self.shared, path=shares)] if self.shared else []
         if self.text:
             stages.append(
                 StringIndexer(inputCols=self.text, outputCols=coded, handleInvalid="keep", stringOrderType="alphabetAsc")
             )
-        stages.append(VectorAssembler(inputCols=[*self.numeric, *[f"{c}__hash" for c in self.hashed], *coded], outputCol="features"))
+        stages.append(VectorAssembler(inputCols=[*self.numeric, *[f"{c}__hash" for c in self.hashed], *[f"{c}__share" for c in self.shared], *coded], outputCol="features"))
         return stages
 
 
+class ShareModel(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds the fitted share of every listed column's category, read from a table that may be of any size.
+
+    A category that was not seen gets the number of a missing value.
+    """
+
+    @keyword_only
+    def __init__(self, columns: Sequence[str] | None = None, path: str | None = None):
+        super().__init__()
+        self.columns = Param(self, "columns", "text columns", TypeConverters.toListString)
+        self.path = Param(self, "path", "folder of the share table", TypeConverters.toString)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        columns = self.getOrDefault(self.columns)
+        shares = dataset.sparkSession.read.schema("column string, value string, share double").parquet(self.getOrDefault(self.path))
+        added = apply_shares(dataset, shares, columns)
+        return added.withColumns({f"{c}__share": F.coalesce(F.col(f"{c}__share"), F.lit(MISSING_NUMBER)) for c in columns})
+
+    def moved(self, path: str) -> "ShareModel":
+        """The same stage with its table copied to ``path``."""
+        spark = SparkSession.getActiveSession()
+        spark.read.parquet(self.getOrDefault(self.path)).write.mode("overwrite").parquet(path)
+        return self.copy({self.path: path})
+
+
 def _weighted(df: DataFrame, label: str, positive_weight: float | None) -> DataFrame:
     if positive_weight is None:
         return df
     return df.withColumn("__weight", F.when(F.col(label) == 1, float(positive_weight)).otherwise(1.0))
 
 
+def prepare_boosted(
+    df: DataFrame, features: Sequence[str], label: str, hashed: Sequence[str] = (), shared: Sequence[str] = (), prior: float = 1.0
+) -> tuple[FeatureSet, PipelineModel, int]:
+    """What boosted trees need to know of the features: how to assemble them, and the most values a listed column has."""
+    fs = FeatureSet.of(df, features, hashed, shared)
+    path = None
+    if fs.shared:
+        path = "/".join([work_dir(df.sparkSession), "tideline", df.sparkSession.sparkContext.applicationId, f"shares-{uuid.uuid4().hex}"])
+        fit_shares(df, fs.shared, label, prior).write.parquet(path)
+    rows = fs.clean(df.select(*{*fs.names, label}))
+    prepared = Pipeline(stages=fs.stages(path)).fit(rows)
+    arities = [len(a) + 1 for stage in prepared.stages if isinstance(stage, StringIndexerModel) for a in stage.labelsArray]
+    return fs, prepared, max(32, *arities, 0)
+
+
 def fit_boosted(
     df: DataFrame,
     features: Sequence[str],
@@ -116,16 +163,19 @@ def fit_boosted(
     min_gain: float = 0.0,
     column_sample: str = "all",
     hashed: Sequence[str] = (),
+    shared: Sequence[str] = (),
+    prior: float = 1.0,
+    prepared: tuple[FeatureSet, PipelineModel, int] | None = None,
 ) -> PipelineModel:
     """Boosted trees on the given columns; text columns are split as categories.
 
     The values of a category column are listed on the driver.  Columns named
-    in ``hashed`` are not: they are ordered by hash, whatever their number of values.
+    in ``shared`` or ``hashed`` are not, whatever their number of values: they
+    are ordered by their share of positives (drawn towards the overall share by
+    ``prior`` rows), or by hash.  ``prepared`` reuses a preparation.
     """
-    fs = FeatureSet.of(df, features, hashed)
+    fs, stages, bins = prepared or prepare_boosted(df, features, label, hashed, shared, prior)
     rows = _weighted(fs.clean(df.select(*{*fs.names, label, *([weight] if weight else [])})), label, positive_weight)
-    prepared = Pipeline(stages=fs.stages()).fit(rows)
-    arities = [len(a) + 1 for a in prepared.stages[0].labelsArray] if fs.text else []
     learner = GBTClassifier(
         labelCol=label,
         featuresCol="features",
@@ -136,13 +186,13 @@ def fit_boosted(
         minInstancesPerNode=min_child,
         minInfoGain=min_gain,
         featureSubsetStrategy=column_sample,
-        maxBins=max(32, *arities, 0),
+        maxBins=bins,
         seed=seed,
     )
     if weight or positive_weight is not None:
         learner = learner.setWeightCol(weight or "__weight")
-    model = learner.fit(prepared.transform(rows))
-    return PipelineModel(stages=[*prepared.stages, model])
+    model = learner.fit(stages.transform(rows))
+    return PipelineModel(stages=[*stages.stages, model])
 
 
 def model_features(model: PipelineModel) -> FeatureSet:
@@ -150,18 +200,23 @@ def model_features(model: PipelineModel) -> FeatureSet:
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     inputs = assembler.getInputCols()
     ending = lambda mark: [c.removesuffix(mark) for c in inputs if c.endswith(mark)]
-    marked = ("__code", "__hash", "__known", "__filled")
+    marked = ("__code", "__hash", "__share", "__known", "__filled")
     numeric = ending("__filled") or [c for c in inputs if not c.endswith(marked)]
-    return FeatureSet(numeric, ending("__code"), ending("__hash"))
+    return FeatureSet(numeric, ending("__code"), ending("__hash"), ending("__share"))
 
 
-def score(model: PipelineModel, df: DataFrame, out: str = "probability_1") -> DataFrame:
-    """Add the positive probability; the input columns stay as they are."""
+def _as_read(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """All columns of ``df`` under other names, and the model's own as it reads them."""
     fs = model_features(model)
     kept = [F.col(f"`{c}`").alias(f"__keep_{c}") for c in df.columns]
     wide = df.select(*kept, *[F.col(f"`{c}`") for c in fs.names])
     linear = any(isinstance(s, ImputerModel) for s in model.stages)
-    scored = model.transform(fs.with_presence(wide) if linear else fs.clean(wide))
+    return fs.with_presence(wide) if linear else fs.clean(wide)
+
+
+def score(model: PipelineModel, df: DataFrame, out: str = "probability_1") -> DataFrame:
+    """Add the positive probability; the input columns stay as they are."""
+    scored = model.transform(_as_read(model, df))
     return scored.select(
         *[F.col(f"`__keep_{c}`").alias(c) for c in df.columns], vector_to_array("probability")[1].alias(out)
     )
@@ -218,6 +273,25 @@ def fit_logistic(
     return model, union_all(areas)
 
 
+def fit_sparse_logistic(
+    df: DataFrame, label: str, features: str = "features", weight: str | None = None, max_iter: int = 50, regularization: float = 1e-3
+) -> LogisticRegressionModel:
+    """L2 logistic regression on a vector column, which may be sparse and of any width.
+
+    The driver holds one coefficient per place and no names.
+    """
+    learner = LogisticRegression(
+        labelCol=label, featuresCol=features, maxIter=max_iter, regParam=regularization, elasticNetParam=0.0, standardization=False
+    )
+    return (learner.setWeightCol(weight) if weight else learner).fit(df)
+
+
+def score_vectors(model: LogisticRegressionModel, df: DataFrame, out: str = "probability_1") -> DataFrame:
+    """Add the positive probability of rows that carry the model's vector column."""
+    scored = model.transform(df)
+    return scored.select(*[f"`{c}`" for c in df.columns], vector_to_array("probability")[1].alias(out))
+
+
 # -- search ------------------------------------------------------------------
 
 #: Independent fits that run at the same time; each is a chain of small jobs that leaves executors idle.
@@ -481,21 +555,136 @@ def eliminate_features(
 
 
 def fit_bags(
-    df: DataFrame, key: str, features: Sequence[str], label: str, bags: int = 40, seed: int = 42, **params
+    df: DataFrame,
+    key: str,
+    features: Sequence[str],
+    label: str,
+    bags: int = 40,
+    seed: int = 42,
+    strategy: str = "not minority",
+    hashed: Sequence[str] = (),
+    shared: Sequence[str] = (),
+    prior: float = 1.0,
+    **params,
 ) -> list[PipelineModel]:
-    """One model per balanced bootstrap replicate."""
+    """One model per bootstrap replicate; the classes of every replicate have exactly the sizes that ``strategy`` asks for.
+
+    The features are prepared once for all bags, and the rows are written once
+    with their draws for every bag, so a bag is a filter.
+    """
     rows = df.select(*dict.fromkeys([key, label, *features]))
-    rates = sampling.draw_rates(rows, label)
+    weights = sampling.exact_bags(rows, key, label, bags, strategy, seed).withColumnRenamed(key, "__key")
+    drawn = materialize(rows.join(weights, rows[key] == weights["__key"]).drop("__key"), "bags")
+    prepared = prepare_boosted(rows, features, label, hashed, shared, prior)
 
     def run(b: int) -> PipelineModel:
-        drawn = sampling.bag_weights(rows, key, b, seed, label, rates).withColumn("weight", F.col("weight").cast("double"))
-        return fit_boosted(drawn, features, label, weight="weight", **params)
+        bag = drawn.withColumn("weight", F.get("weights", F.lit(b)).cast("double")).where(F.col("weight") > 0)
+        return fit_boosted(bag, features, label, weight="weight", prepared=prepared, **params)
 
     return several(run, range(bags))
 
 
+@dataclass
+class Forest:
+    """All trees of all boosted models in one table of nodes, a model's sum of trees being one score.
+
+    A node has a feature, a threshold or the list of the categories that go
+    left, its children, and a value; a leaf is its own child.
+    """
+
+    root: np.ndarray
+    weight: np.ndarray
+    model: np.ndarray
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    #: Categories that go left, by node; empty for numeric splits.
+    listed: np.ndarray
+    by_list: np.ndarray
+
+    @classmethod
+    def of(cls, models: Sequence[PipelineModel]) -> "Forest":
+        nodes: list[list] = []
+        lists: list[list[int]] = []
+        roots, weights, owner = [], [], []
+
+        def add(node) -> int:
+            at = len(nodes)
+            nodes.append([0, np.inf, at, at, float(node.prediction())])
+            lists.append([])
+            if node.subtreeDepth() > 0:
+                split = node.split()
+                nodes[at][0] = split.featureIndex()
+                if split.getClass().getSimpleName() == "CategoricalSplit":
+                    lists[at] = [int(c) for c in split.leftCategories()]
+                else:
+                    nodes[at][1] = float(split.threshold())
+                nodes[at][2], nodes[at][3] = add(node.leftChild()), add(node.rightChild())
+            return at
+
+        for m, model in enumerate(models):
+            booster = model.stages[-1]
+            for tree, w in zip(booster._java_obj.trees(), booster.treeWeights):
+                roots.append(add(tree.rootNode()))
+                weights.append(w)
+                owner.append(m)
+        feature, threshold, left, right, value = (np.array(c) for c in zip(*nodes))
+        width = 1 + max((max(x) for x in lists if x), default=0)
+        listed = np.zeros((len(nodes), width), dtype=bool)
+        for at, x in enumerate(lists):
+            listed[at, x] = True
+        by_list = np.array([bool(x) for x in lists])
+        return cls(np.array(roots), np.array(weights), np.array(owner), feature.astype(int), threshold, left.astype(int), right.astype(int), value, listed, by_list)
+
+    def mean_probability(self, x: np.ndarray) -> np.ndarray:
+        """Mean over the models of the positive probability, all trees walked together."""
+        out = np.empty(len(x))
+        for start in range(0, len(x), 1_000):
+            part = x[start : start + 1_000]
+            row = np.arange(len(part))[:, None]
+            at = np.broadcast_to(self.root, (len(part), len(self.root))).copy()
+            while True:
+                v = part[row, self.feature[at]]
+                goes_left = v <= self.threshold[at]
+                lists = self.by_list[at]
+                if lists.any():
+                    c = v[lists].astype(int)
+                    known = c < self.listed.shape[1]
+                    goes_left[lists] = known & self.listed[at[lists], np.where(known, c, 0)]
+                child = np.where(goes_left, self.left[at], self.right[at])
+                if (child == at).all():
+                    break
+                at = child
+            values = self.value[at] * self.weight
+            raw = np.stack([values[:, self.model == m].sum(axis=1) for m in range(self.model.max() + 1)], axis=1)
+            out[start : start + 1_000] = (1 / (1 + np.exp(-2 * raw))).mean(axis=1)
+        return out
+
+
+def _prepared_alike(models: Sequence[PipelineModel]) -> bool:
+    uids = [[s.uid for s in m.stages[:-1]] for m in models]
+    return all(u == uids[0] for u in uids) and all(isinstance(m.stages[-1], GBTClassificationModel) for m in models)
+
+
 def score_bags(models: Sequence[PipelineModel], df: DataFrame, out: str = "probability_1") -> DataFrame:
-    """Mean probability over the bags, as columns of one pass."""
+    """Mean probability over the bags.
+
+    Bags that share their preparation are one forest: the features are
+    assembled once and every batch of rows walks all trees at once.  Models
+    of other kinds are scored one after the other in one pass.
+    """
+    if _prepared_alike(models):
+        forest = Forest.of(models)
+
+        @F.pandas_udf("double")
+        def walk(x: pd.Series) -> pd.Series:
+            return pd.Series(forest.mean_probability(np.stack(x.to_numpy())) if len(x) else np.zeros(0))
+
+        features = PipelineModel(stages=models[0].stages[:-1]).transform(_as_read(models[0], df))
+        kept = [F.col(f"`__keep_{c}`").alias(c) for c in df.columns if c != out]
+        return features.select(*kept, walk(vector_to_array("features")).alias(out))
     scored, parts = df, []
     for i, model in enumerate(models):
         parts.append(f"__bag_{i}")
@@ -509,7 +698,9 @@ def score_bags(models: Sequence[PipelineModel], df: DataFrame, out: str = "proba
 def save_model(model: PipelineModel, folder: str, stage: str, name: str, settings: Mapping | None = None) -> str:
     """Store a model under ``folder/stage/name`` with a copy of its settings."""
     path = f"{folder}/{stage}/{name}"
-    model.write().overwrite().save(path)
+    # The share table belongs to the model and moves with it.
+    stages = [s.moved(f"{path}-shares") if isinstance(s, ShareModel) else s for s in model.stages]
+    PipelineModel(stages=stages).write().overwrite().save(path)
     if settings is not None:
         spark = SparkSession.getActiveSession()
         text = spark.createDataFrame([(json.dumps(dict(settings), sort_keys=True),)], "value string")

@@ -6,9 +6,12 @@ not depend on partitioning, task retries or the engine.  Keys must be unique.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -160,17 +163,7 @@ def poisson_draw(u: Column, mean: float) -> Column:
     return chain.otherwise(count)
 
 
-def draw_rates(df: DataFrame, label: str | None) -> dict:
-    """Mean draws per row of each class: 1, or less for the majority of a balanced draw."""
-    if label is None:
-        return {}
-    minority, n_min, majority, n_maj = _two_classes(df, label)
-    return {minority: 1.0, majority: n_min / n_maj}
-
-
-def bag_weights(
-    df: DataFrame, key: str, bag: Column | int, seed: int = 42, label: str | None = None, rates: Mapping | None = None
-) -> DataFrame:
+def bag_weights(df: DataFrame, key: str, bag: Column | int, seed: int = 42) -> DataFrame:
     """Rows of one bootstrap replicate with their draw count in ``weight``.
 
     A projection and a filter: every bag is derived from the rows when it is
@@ -178,18 +171,98 @@ def bag_weights(
     """
     number = bag if isinstance(bag, Column) else F.lit(bag)
     tagged = df.withColumn("__u", hash_unit(key_hash(F.col(key), number, str(seed))))
-    draw = poisson_draw(F.col("__u"), 1.0)
-    for value, rate in (rates or {}).items():
-        if rate != 1.0:
-            draw = F.when(F.col(label) == value, poisson_draw(F.col("__u"), rate)).otherwise(draw)
-    return tagged.withColumn("weight", draw).drop("__u").where(F.col("weight") > 0)
+    return tagged.withColumn("weight", poisson_draw(F.col("__u"), 1.0)).drop("__u").where(F.col("weight") > 0)
 
 
-def bootstrap(df: DataFrame, key: str, bags: int, seed: int = 42, label: str | None = None) -> DataFrame:
-    """Rows of ``bags`` bootstrap replicates, numbered in ``bag``.
+def bag_sizes(sizes: Mapping, strategy: str = "not minority") -> dict:
+    """How often each class of a bag is drawn from.
 
-    With ``label`` the majority class is drawn at the rate that makes the
-    classes equal in every bag.
+    The classes that the strategy names come down to the size of the smallest
+    one; the others are drawn as often as they have rows.
     """
-    bagged = df.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
-    return bag_weights(bagged, key, F.col("bag"), seed, label, draw_rates(df, label))
+    if strategy not in ("majority", "not majority", "not minority", "all"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    order = sorted(sizes, key=lambda c: (sizes[c], str(c)))
+    smallest, largest = order[0], order[-1]
+    named = {"majority": {largest}, "not majority": set(order) - {largest}, "not minority": set(order) - {smallest}, "all": set(order)}
+    return {c: sizes[smallest] if c in named[strategy] else n for c, n in sizes.items()}
+
+
+def split_draws(counts: np.ndarray, draws: int, random: np.random.Generator) -> np.ndarray:
+    """Deal ``draws`` out over places in proportion to ``counts``: a tree that halves the places at every level.
+
+    What goes to the left half of a node is binomial in its share of the
+    counts, so the draws add up exactly and each is independent of the others.
+    """
+    width = 1 << max(0, int(np.ceil(np.log2(max(1, len(counts))))))
+    levels = [np.concatenate([counts, np.zeros(width - len(counts), dtype=np.int64)]).astype(np.int64)]
+    while len(levels[-1]) > 1:
+        levels.append(levels[-1].reshape(-1, 2).sum(axis=1))
+    dealt = np.array([draws], dtype=np.int64)
+    for below in reversed(levels[:-1]):
+        pairs = below.reshape(-1, 2)
+        share = pairs[:, 0] / np.maximum(1, pairs.sum(axis=1))
+        left = random.binomial(dealt, share)
+        dealt = np.stack([left, dealt - left], axis=1).ravel()
+    return dealt[: len(counts)]
+
+
+#: Rows of a class that one task draws from, about.
+BAG_ROWS = 200_000
+
+
+def exact_bags(df: DataFrame, key: str, label: str, bags: int, strategy: str = "not minority", seed: int = 42) -> DataFrame:
+    """(key, weights): how often each row is drawn into each bag, with replacement.
+
+    Every class of every bag has exactly the size that the strategy asks for,
+    whatever the number of classes.  The draws of a class are split over hash
+    buckets of its keys, and inside each bucket over its rows; keys are unique,
+    and rows without key or label are left out.
+    """
+    rows = df.where(F.col(key).isNotNull() & F.col(label).isNotNull()).select(key, F.col(label).alias("__class"))
+    sizes = class_sizes(rows, "__class")
+    wanted = bag_sizes(sizes, strategy) if sizes else {}
+    bits = max(0, math.ceil(math.log2(max(1, max(sizes.values(), default=1) / BAG_ROWS))))
+    h = key_hash(F.col(key), str(seed))
+    spread = rows.withColumns({"__h": h, "__bucket": F.shiftright(hash_number(h), 32 - bits) if bits else F.lit(0).cast("long")})
+    # One row for each class and bucket.
+    counts = spread.groupBy("__class", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    kind, own = rows.schema["__class"].dataType.simpleString(), rows.schema[key].dataType.simpleString()
+
+    def random(*parts) -> np.random.Generator:
+        return np.random.Generator(np.random.Philox(key=int.from_bytes(hashlib.md5("|".join(map(str, (seed, *parts))).encode()).digest()[:8], "big")))
+
+    def over_buckets(group: tuple, table: pd.DataFrame) -> pd.DataFrame:
+        table = table.sort_values("__bucket")
+        n, draws = table["__n"].to_numpy(), wanted[group[0]]
+        dealt = [split_draws(n, draws, random(group[0], b)) for b in range(bags)]
+        return table[["__class", "__bucket"]].assign(__draws=list(np.stack(dealt, axis=1)))
+
+    split = counts.groupBy("__class").applyInPandas(over_buckets, f"__class {kind}, __bucket long, __draws array<long>")
+
+    def over_rows(group: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        left = left.sort_values(["__h", key])
+        ones = np.ones(len(left), dtype=np.int64)
+        draws = right["__draws"].iloc[0]
+        dealt = [split_draws(ones, draws[b], random(*group, b)) for b in range(bags)]
+        return pd.DataFrame({key: left[key], "weights": list(np.stack(dealt, axis=1).astype("int32"))})
+
+    by = ["__class", "__bucket"]
+    return spread.groupBy(*by).cogroup(split.groupBy(*by)).applyInPandas(over_rows, f"`{key}` {own}, weights array<int>")
+
+
+def bootstrap(
+    df: DataFrame, key: str, bags: int, seed: int = 42, label: str | None = None, strategy: str = "not minority"
+) -> DataFrame:
+    """Rows of ``bags`` bootstrap replicates, numbered in ``bag``, with their draw count in ``weight``.
+
+    Without ``label`` every row is drawn by a Poisson count of mean one, which
+    needs no shuffle.  With it the draws of every class are exact, as
+    ``strategy`` asks for.
+    """
+    if label is None:
+        bagged = df.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
+        return bag_weights(bagged, key, F.col("bag"), seed)
+    weights = exact_bags(df, key, label, bags, strategy, seed).withColumnRenamed(key, "__key")
+    drawn = df.join(weights, df[key] == weights["__key"]).select(*df.columns, F.posexplode("weights").alias("bag", "weight"))
+    return drawn.where(F.col("weight") > 0)
