@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["relational", "features", "modelling", "workload", "edges"]
+MODULES = ["relational", "features", "modelling", "workload", "edges", "scale"]
 
 
 def load_all() -> None:
