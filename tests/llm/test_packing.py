@@ -67,7 +67,11 @@ def test_plan_takes_every_piece_once_and_wastes_little(seed):
 
 def test_best_two_replace_the_smallest():
     # Greedy holds 6 and 3; instead of 3 the two pieces 2 and 2 fill the bin.
-    assert packing.plan({6: 1, 3: 1, 2: 2}, 10) == [([6, 2, 2], 1), ([3], 1)]
+    assert packing.plan({6: 1, 3: 1, 2: 4}, 10) == [([6, 2, 2], 1), ([3, 2, 2], 1)]
+    # Of two pieces of a length one may be needed to fill a later bin.
+    assert packing.plan({6: 1, 3: 1, 2: 2}, 10) == [([6, 3], 1), ([2, 2], 1)]
+    # Greedy filling would take eight bins: 6 and 3 four times, and the twos in four more.
+    assert sum(n for _, n in packing.plan({6: 4, 3: 4, 2: 16}, 10)) == 7
 
 
 def test_piece_beyond_the_capacity_is_refused():

@@ -152,12 +152,15 @@ def plan(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[list
 
 
 def _closing_pair(free: np.ndarray, room: int) -> list[int] | None:
-    """Two free pieces that fill ``room`` exactly; of all pairs the one whose scarcer length has most pieces, then the most equal."""
+    """Two free pieces that fill ``room`` exactly; of all pairs the one whose scarcer length has most pieces, then the most equal.
+
+    The last piece of a length is not given away: it may be the one that fills a later bin.
+    """
     small = np.arange(1, room // 2 + 1)
     spare = np.minimum(free[small], free[room - small])
     if room % 2 == 0 and len(small):
         spare[-1] = free[room // 2] // 2
-    if not len(spare) or not spare.any():
+    if not len(spare) or spare.max() < 2:
         return None
     a = int(small[len(spare) - 1 - spare[::-1].argmax()])
     return [a, room - a]
