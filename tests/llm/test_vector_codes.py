@@ -1,5 +1,6 @@
 import hashlib
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -14,7 +15,8 @@ def brute(rows, parts=8, entries=16, rounds=6):
     good = [(i, v, label) for i, v, label in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     order = lambda r: (r[0] is None, r[0] or 0, r[1])
     good.sort(key=order)
-    size = len(good[0][1]) if good and len(good[0][1]) % parts == 0 else 0
+    lengths = Counter(len(v) for _, v, _ in good if v and len(v) % parts == 0)
+    size = min(lengths, key=lambda n: (-lengths[n], n)) if lengths else 0
     good = [r for r in good if size and len(r[1]) == size]
     if not good:
         return []
@@ -64,7 +66,7 @@ def test_ties_copies_nulls_and_unusable_vectors(spark):
     rows = [(i, [float(x) / 4096 for x in draw.integers(-2, 3, 16)], [None, 1, 2][i % 3]) for i in range(120)]
     same = rows[0][1]
     rows += [(i, same, 1) for i in range(200, 260)] + [(300, same, None), (300, same, None), (None, rows[5][1], 1), (None, same, 7)]
-    rows += [(400, None, 1), (401, [float("nan")] * 16, 1), (402, [float("-inf")] * 16, 1), (403, [None] * 16, 1), (404, [], 1), (405, [1.0] * 8, 1)]
+    rows += [(400, None, 1), (401, [float("nan")] * 16, 1), (402, [float("-inf")] * 16, 1), (403, [None] * 16, 1), (404, [], 1), (405, [1.0] * 8, 1), (-9, [], 1), (-8, [2.0] * 5, 1)]
     df = spark.createDataFrame(rows, SCHEMA).withColumns({"code": F.lit("x"), "spread": F.lit(3), "point": F.lit(0)})
     assert run(df) == brute(rows)
 

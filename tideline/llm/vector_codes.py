@@ -95,15 +95,16 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
 def whole_vectors(embeddings: DataFrame, vector: str = "embedding", scale: int = SCALE, parts: int = PARTS) -> tuple[DataFrame, int]:
     """(vec_id, label, point): the usable rows with their whole-number components, written; and how many components.
 
-    Vectors compare only if they are equally long: rows of another length than
-    that of the smallest vec_id are left out, as are all if that length cannot
-    be cut into the parts.
+    Vectors compare only if they are equally long: of the lengths that can be
+    cut into the parts the one that most rows have counts (the smallest of
+    equals), and rows of another length are left out.
     """
     rows = usable(embeddings, vector).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label"), F.col(vector).cast("array<double>").alias("point")
     )
-    start = rows.orderBy(F.col("vec_id").asc_nulls_last(), "point").select(F.size("point")).first()
-    size = start[0] if start and start[0] % parts == 0 else 0
+    fits = rows.select(F.size("point").alias("size")).where((F.col("size") > 0) & (F.col("size") % parts == 0))
+    common = fits.groupBy("size").count().orderBy(F.desc("count"), "size").first()
+    size = common["size"] if common else 0
     width = max(1, size // parts)
 
     def floor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +188,8 @@ def compress(
     """Every usable row's code and error, the error of its label, and the hash of the codebooks.
 
     Rows whose vector is null or holds null or non-finite components are left
-    out, also vectors of another length than that of the smallest vec_id; if
-    that cannot be cut into ``parts``, the result is empty.  Components beyond
+    out, also vectors of another length than most (of those that can be cut
+    into ``parts``).  Components beyond
     2^30 over the part's width (2^27 at eight components, after scaling) count as
     that, so that distances stay exact.  Null ids come last, null labels are a
     label, repeated rows are coded each for itself, extra columns do not come
