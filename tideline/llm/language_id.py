@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,9 +129,10 @@ def fit(
     has ``3 * SLOTS`` weights for each label.
     """
 
-    @F.pandas_udf("array<array<int>>")
-    def places(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [p.astype(np.int32) for p in present(t)])
+    @F.arrow_udf("array<array<int>>")
+    def places(texts: pa.Array) -> pa.Array:
+        found = [[p.astype(np.int32) for p in present(t.as_py())] for t in texts]
+        return pa.array(found, pa.list_(pa.list_(pa.int32())))
 
     chosen = sample(labelled, text, label, per_language, max_rows=max_rows)
     got = sorted(chosen.select("label", "h", places("text").alias("places")).collect(), key=lambda r: (r["label"], r["h"]))
@@ -174,12 +175,14 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFram
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fitted = shared.value
         for texts in batches:
             langs, scores = [], []
+            # A few texts at a time are Python strings; the rest stay as they came.
             for start in range(0, len(texts), BATCH):
-                part = texts.iloc[start : start + BATCH].tolist()
+                part = texts.slice(start, BATCH).to_pylist()
                 known = [i for i, t in enumerate(part) if fitted.languages and has_letter(t)]
                 lang, score = [UNKNOWN] * len(part), [0.0] * len(part)
                 if known:
@@ -188,11 +191,10 @@ def predict(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFram
                         lang[i], score[i] = fitted.languages[best], float(min(1.0, max(0.0, row[best])))
                 langs += lang
                 scores += score
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
-    labelled = F.pandas_udf(label, "lang_pred string, score double", F.PandasUDFType.SCALAR_ITER)
     kept = [c for c in df.columns if c not in ("lang_pred", "score")]
-    return df.withColumn("__found", labelled(F.col(text))).select(*kept, "__found.lang_pred", "__found.score")
+    return df.withColumn("__found", label(F.col(text))).select(*kept, "__found.lang_pred", "__found.score")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -233,7 +235,11 @@ def keep_identified(docs: DataFrame, share: float = ABOVE_CHANCE) -> DataFrame:
     model = fit(docs.where(~held_out(F.col("doc_id"))))
     whole = docs.select(F.struct(*docs.columns).alias("__row"), F.col("text").alias("__text"))
     if not model.languages:
-        lettered = F.pandas_udf(lambda texts: texts.map(has_letter).astype(bool), "boolean")
+
+        @F.arrow_udf("boolean")
+        def lettered(texts: pa.Array) -> pa.Array:
+            return pa.array([has_letter(t.as_py()) for t in texts], pa.bool_())
+
         return whole.where(lettered("__text")).select("__row.*")
     limit = least_score(docs, model, share)
     kept = predict(whole, model, "__text").where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= limit))
