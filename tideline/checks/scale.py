@@ -153,6 +153,32 @@ def prepared_places(t):
     )
 
 
+ENCODED = {
+    "intake": "CASE WHEN p_size % 3 = 0 THEN 'Fall' ELSE 'Spring' END",
+    "delivery_format": "CASE WHEN p_size % 2 = 0 THEN 'offline' ELSE '_NA_' END",
+    "vertical_name": "COALESCE(replace(vertical_name, ' ', '_'), '_NA_')",
+    "source_of_awareness_onboarding": "CASE WHEN c_acctbal > 5500 THEN 'google' ELSE 'unknown' END",
+    "industry_enrichment": "CASE WHEN c_acctbal > 6000 THEN c_mktsegment ELSE '_NA_' END",
+    "current_position_job_type": "CASE WHEN c_acctbal > 0 THEN 'True' ELSE '_NA_' END",
+    "previous_position_job_type": "CASE WHEN c_acctbal > 7000 THEN 'False' ELSE '_NA_' END",
+    "reason_to_buy_short": "unnest(CASE WHEN c_acctbal > 1000 THEN [c_mktsegment, 'Price'] ELSE [] END)",
+}
+
+
+@check(
+    "prepared_categories",
+    f"""{WIDE}, b AS (SELECT * FROM placed {JOINED.replace('WHERE', 'JOIN part ON p_partkey = course_id WHERE')}), n AS ("""
+    + " UNION ALL ".join(f"SELECT '{c}_' || {value} AS n FROM b" if "unnest" not in value else f"SELECT '{c}_' || x AS n FROM (SELECT {value} AS x FROM b)" for c, value in ENCODED.items())
+    + """) SELECT n AS "column", COUNT(*) AS total FROM n GROUP BY n""",
+)
+def prepared_categories(t):
+    """How many rows have each category and list item, from the wide columns of the prepared table."""
+    ready = _prepared(t)
+    names = [c for c in ready.columns if c.startswith(tuple(f"{e}_" for e in ENCODED))]
+    sums = ready.agg(*[F.sum(F.col(f"`{c}`")).cast("long").alias(f"s{i}") for i, c in enumerate(names)])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"s{i}").alias("total")) for i, c in enumerate(names)])))
+
+
 @check(
     "stage_model_scores",
     f"""{WIDE}, b AS (SELECT (s = 'F')::INT AS y, (p_type = 'STANDARD')::INT AS x FROM placed {JOINED.replace('WHERE', 'JOIN part ON p_partkey = course_id WHERE')}),

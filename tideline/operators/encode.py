@@ -30,6 +30,10 @@ class VocabularyTooLarge(ValueError):
     """A column has more categories than a wide encoding should create."""
 
 
+#: Categories that the preparation makes columns of, unless another number is given; ``None`` lifts the limit.
+WIDE_LIMIT = 10_000
+
+
 # -- filling -----------------------------------------------------------------
 
 
@@ -199,7 +203,7 @@ def _collect_vocabulary(table: DataFrame, columns: Sequence[str], cap: int | Non
     if cap is not None:
         over = table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > cap).select("column").collect()
         if over:
-            raise VocabularyTooLarge(f"{over[0][0]} has more than {cap} categories")
+            raise VocabularyTooLarge(f"{over[0][0]} has more than {cap} categories; the sparse encoding takes any number")
     for r in table.collect():
         found[r["column"]].append(r["value"])
     return {c: sorted(v) for c, v in found.items()}
