@@ -438,7 +438,22 @@ def near_miss(t):
     return resample.resample(points(t), "NearMiss", "vec_id", "embedding", "y").select("vec_id", "y")
 
 
-@check("smote_tomek")
+# Every minority row is drawn (b - a) // t times, the first by hash once more.
+ALL_DRAWS = """c AS (SELECT id, (b - a) // t + CASE WHEN row_number() OVER (ORDER BY md5(id || '|42')) <= (b - a) % t THEN 1 ELSE 0 END AS n FROM m, z, (SELECT COUNT(*) AS t FROM m)),
+       d AS (SELECT id, CAST(unnest(range(1, n + 1)) AS BIGINT) AS draw FROM c), h AS (SELECT id, draw, md5(id || '|' || draw || '|42') AS h FROM d),
+       g AS (SELECT id, draw, ('0x' || substr(h, 1, 8))::BIGINT % 5 + 1 AS r, (('0x' || substr(h, 9, 8))::BIGINT / 4294967296.0)::DOUBLE AS u FROM h),
+       w AS (SELECT g.id, g.draw, list_transform(range(1, 65), lambda i: a.v[i] + u * (b.v[i] - a.v[i])) AS v
+             FROM g JOIN nm ON g.id = nm.id AND g.r = nm.r JOIN p a ON g.id = a.id JOIN p b ON nm.nb = b.id)"""
+BALANCED_LINKS = f"""WITH {POINTS}, {SIZES}, {MINORITY}, {near_sql(5, 'm', 'm', 'nm')}, {ALL_DRAWS},
+       both_ AS (SELECT id AS k, 0::BIGINT AS draw, v, y FROM p UNION ALL SELECT id, draw, v, 1 FROM w),
+       f AS (SELECT row_number() OVER (ORDER BY draw, k) AS id, k, draw, v, y FROM both_), {near_sql(1, 'f', 'f', 'n1')},
+       t AS (SELECT n.id FROM n1 n JOIN n1 o ON n.nb = o.id AND o.nb = n.id JOIN f a ON n.id = a.id JOIN f b ON n.nb = b.id WHERE a.y <> b.y)"""
+
+
+@check(
+    "smote_tomek",
+    f"{BALANCED_LINKS} SELECT y AS label, COUNT(*) AS n, COUNT(*) FILTER (draw > 0) AS synthetic FROM f WHERE id NOT IN (SELECT id FROM t) GROUP BY y",
+)
 def smote_tomek(t):
     out = resample.resample(points(t), "SMOTETomek", "vec_id", "embedding", "y")
     return out.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("draw") > 0).alias("synthetic"))
