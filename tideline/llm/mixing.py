@@ -156,8 +156,10 @@ def deal(quotas: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def split(units: DataFrame, shard_words: int = SHARD_WORDS, seed: int = 42) -> DataFrame:
-    """Assign each unit of the quotas (pos, unit, words) to a shard: a tree that halves the shards at every level."""
-    units = materialize(units, "units")
+    """Assign each unit of the quotas (pos, unit, words) to a shard: a tree that halves the shards at every level.
+
+    ``units`` is read twice, so it should be a written table.
+    """
     words, count = units.agg(F.sum("words"), F.count(F.lit(1))).first()
     shards = max(1, min(count, -(-(words or 0) // shard_words)))
     # A node is the range of shards below it.
