@@ -361,6 +361,8 @@ def test_sparse_vectors_hold_numbers_then_ones(spark, texts):
         assert set(v.indices[v.values == 1.0]) - {0} >= {1 + p for p in ones}
         assert v[0] == (r["x"] or 0.0) and v.numNonzeros() <= len(ones) + 1
         assert list(v.indices) == sorted(v.indices)
+    one = encode.sparse_vectors(texts.limit(1), "id", [], places.where("place = 0"), ["own"], out="v").first()["v"]
+    assert one.size == 1
     model = learn.fit_sparse_logistic(out, "y")
     scored = learn.score_vectors(model, out)
     assert scored.columns == [*out.columns, "probability_1"] and abs(scored.agg(F.avg("probability_1")).first()[0] - 0.25) < 0.01

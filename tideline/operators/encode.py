@@ -290,7 +290,8 @@ def sparse_vectors(
     driver, so columns may have any number of values.  A null number is zero,
     unknown values have no place.  ``key`` must be unique.
     """
-    width = len(numeric) + (places.agg(F.max("place")).first()[0] or -1) + 1
+    last = places.agg(F.max("place")).first()[0]
+    width = len(numeric) + (0 if last is None else last + 1)
     encoded = encode_sparse(df, key, places, columns, lists, separator, "__places")
     numbers = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]).cast("array<double>")
     rows = encoded.withColumn("__numbers", numbers)
