@@ -162,25 +162,23 @@ def split(units: DataFrame, shard_words: int = SHARD_WORDS, seed: int = 42) -> D
     """
     words, count = units.agg(F.sum("words"), F.count(F.lit(1))).first()
     shards = max(1, min(count, -(-(words or 0) // shard_words)))
-    # A node is the range of shards below it.
-    root = units.select("pos", "unit", F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("shards"))
+    # A node is the range of shards below it, with the number of units that reached it.
+    facts = {"first": 0, "shards": shards, "size": count}
+    root = units.select("pos", "unit", *[F.lit(n).cast("long").alias(name) for name, n in facts.items()])
     nodes = materialize(root, "split")
     level = 0
     while (1 << level) < shards:
         key = F.xxhash64("pos", "unit", F.lit(level), F.lit(seed))
         left_shards = F.floor((F.col("shards") + 1) / 2)
         placed = row_numbers(nodes.withColumn("__key", key), ["__key", "pos", "unit"], "__rank", ["first", "shards"])
-        sizes = nodes.groupBy("first", "shards").agg(F.count(F.lit(1)).alias("__units"))
         # The quota of the left child: its part of the units, to the nearest whole one.
-        quota = F.floor((F.col("__units") * left_shards * 2 + F.col("shards")) / (F.col("shards") * 2))
+        quota = F.floor((F.col("size") * left_shards * 2 + F.col("shards")) / (F.col("shards") * 2))
         left = F.col("__rank") <= quota
-        nodes = materialize(
-            placed.join(sizes, ["first", "shards"]).select(
-                "pos", "unit",
-                F.when(left, F.col("first")).otherwise(F.col("first") + left_shards).alias("first"),
-                F.when(left, left_shards).otherwise(F.col("shards") - left_shards).alias("shards"),
-            ),
-            f"split-{level}",
+        nodes = placed.select(
+            "pos", "unit",
+            F.when(left, F.col("first")).otherwise(F.col("first") + left_shards).alias("first"),
+            F.when(left, left_shards).otherwise(F.col("shards") - left_shards).alias("shards"),
+            F.when(left, quota).otherwise(F.col("size") - quota).alias("size"),
         )
         level += 1
     return nodes.select("pos", "unit", F.col("first").alias("shard"))
