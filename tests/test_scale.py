@@ -368,6 +368,39 @@ def test_sparse_vectors_hold_numbers_then_ones(spark, texts):
     assert scored.columns == [*out.columns, "probability_1"] and abs(scored.agg(F.avg("probability_1")).first()[0] - 0.25) < 0.01
 
 
+def test_a_query_travels_once_per_pack(rows, monkeypatch):
+    """Rows without structure meet all others, but are not sent out once for every block."""
+    rng = np.random.default_rng(5)
+    df = rows([(i, [float(x) for x in rng.normal(size=12)]) for i in range(400)], POINTS)
+    sent, group = [], type(df).groupBy
+
+    def counted(frame, *by):
+        if {"qid", "vec"} <= set(frame.columns) and len(by) > 1:
+            sent.append(frame.count())
+        return group(frame, *by)
+
+    monkeypatch.setattr(type(df), "groupBy", counted)
+    near = neighbours.nearest_neighbours(df, "id", "v", 3, block_rows=8, pivots=4)
+    assert near.count() == 1200 and len(sent) == 2 and max(sent) <= 400 * 17
+
+
+def test_rows_go_to_their_buckets_a_few_at_a_time(rows, monkeypatch):
+    rng = np.random.default_rng(6)
+    df = rows([(i, [float(x) for x in rng.normal(size=4)]) for i in range(1500)], POINTS).coalesce(1)
+    send = type(df).mapInPandas
+
+    def limited(frame, fn, schema):
+        def run(batches):
+            for out in fn(batches):
+                assert len(out) <= 20_000
+                yield out
+
+        return send(frame, run, schema)
+
+    monkeypatch.setattr(type(df), "mapInPandas", limited)
+    assert neighbours.lsh_neighbours(df, "id", "v", 2, tables=64, bits=2).count() == 3000
+
+
 def test_prefixes_of_words_do_not_meet(rows):
     """Categories that differ in case or blanks are different ones."""
     df = rows([(i, c, int(i % 2)) for i, c in enumerate(itertools.chain(["a", "A", " a", None]))], "id long, c string, y int")
