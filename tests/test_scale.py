@@ -405,3 +405,18 @@ def test_prefixes_of_words_do_not_meet(rows):
     """Categories that differ in case or blanks are different ones."""
     df = rows([(i, c, int(i % 2)) for i, c in enumerate(itertools.chain(["a", "A", " a", None]))], "id long, c string, y int")
     assert encode.fit_shares(df, ["c"], "y").count() == 4
+
+
+def test_label_codes_do_not_carry_every_column_through_every_join(rows):
+    """A wide row is copied whole by the joins of its codes, also where a column of it is not read later."""
+    names = [f"t{i}" for i in range(5)]
+    data = [(1, *["b"] * 5, 7), (1, *["b"] * 5, 7), (2, "a", None, "a", "c", "z", None), (None, *[None] * 5, 3)]
+    df = rows(data, "id int, " + ", ".join(f"{n} string" for n in names) + ", other int")
+    codes = materialize(encode.fit_codes(df.where("id = 1 or id is null"), names), "codes")
+    out = encode.apply_codes(df.withColumns({f"c{i}": F.lit(i) + F.col("other") for i in range(12)}), codes, names, strict=False).drop("other")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("c0#") <= 4
+    assert out.columns == ["id", *names, *[f"c{i}" for i in range(12)]]
+    found = sorted([tuple(r) for r in out.select("id", *names, "c11").collect()], key=str)
+    assert found == sorted([(1, 0, 0, 0, 0, 0, 18)] * 2 + [(2, *[None] * 5, None), (None, *[None] * 5, 14)], key=str)
+    alone = encode.apply_codes(df.select("t0"), codes, ["t0"], strict=False)
+    assert sorted([r[0] for r in alone.collect()], key=str) == [0, 0, None, None]
