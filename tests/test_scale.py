@@ -11,6 +11,7 @@ from helpers import as_set
 from pyspark.sql import functions as F
 
 from tideline.operators import diff, encode, learn, neighbours, resample, running, sampling
+from tideline.operators.profile import long_values, name_at
 from tideline.plans import train
 from tideline.session import materialize
 from tideline.sources import files
@@ -420,3 +421,13 @@ def test_label_codes_do_not_carry_every_column_through_every_join(rows):
     assert found == sorted([(1, 0, 0, 0, 0, 0, 18)] * 2 + [(2, *[None] * 5, None), (None, *[None] * 5, 14)], key=str)
     alone = encode.apply_codes(df.select("t0"), codes, ["t0"], strict=False)
     assert sorted([r[0] for r in alone.collect()], key=str) == [0, 0, None, None]
+
+
+def test_quantiles_of_a_narrow_column_do_not_broadcast_its_rows(spark):
+    """One column of a wide written table is joined with its few brackets, not sent out itself."""
+    wide = spark.range(20_000).select("id", (F.col("id") % 100).cast("double").alias("x"), *[F.lit("a").alias(f"c{i}") for i in range(40)])
+    long = long_values(materialize(wide, "wide"), ["x"], "double").select(name_at(["x"]), "value")
+    out = running.exact_quantiles(long, "value", {"m": 0.5}, ["column"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan
+    assert [tuple(r) for r in out.collect()] == [("x", 49.5)]
