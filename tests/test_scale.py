@@ -8,9 +8,10 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import as_set
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from tideline.operators import diff, encode, learn, neighbours, resample, running, sampling
+from tideline.operators import diff, encode, learn, linear, neighbours, resample, running, sampling
 from tideline.operators.profile import long_values, name_at
 from tideline.plans import train
 from tideline.session import materialize
@@ -369,6 +370,30 @@ def test_sparse_vectors_hold_numbers_then_ones(spark, texts):
     assert scored.columns == [*out.columns, "probability_1"] and abs(scored.agg(F.avg("probability_1")).first()[0] - 0.25) < 0.01
 
 
+def test_coefficients_in_a_table_are_those_of_the_learner(spark):
+    """A number, a category of some rows, one of two rows and one of every row's own, weighted; and a dense vector."""
+    rng = random.Random(3)
+    data = [(i, rng.random(), f"k{i % 5}", f"pair{i // 2}", f"own{i}", int(rng.random() < 0.2 + 0.1 * (i % 5)), 1.0 + i % 3) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, x double, kind string, pair string, own string, y int, w double")
+    columns = ["kind", "pair", "own"]
+    vectors = materialize(encode.sparse_vectors(df, "id", ["x"], encode.fit_places(encode.vocabularies(df, columns)), columns), "vectors")
+    options = {"weight": "w", "regularization": 0.02, "max_iter": 200}
+    there, here = learn.fit_sparse_logistic(vectors, "y", **options), learn.fit_sparse_logistic(vectors, "y", driver_places=10, **options)
+    assert isinstance(here, linear.TableLogisticModel) and here.numFeatures == there.numFeatures and here.iterations < 60
+    assert here.intercept == pytest.approx(there.intercept, abs=2e-3)
+    table = {r["place"]: r["coefficient"] for r in here.coefficients.collect()}
+    assert max(abs(table.get(i, 0.0) - c) for i, c in enumerate(there.coefficients.toArray())) < 2e-3
+    scored = learn.score_vectors(here, vectors)
+    assert scored.columns == [*vectors.columns, "probability_1"]
+    expected = {r["id"]: r["probability_1"] for r in learn.score_vectors(there, vectors).collect()}
+    assert {r["id"]: r["probability_1"] for r in scored.collect()} == pytest.approx(expected, abs=1e-3)
+    dense = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    there, here = learn.fit_sparse_logistic(dense, "y"), learn.fit_sparse_logistic(dense, "y", driver_places=0)
+    assert here.coefficients.first()["coefficient"] == pytest.approx(there.coefficients[0], abs=1e-3)
+    one = learn.fit_sparse_logistic(vectors.where("y = 1"), "y", driver_places=10)
+    assert learn.score_vectors(one, vectors).where("probability_1 = 1").count() == 300
+
+
 def test_a_query_travels_once_per_pack(rows, monkeypatch):
     """Rows without structure meet all others, but are not sent out once for every block."""
     rng = np.random.default_rng(5)
