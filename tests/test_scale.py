@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -456,3 +457,26 @@ def test_quantiles_of_a_narrow_column_do_not_broadcast_its_rows(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan
     assert [tuple(r) for r in out.collect()] == [("x", 49.5)]
+
+
+def test_candidates_are_found_in_single_precision_and_measured_exactly():
+    """Rows whose distances differ by less than a float shows, far from the origin; a block needs half the memory of doubles."""
+    rng = np.random.default_rng(8)
+    x = 1e6 + rng.normal(size=(2048, 16))
+    x[1000:1500] = x[:500] + 1e-9
+    q = x[:1024] + 1e-5 * rng.normal(size=(1024, 16))
+    none = np.zeros((2048, 0), dtype=np.int64)
+    ids = rng.permutation(2048)
+    data, asked = neighbours.Points(x, none), neighbours.Points(q, none[:1024])
+    far = np.array([np.sqrt(((x - v) ** 2).sum(axis=1)) for v in q])
+    order = np.array([np.lexsort((ids, row))[:5] for row in far])
+    bound = np.take_along_axis(far, order, axis=1)[:, -1]
+    for limit in (None, bound):
+        qi, di, dist = neighbours._block_best(asked, data, ids, 5, 0.0, limit)
+        assert (qi == np.repeat(np.arange(1024), 5)).all() and (di.reshape(-1, 5) == order).all()
+        assert (dist == far[qi, di]).all()
+    tracemalloc.start()
+    neighbours._block_best(asked, data, ids, 5, 0.0, bound)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14 << 20
