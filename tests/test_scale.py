@@ -393,6 +393,10 @@ def test_coefficients_in_a_table_are_those_of_the_learner(spark):
     assert here.coefficients.first()["coefficient"] == pytest.approx(there.coefficients[0], abs=1e-3)
     one = learn.fit_sparse_logistic(vectors.where("y = 1"), "y", driver_places=10)
     assert learn.score_vectors(one, vectors).where("probability_1 = 1").count() == 300
+    unknown = vectors.withColumn("y", F.when(F.col("id") > 1, F.col("y")))
+    for places in (10, learn.DRIVER_PLACES):
+        with pytest.raises(Exception, match="(?i)labels must"):
+            learn.fit_sparse_logistic(unknown, "y", driver_places=places)
 
 
 def test_a_query_travels_once_per_pack(rows, monkeypatch):
