@@ -203,6 +203,12 @@ def test_latest_with_ties_keeps_all_tied(rows):
     assert as_set(snapshots.latest_with_ties(df, "k", "t")) == {(1, 5, "a"), (1, 5, "b"), (2, 1, "e")}
 
 
+def test_latest_with_ties_shuffles_its_table_once(rows):
+    df = snapshots.latest_with_ties(rows([(1, 5), (1, 5), (2, 1)], "k long, t long"), "k", "t")
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert df.count() == 3
+
+
 def test_latest_per_key_tie_column_and_null_stamp(rows):
     df = rows([(1, 5, 10), (1, 5, 11), (2, None, 12), (2, 3, 1)], "k long, t long, c long")
     assert as_set(snapshots.latest_per_key(df, ["k"], "t", ["c"])) == {(1, 5, 11), (2, 3, 1)}
