@@ -126,6 +126,15 @@ def test_profile(rows):
     assert {r["column"] for r in odd.collect()} == {"it's", "a.b"}
 
 
+def test_plain_profile_reads_its_table_once(rows):
+    df = rows([(1, "a"), (None, "b"), (1, None)], "n int, s string").repartition(3)
+    out = profile.profile(df)
+    assert out._jdf.queryExecution().executedPlan().toString().count("RoundRobinPartitioning") == 1
+    assert {(r["column"], r["missing"], r["missing_share"], r["count"], r["distinct"]) for r in out.collect()} == {("n", 1, 0.33, 2, 1), ("s", 1, 0.33, 2, 2)}
+    empty = profile.profile(df.where("n > 1")).collect()
+    assert {(r["column"], r["missing"], r["missing_share"], r["count"], r["distinct"]) for r in empty} == {("n", 0, None, 0, 0), ("s", 0, None, 0, 0)}
+
+
 def test_first_profile_has_no_previous(rows):
     new = profile.profile(rows([(1,)], "a int"))
     merged = profile.merge_profiles(new, None)
