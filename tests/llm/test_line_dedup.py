@@ -66,5 +66,12 @@ def test_repeated_rows_missing_ids_and_clashing_columns(spark):
     assert line_dedup.dedup(docs).columns == ["doc_id", "text", "key", "n_lines", "n_removed"]
 
 
+def test_shingles_are_hashed_once_per_line(make_docs):
+    firsts = line_dedup.first_lines(make_docs([(1, "a b c d e f\n \t\n\nword\na B c d e f")]))
+    plan = firsts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("arrays_zip") == 1
+    assert sorted((r["line_no"], r["n"]) for r in firsts.collect()) == [(0, 2), (3, 1)]
+
+
 def test_empty_table(make_docs):
     assert got(make_docs([])) == []

@@ -31,6 +31,7 @@ from tideline.session import materialize
 
 SHINGLE = 5
 PERCENT = 80
+NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 ORDER = ("doc_id", "text_hash", "line_no")
 
@@ -81,10 +82,12 @@ def needed(n: Column, percent: int = PERCENT) -> Column:
 
 def first_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Distinct lines with words: key, the earliest place, the number of tokens, and the first in hash order."""
-    lines = split_lines(docs).select(*ORDER, F.xxhash64(F.lower("line")).alias("key"), shingles(F.col("line")).alias("tokens"))
+    # Asked of the line: a condition on the shingles would be pushed below them and hash every line twice.
+    worded = split_lines(docs).where(F.col("line").rlike(NOT_BLANK))
+    lines = worded.select(*ORDER, F.xxhash64(F.lower("line")).alias("key"), shingles(F.col("line")).alias("tokens"))
     n = F.size("tokens")
     head = F.slice("tokens", F.lit(1), reach(n, percent) + slack(n, percent)).alias("head")
-    kept = lines.where(n > 0).select("key", F.struct(*ORDER, n.alias("n"), head).alias("first"))
+    kept = lines.select("key", F.struct(*ORDER, n.alias("n"), head).alias("first"))
     return kept.groupBy("key").agg(F.min("first").alias("first")).select("key", "first.*")
 
 
