@@ -35,6 +35,27 @@ def test_a_wide_table_is_written_as_orc_and_read_back_as_it_was(spark):
     assert materialize(wide.where("id < 0"), "none").count() == 0
 
 
+def test_a_wide_stored_profile_counts_by_kind_what_texts_tell(spark, monkeypatch, tmp_path):
+    _wide(_odd(spark)).drop("items").write.parquet(f"{tmp_path}/wide")
+    stored = spark.read.parquet(f"{tmp_path}/wide")
+    seen = []
+    counted = profile._counted
+    monkeypatch.setattr(profile, "_counted", lambda cells: seen.append(dict(cells.dtypes)["value"]) or counted(cells))
+    by_kind = {r["column"]: r for r in profile.profile(stored).collect()}
+    assert sorted(seen) == ["bigint", "double", "string"]
+    seen.clear()
+    monkeypatch.setattr(profile, "_stored", lambda df: False)
+    as_text = {r["column"]: r for r in profile.profile(stored).collect()}
+    assert seen == ["string"] and by_kind == as_text
+    # Negative zero and NaN are values of their own, as their texts are.
+    assert by_kind["x"]["distinct"] == 3 and by_kind["at"]["distinct"] == 3 and by_kind["flag"]["distinct"] == 2
+
+
+def test_a_computed_wide_table_is_counted_in_one_pass(spark):
+    wide = _wide(spark.range(6))
+    assert not profile._stored(wide.groupBy("id").agg(F.max("w3").alias("w3"))) and profile._stored(materialize(wide, "w").drop("w1"))
+
+
 def test_fitting_writes_only_the_columns_that_the_steps_read(spark, monkeypatch):
     class Stop(Exception):
         pass
