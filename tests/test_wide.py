@@ -56,6 +56,27 @@ def test_a_computed_wide_table_is_counted_in_one_pass(spark):
     assert not profile._stored(wide.groupBy("id").agg(F.max("w3").alias("w3"))) and profile._stored(materialize(wide, "w").drop("w1"))
 
 
+def test_places_that_travel_with_the_tasks_are_those_of_the_joins(spark, monkeypatch):
+    data = [(1, "a", "x;y"), (2, None, ""), (3, "b", None), (4, "<NA>", "y;y;z"), (5, "c", "q")]
+    df = spark.createDataFrame(data, "id long, c string, l string")
+    places = materialize(
+        encode.fit_places(encode.vocabularies(df, ["c"]).unionByName(encode.list_vocabularies(df, ["l"])).where("value <> 'q'")), "places"
+    )
+    near = encode.encode_sparse(df, "id", places, ["c"], ["l"])
+    assert not near._jdf.queryExecution().optimizedPlan().toString().count("Join")
+    monkeypatch.setattr(encode, "NEAR", 3)
+    mixed = encode.encode_sparse(df, "id", places, ["c"], ["l"])
+    monkeypatch.setattr(encode, "NEAR", 0)
+    far = encode.encode_sparse(df, "id", places, ["c"], ["l"])
+    assert near.dtypes == far.dtypes == mixed.dtypes
+    assert sorted(near.collect()) == sorted(far.collect()) == sorted(mixed.collect())
+    # A separator that is a pattern splits as Spark does.
+    pattern = encode.encode_sparse(df, "id", places, [], ["l"], "[;]")
+    assert [r["encoded"] for r in pattern.sort("id").collect()] == [
+        r["encoded"] for r in encode.encode_sparse(df, "id", places, [], ["l"]).sort("id").collect()
+    ]
+
+
 def test_fitting_writes_only_the_columns_that_the_steps_read(spark, monkeypatch):
     class Stop(Exception):
         pass
