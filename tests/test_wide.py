@@ -95,3 +95,30 @@ def test_fitting_writes_only_the_columns_that_the_steps_read(spark, monkeypatch)
         except Stop as e:
             found.append(e.args)
     assert found == [("cleaned", names[:4]), ("cleaned", names[:6])]
+
+
+def test_the_category_model_retrieves_once(monkeypatch):
+    class Stop(Exception):
+        pass
+
+    asked = []
+    monkeypatch.setattr(workload, "crm_tables", lambda t: {})
+    monkeypatch.setattr(workload.retrieve, "retrieve", lambda tables, per: asked.append(per))
+    monkeypatch.setattr(workload.retrieve, "labelled", lambda base: base)
+    monkeypatch.setattr(workload, "materialize", lambda df, label: "base")
+
+    def prepared(t, key, base):
+        assert base == "base" and key == ["deal_id", "course_id"]
+        raise Stop
+
+    monkeypatch.setattr(scale, "_prepared", prepared)
+    try:
+        QUERIES["category_per_row_model"](_Session(), "/nowhere")
+    except Stop:
+        pass
+    assert asked == ["row"]
+
+
+class _Session:
+    class conf:
+        set = staticmethod(lambda *a: None)
